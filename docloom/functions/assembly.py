@@ -21,22 +21,42 @@ def ordered_concat(
     separator: str,
     output: str,
     chunk: int = 1024,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """Join ``text`` in ``ordinal`` order per key; null texts are left out.
 
     Level one joins at most ``chunk`` consecutive ordinals, level two joins the
-    chunk strings.  Keys without any text are absent from the result.
+    chunk strings.  Keys without any text are absent from the result, or have ''
+    with ``keep_empty``.
     """
 
     def join_sorted(order: Column, value: Column) -> Column:
         pairs = F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v"))))
+        # array_join leaves nulls out
         return F.array_join(F.transform(pairs, lambda p: p["v"]), separator)
 
-    chunked = rows.where(F.col(text).isNotNull()).withColumn("_chunk", F.floor(F.col(ordinal) / F.lit(chunk)))
-    partial = chunked.groupBy(*keys, "_chunk").agg(join_sorted(F.col(ordinal), F.col(text)).alias("_piece"))
+    if not keep_empty:
+        rows = rows.where(F.col(text).isNotNull())
+    chunked = rows.withColumn("_chunk", F.floor(F.col(ordinal) / F.lit(chunk)))
+    partial = chunked.groupBy(*keys, "_chunk").agg(
+        join_sorted(F.col(ordinal), F.col(text)).alias("_joined"), F.count(text).alias("_n")
+    )
+    partial = partial.withColumn("_piece", F.when(F.col("_n") > 0, F.col("_joined")))
     return partial.groupBy(*keys).agg(join_sorted(F.col("_chunk"), F.col("_piece")).alias(output))
 
 
+def ordered_array(
+    rows: DataFrame, keys: Sequence[str], ordinal: str, value: Column, output: str, chunk: int = 1024
+) -> DataFrame:
+    """Collect ``value`` in ``ordinal`` order per key, chunk by chunk."""
+    item = F.struct(F.col(ordinal).alias("o"), value.alias("v"))
+    chunked = rows.withColumn("_chunk", F.floor(F.col(ordinal) / F.lit(chunk)))
+    pieces = chunked.groupBy(*keys, "_chunk").agg(F.array_sort(F.collect_list(item)).alias("_piece"))
+    whole = pieces.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_piece"))).alias("_pieces"))
+    values = F.flatten(F.transform("_pieces", lambda c: F.transform(c["_piece"], lambda e: e["v"])))
+    return whole.select(*keys, values.alias(output))
+
+
 def dense_ordinal(
     rows: DataFrame,
     keys: Sequence[str],
@@ -45,38 +65,33 @@ def dense_ordinal(
     chunk: int = 4096,
     tie_breakers: Sequence[str] = (),
 ) -> DataFrame:
-    """Zero-based position by an integer ``order`` column within ``keys``.
+    """Zero-based position by an integer ``order`` column within non-null ``keys``.
 
     Same values as ``row_number() - 1`` over the whole group, but the group is cut
     into ranges of ``chunk`` order values: only the range counts are summed over
-    the group, rows are numbered inside their range.
+    the group, rows are numbered inside their range.  The range counts themselves
+    are summed in two steps, so even without keys no task sees more than
+    ``1/chunk`` of the ranges at once.
     """
     ranged = rows.withColumn("_range", F.floor(F.col(order) / F.lit(chunk)).cast("long"))
     counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    # second level keeps the prefix sum small even without keys
-    counts = counts.withColumn("_super", F.floor(F.col("_range") / F.lit(chunk)))
-    totals = counts.groupBy(*keys, "_super").agg(F.sum("_n").alias("_m"))
-    before_super = Window.partitionBy(*keys).orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*keys, "_super", F.coalesce(F.sum("_m").over(before_super), F.lit(0)).alias("_base"))
-    before_range = Window.partitionBy(*keys, "_super").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    inner = counts.withColumn("_inner", F.coalesce(F.sum("_n").over(before_range), F.lit(0)))
-    offsets = _null_safe_join(inner, totals, [*keys, "_super"]).select(
-        *keys, "_range", (F.col("_base") + F.col("_inner")).alias("_offset")
-    )
+    if keys:
+        before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    else:
+        counts = counts.withColumn("_super", F.floor(F.col("_range") / F.lit(chunk)))
+        totals = counts.groupBy("_super").agg(F.sum("_n").alias("_m"))
+        before = Window.orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
+        totals = totals.select("_super", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
+        inside = Window.partitionBy("_super").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        inner = counts.withColumn("_inner", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        offsets = inner.join(totals, "_super").select("_range", (F.col("_base") + F.col("_inner")).alias("_offset"))
     within = Window.partitionBy(*keys, "_range").orderBy(order, *tie_breakers)
     numbered = ranged.withColumn("_local", F.row_number().over(within))
-    joined = _null_safe_join(numbered, offsets, [*keys, "_range"])
+    joined = numbered.join(offsets, [*keys, "_range"])
     return joined.withColumn(output, F.col("_offset") + F.col("_local") - 1).drop("_range", "_local", "_offset")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
-    return left.join(right, condition).drop(*[f"_r_{k}" for k in keys])
-
-
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key.  ``max_by`` combines map-side, a ranking window would not."""
     payload = [c for c in rows.columns if c not in keys]

@@ -25,24 +25,28 @@ def parse_double(value: Column | str) -> Column:
     A plain cast would take ``1d`` and refuse ``1_000``; the guard keeps document
     text from turning into numbers by accident.
     """
-    text = _digits(_col(value))
+    raw = _col(value)
+    text = _digits(raw)
     word = F.lower(F.regexp_replace(text, r"^\+", ""))
-    return (
+    rare = (
         F.when(text.rlike(_FLOAT), text.try_cast("double"))
         .when(word.isin("nan", "-nan"), F.lit(float("nan")))
         .when(word.isin("inf", "infinity"), F.lit(float("inf")))
         .when(word.isin("-inf", "-infinity"), F.lit(float("-inf")))
     )
+    # plain numbers take one match; spaces, underscores and words the slower branch
+    return F.when(raw.rlike(_FLOAT), raw.try_cast("double")).when(raw.isNotNull(), rare)
 
 
 def parse_int(value: Column | str) -> Column:
-    text = _digits(_col(value))
-    return F.when(text.rlike(_INT), text.try_cast("long"))
+    raw = _col(value)
+    text = _digits(raw)
+    return F.when(raw.rlike(_INT), raw.try_cast("long")).when(text.rlike(_INT), text.try_cast("long"))
 
 
 def parse_count(value: Column | str) -> Column:
     """Integer from a JSON number; fractions are cut, anything else is null."""
-    return F.coalesce(parse_int(value), F.when(_digits(_col(value)).rlike(_FLOAT), parse_double(value).try_cast("long")))
+    return F.coalesce(parse_int(value), parse_double(value).try_cast("long"))
 
 
 def first_double(*values: Column, default: float | None = None) -> Column:
@@ -68,27 +72,29 @@ def double_array(value: Column | str) -> Column:
     return F.transform(_col(value), parse_double)
 
 
-def rect_from_points(points: Column | str) -> Column:
-    """Bounding rectangle of an alternating x, y list; null for a list without y."""
-    points = _col(points)
-    xs = F.filter(points, lambda _, i: i % 2 == 0)
-    ys = F.filter(points, lambda _, i: i % 2 == 1)
-    x0, y0 = F.array_min(xs), F.array_min(ys)
-    return F.struct(
-        x0.alias("x"),
-        y0.alias("y"),
-        (F.array_max(xs) - x0).alias("w"),
-        (F.array_max(ys) - y0).alias("h"),
-    )
+# Two-point boxes, the usual case, stay inside generated code; longer lists use array functions.
+_RECT = """
+CASE WHEN size({p}) = 4 THEN named_struct(
+       'x', least({p}[0], {p}[2]), 'y', least({p}[1], {p}[3]),
+       'w', abs({p}[2] - {p}[0]), 'h', abs({p}[3] - {p}[1]))
+     ELSE transform(array(struct(filter({p}, (v, i) -> i % 2 = 0) AS xs, filter({p}, (v, i) -> i % 2 = 1) AS ys)),
+       a -> named_struct('x', array_min(a.xs), 'y', array_min(a.ys),
+         'w', array_max(a.xs) - array_min(a.xs), 'h', array_max(a.ys) - array_min(a.ys)))[0] END
+"""
+
 
+def rect_from_points(points: str) -> Column:
+    """Bounding rectangle of an alternating x, y list column; parts are null for a list without y."""
+    return F.expr(_RECT.format(p=points))
 
-def rect_of_region(bounding_box: Column | str, polygon: Column | str) -> Column:
-    """Box first, polygon when the box is empty, zeros when both are."""
-    box, poly = _col(bounding_box), _col(polygon)
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("x", "y", "w", "h")])
-    filled_box = F.coalesce(F.size(box), F.lit(0)) > 0
-    filled_poly = F.coalesce(F.size(poly), F.lit(0)) > 0
-    return F.when(filled_box, rect_from_points(box)).when(filled_poly, rect_from_points(poly)).otherwise(zero)
+
+def rect_of_region(bounding_box: str, polygon: str) -> Column:
+    """Box column first, polygon column when the box is empty, zeros when both are."""
+    return F.expr(
+        f"CASE WHEN size({bounding_box}) > 0 THEN {_RECT.format(p=bounding_box)} "
+        f"WHEN size({polygon}) > 0 THEN {_RECT.format(p=polygon)} "
+        "ELSE named_struct('x', 0.0D, 'y', 0.0D, 'w', 0.0D, 'h', 0.0D) END"
+    )
 
 
 def rect_area(bbox: Column | str) -> Column:

@@ -16,7 +16,15 @@ def _col(value: Column | str) -> Column:
 
 
 def valid_json(value: Column | str) -> Column:
-    return F.try_parse_json(_col(value)).isNotNull()
+    """One JSON value and nothing behind it; the other parsers ignore trailing text."""
+    listed = F.json_array_length(F.concat(F.lit("["), _col(value), F.lit("]")))
+    return F.coalesce(listed == 1, F.lit(False))
+
+
+def truthy_variant(value: Column) -> Column:
+    """Text of a variant scalar, null for those an ``or`` chain skips (unlike the string "0")."""
+    kind, text = F.schema_of_variant(value), value.cast("string")
+    return F.when(kind == "STRING", F.nullif(text, F.lit(""))).otherwise(truthy(text))
 
 
 def has_key(value: Column | str, key: str) -> Column:

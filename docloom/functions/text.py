@@ -97,15 +97,21 @@ def key_value_text(name: Column | str, value: Column | str) -> Column:
     return strip(F.concat(_col(name), F.lit(": "), F.coalesce(_col(value), F.lit(""))))
 
 
-def block_id(part_id: Column | str, kind: str, ordinal: Column | str) -> Column:
-    """Block identifier of the zero-based ``ordinal`` inside a part (null part is the root)."""
-    number = (_col(ordinal) + 1).cast("string")
-    return F.concat(F.coalesce(_col(part_id), F.lit("root")), F.lit(f"-{kind}-"), number)
+# part name of a bundle's own document; stored rows show it as a null part id
+ROOT = "root"
 
 
-def child_part_id(part_id: Column | str, ordinal: Column | str) -> Column:
-    number = (_col(ordinal) + 1).cast("string")
-    return F.concat(F.coalesce(_col(part_id), F.lit("root")), F.lit(".attachment-"), number)
+def block_id(part: Column | str, kind: str, ordinal: Column | str) -> Column:
+    """Block identifier of the zero-based ``ordinal`` inside a part."""
+    return F.concat(_col(part), F.lit(f"-{kind}-"), (_col(ordinal) + 1).cast("string"))
+
+
+def child_part(part: Column | str, ordinal: Column | str) -> Column:
+    return F.concat(_col(part), F.lit(".attachment-"), (_col(ordinal) + 1).cast("string"))
+
+
+def part_id(part: Column | str) -> Column:
+    return F.nullif(_col(part), F.lit(ROOT))
 
 
 def file_extension(path: Column | str) -> Column:

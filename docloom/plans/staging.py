@@ -9,8 +9,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Column types of the provided tables.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -155,3 +171,154 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         _k().alias("queue_depth"),
         F.when(F.col("event_type") == "view", _k() % 5).alias("inflight"),
     )
+
+
+# --- canonical tables over all text-bearing tables -----------------------------------
+#
+# documents -> d-<id> (spans), orders/lineitem -> o-<id> (fields, one table), pages -> p-<id> (one visual),
+# benchmark -> b-<id> (page segments only), conversations -> c-<id> (turn 0) with the later turns attached.
+
+
+def _no_box() -> list[Column]:
+    empty = F.lit(None).cast("array<double>")
+    return [empty.alias("polygon"), empty.alias("bounding_box")]
+
+
+def _lines(rows: DataFrame, text: str, *keep) -> DataFrame:
+    exploded = rows.select(*keep, F.posexplode(F.split(text, "\n", -1)).alias("pos", "content")).where("content <> ''")
+    y = (F.col("pos") % 5) * 10.0
+    return exploded.select(
+        *rows.select(*keep).columns,
+        F.col("pos").cast("long").alias("ord"),
+        "content",
+        F.lit(1.0).alias("confidence"),
+        (1 + F.floor(F.col("pos") / 5)).cast("int").alias("page"),
+        F.lit(None).cast("array<double>").alias("polygon"),
+        F.array(F.lit(0.0), y, F.length("content").cast("double"), y + 8.0).alias("bounding_box"),
+        F.lit(None).cast("string").alias("span_id"),
+    )
+
+
+def turn_id() -> Column:
+    """Document id of a conversation turn: the root for turn 0, else named by the walk position."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    return F.when(turn == 0, _text("c-", conv)).otherwise(_text("c-", conv, "::attachment-", turn + 2))
+
+
+def order_id() -> Column:
+    return _text("o-", F.col("o_orderkey"))
+
+
+def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later turns attached to turn 0; even turns come without a document of their own."""
+    turn, conv = F.col("turn"), F.col("conv_id")
+    return table(spark, sf_dir, "conversations").where("turn > 0").select(
+        _text("c-", conv).alias("document_id"),
+        (turn + 1).alias("walk_index"),
+        _text("turn-", turn, ".txt").alias("file_name"),
+        _text("text/", F.col("role")).alias("mime_type"),
+        F.when(turn % 2 == 1, _text("c-", conv, "::attachment-", turn + 2)).alias("child_document_id"),
+    )
+
+
+def canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document attributes of every canonical document, roots and attachments."""
+    none = F.lit(None).cast("string")
+
+    def meta(**entries: Column) -> Column:
+        return F.to_json(F.struct(*[v.alias(k) for k, v in entries.items()]))
+
+    def rows(frame: DataFrame, document_id: Column, kind: Column, mime: str, metadata: Column, root: Column) -> DataFrame:
+        return frame.select(
+            document_id.alias("document_id"), kind.alias("document_type"), F.lit(mime).alias("mime_type"),
+            metadata.alias("metadata"), root.alias("is_root"),
+        )
+
+    turn = F.col("turn")
+    frames = [
+        rows(
+            table(spark, sf_dir, "documents"), _text("d-", F.col("doc_id")), none, "text/plain",
+            meta(provider=F.lit("text"), lang=F.col("lang"), document_type=F.col("source")), F.lit(True),
+        ),
+        rows(
+            table(spark, sf_dir, "orders"), _text("o-", F.col("o_orderkey")), F.lit("order"), "application/pdf",
+            meta(provider=F.lit("forms"), title=_text("Order ", F.col("o_orderkey")), classification_label=F.col("o_orderpriority"), classification_confidence=F.lit("0.75")),
+            F.lit(True),
+        ),
+        rows(table(spark, sf_dir, "pages"), _text("p-", F.col("page_id")), F.lit("page"), "text/html", F.lit("{}"), F.lit(True)),
+        rows(table(spark, sf_dir, "benchmark"), _text("b-", F.col("item_id")), none, "text/plain", F.lit("{}"), F.lit(True)),
+        rows(
+            table(spark, sf_dir, "conversations").where("turn = 0 OR turn % 2 = 1"), turn_id(), F.lit("turn"), "message/rfc822",
+            meta(provider=F.lit("email")), turn == 0,
+        ),
+    ]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def document_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(table(spark, sf_dir, "documents"), "text", _text("d-", F.col("doc_id")).alias("document_id"))
+
+
+def turn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").where("turn = 0 OR turn % 2 = 1")
+    return _lines(turns, "text", turn_id().alias("document_id"))
+
+
+def canonical_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four fields per order; the total is a decimal text, the date has no type."""
+    entry = F.array(
+        F.struct(F.lit("Status").alias("name"), F.col("o_orderstatus").alias("value"), F.lit("code").alias("value_type")),
+        F.struct(F.lit("Total").alias("name"), F.round(F.col("o_totalprice") * 100).cast("long").cast("string").alias("value"), F.lit("cents").alias("value_type")),
+        F.struct(F.lit("Priority").alias("name"), F.col("o_orderpriority").alias("value"), F.lit("text").alias("value_type")),
+        F.struct(F.lit("Date").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("value"), F.lit(None).cast("string").alias("value_type")),
+    )
+    rows = table(spark, sf_dir, "orders").select(_text("o-", F.col("o_orderkey")).alias("document_id"), F.posexplode(entry).alias("pos", "e"))
+    return rows.select(
+        "document_id", F.col("pos").cast("long").alias("ord"), "e.name", "e.value", F.lit(0.8).alias("confidence"), "e.value_type",
+        F.when(F.col("pos") > 0, F.col("pos")).alias("page"), *_no_box(),
+    )
+
+
+def canonical_visuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    side = F.col("page_id").cast("double")
+    return table(spark, sf_dir, "pages").select(
+        _text("p-", F.col("page_id")).alias("document_id"), F.lit(0).cast("long").alias("ord"), F.col("url").alias("description"),
+        F.lit(0.6).alias("confidence"), (F.col("page_id") % 3).cast("int").alias("page"),
+        F.array(F.lit(1.0), F.lit(2.0), side + 1.0, F.lit(2.0), side + 1.0, side + 2.0).alias("polygon"),
+        F.array().cast("array<double>").alias("bounding_box"), F.array(F.lit("web"), F.lit("page")).alias("tags"),
+    )
+
+
+def canonical_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = F.sequence(F.lit(1), (F.col("item_id") % 3 + 1).cast("int"))
+    items = table(spark, sf_dir, "benchmark").select(_text("b-", F.col("item_id")).alias("document_id"), F.explode(pages).alias("page_number"))
+    docs = table(spark, sf_dir, "documents").select(_text("d-", F.col("doc_id")).alias("document_id"), F.lit(900).alias("page_number"))
+    return items.unionByName(docs)
+
+
+def canonical_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    number = F.posexplode(F.array(F.lit("first"), F.lit("second"))).alias("pos", "which")
+    rows = orders.select("o_orderkey", "o_orderpriority", number)
+    return rows.select(
+        _text("o-", F.col("o_orderkey")).alias("document_id"), F.col("pos").cast("long").alias("ord"),
+        _text(F.col("which"), " summary of ", F.col("o_orderkey")).alias("summary"), F.lit(0.3).alias("confidence"),
+        F.lit("heuristic").alias("method"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("Urgent "), F.col("which"))).otherwise(F.lit("")).alias("title"),
+    )
+
+
+def canonical_enrichments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two enrichments per labelled document."""
+    kinds = F.array(
+        F.struct(F.lit("quality_CLASS").alias("t"), F.to_json(F.struct("quality")).alias("c"), F.lit(0.5).alias("conf")),
+        F.struct(F.lit("Summaries").alias("t"), F.to_json(F.struct("toxic")).alias("c"), F.lit(None).cast("double").alias("conf")),
+    )
+    rows = table(spark, sf_dir, "labels").select(_text("d-", F.col("doc_id")).alias("document_id"), F.posexplode(kinds).alias("pos", "k"))
+    return rows.select(
+        "document_id", F.col("pos").cast("long").alias("ord"), F.col("k.t").alias("enrichment_type"), F.col("k.c").alias("content"),
+        F.col("k.conf").alias("confidence"),
+    )

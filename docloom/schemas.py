@@ -1,9 +1,7 @@
-"""Every table and JSON schema, declared once; nothing is ever inferred."""
+"""Every table and JSON schema as DDL text, declared once; nothing is ever inferred."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Version tags and vocabularies of the stored records.
 CANONICAL_VERSION = "1.1"
 ROW_VERSION = "1.0.0"
@@ -20,12 +18,7 @@ REVIEW_TRIGGERS = ("low_extraction_quality", "fraud_signal", "correctness_failur
 REVIEW_STATUSES = ("pending", "in_progress", "completed", "returned")
 REVIEW_OUTCOMES = ("approved", "corrected", "rejected")
 
-
-def ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-MESSAGE = ddl("message_id string, queue_url string, stream string, body string, receive_count int, sent_at timestamp")
+MESSAGE = "message_id string, queue_url string, stream string, body string, receive_count int, sent_at timestamp"
 
 _PAGE_KEYS = (
     ("textDensity", "text_density"),
@@ -51,19 +44,19 @@ _MESSAGE_BODY = (
 )
 
 
-def message_body(override_flag: str) -> T.StructType:
-    return ddl(f"{_MESSAGE_BODY}, `{override_flag}` string")
+def message_body(override_flag: str) -> str:
+    return f"{_MESSAGE_BODY}, `{override_flag}` string"
 
 
 
-PAGE_METRICS = ddl(
+PAGE_METRICS = (
     "index int, text_density double, image_density double, table_density double, char_count long,"
     "table_count long, image_count long, checkbox_count long, radio_button_count long"
 )
 
-OVERRIDE_RULE = ddl("priority long, pattern string, strategy string, model string, max_pages int")
+OVERRIDE_RULE = "priority long, pattern string, strategy string, model string, max_pages int"
 
-FAILURE = ddl(
+FAILURE = (
     "message_id string, queue_url string, failure_reason string, error_message string, stacktrace string,"
     "receive_count int, source_path string, failed_at timestamp, batch_id long"
 )
@@ -98,19 +91,24 @@ ATTACHMENT = (
 )
 
 # one row per document; attachments point at their document instead of nesting it
-CANONICAL = ddl(
+CANONICAL = (
     "document_id string, source_uri string, checksum string, schema_version string, document_type string,"
     f"mime_type string, metadata string, text_spans array<{SPAN}>, tables array<{TABLE}>, fields array<{FIELD}>,"
     f"visual_descriptions array<{VISUAL}>, page_segments array<{SEGMENT}>, attachments array<{ATTACHMENT}>,"
     f"summaries array<{SUMMARY}>, enrichments array<{ENRICHMENT}>"
 )
 
+CANONICAL_COLUMNS = (
+    "document_id", "source_uri", "checksum", "schema_version", "document_type", "mime_type", "metadata", "text_spans",
+    "tables", "fields", "visual_descriptions", "page_segments", "attachments", "summaries", "enrichments",
+)
+
 # denormalised rows
 ROW_BASE = (
     "schema_version string, request_id string, bundle_id string, part_id string, page_number int,"
     "generated_at timestamp, record_level string"
 )
-ROWS = ddl(
+ROWS = (
     ROW_BASE + ", doc_title string, doc_type string, doc_language string, doc_summary string, total_pages long,"
     "total_blocks long, status string, insight_label string, insight_conf double,"
     "width double, height double, units string, page_text string, page_block_count long, source_mime string,"
@@ -122,20 +120,20 @@ ROWS = ddl(
     "qa_answer string, evidence_part_id string, evidence_page_number int, evidence_block_id string"
 )
 
-TELEMETRY = ddl(
+TELEMETRY = (
     "event_name string, job_name string, run_id string, queue_url string, status string, message_id string,"
     "object_key string, failure_reason string, event_time timestamp, latency_ms long, duration_ms long,"
     "batch_size long, successes long, failures long, queue_depth long, inflight long, receive_count long"
 )
 
-JOB_EVENT = ddl(
+JOB_EVENT = (
     "job_id string, status string, submitted_at timestamp, updated_at timestamp, error string, metadata string,"
     "enrichments string, notification_config string, notifications_emitted boolean"
 )
 
-RESULT = ddl("job_id string, sequence long, canonical_document string")
+RESULT = "job_id string, sequence long, canonical_document string"
 
-REVIEW = ddl(
+REVIEW = (
     "document_id string, trigger string, title string, job_id string, canonical_document string,"
     "standardized_output string, insights string, reviewed_canonical_document string,"
     "reviewed_standardized_output string, reviewed_insights string, status string, outcome string,"
