@@ -71,7 +71,10 @@ def title_like(value: Column | str, max_chars: int = 120, max_spaces: int = 15)
 
 
 def lines_without_blanks(value: Column | str) -> Column:
-    return F.filter(F.split(_col(value), LINE_BREAK, -1), lambda line: strip(line) != "")
+    text = _col(value)
+    single = F.filter(F.array(text), lambda line: strip(line) != "")
+    several = F.filter(F.split(text, LINE_BREAK, -1), lambda line: strip(line) != "")
+    return F.when(text.rlike(LINE_BREAK), several).otherwise(single)
 
 
 def strip_tags(value: Column | str) -> Column:
