@@ -60,7 +60,7 @@ def sync_reviews(reviews: DataFrame, candidates: DataFrame, now: Column) -> Data
     joined = reviews.withColumn("_old", F.lit(True)).join(incoming, KEY, "full_outer")
     known, fresh = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     columns = []
-    for name in (c.split()[0] for c in schemas.REVIEW.split(", ")):
+    for name in (c.split()[0] for c in schemas.REVIEW.split(",")):
         current = F.col(name)
         if name in _PAYLOAD:
             value = F.when(fresh, F.col(f"_new.{name}")).otherwise(current)
