@@ -178,7 +178,8 @@ def reassembled_documents(spark, sf_dir):
 def process_documents(spark, sf_dir):
     """Adapter, heuristic summary and denormalised block and insight counts of every text in one plan."""
     documents, _ = adapters.split_errors(_analyzed(spark, sf_dir))
-    documents = summaries.add_summaries(documents)
+    # read several times below; a long-running job writes this table instead (see ``workflow.process``)
+    documents = summaries.add_summaries(documents).persist()
     tree = parts.root_parts(documents)
     tables = denorm.tables_of(documents, tree)
     rows = denorm.blocks(tables).select("bundle_id", "block_type").unionByName(

@@ -93,6 +93,10 @@ def submitted_jobs(spark, sf_dir):
 
 
 def _job_events(spark, sf_dir) -> DataFrame:
+    return job_events_from(staging.table(spark, sf_dir, "events"))
+
+
+def job_events_from(events: DataFrame) -> DataFrame:
     """``events`` as status changes of the job ``user_id``."""
     event, kind = F.col("event_id"), F.col("event_type")
     status = (
@@ -105,7 +109,7 @@ def _job_events(spark, sf_dir) -> DataFrame:
                  F.when(F.col("user_id") % 4 == 0, "topic").otherwise(""), F.lit('", "include_enrichment_events": '),
                  F.when(F.col("user_id") % 3 == 0, "false").otherwise("true"), F.lit("}")),
     )
-    return staging.table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("user_id").cast("string").alias("job_id"), status.alias("status"), F.col("ts").cast("timestamp").alias("updated_at"),
         config.alias("notification_config"), F.concat(F.lit('[{"name": "n'), event.cast("string"), F.lit('", "status": "running"}]')).alias("enrichments"),
         (F.col("user_id") % 7 == 0).alias("notifications_emitted"),

@@ -38,6 +38,16 @@ def _text(*parts) -> Column:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_from(table(spark, sf_dir, "events"))
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream."""
+    reader = spark.readStream.schema(TABLE_SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(sf_dir)
+
+
+def messages_from(events: DataFrame) -> DataFrame:
     """``events`` as queue messages: two kinds of broken ones, three key spellings."""
     k, two = F.col("k"), F.lpad(F.col("k").cast("string"), 2, "0")
     user, event = F.col("user_id"), F.col("event_id")
@@ -69,8 +79,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return (
-        table(spark, sf_dir, "events")
-        .withColumn("k", _k())
+        events.withColumn("k", _k())
         .select(
             _text("m-", event).alias("message_id"),
             _text("queue-", user % 4).alias("queue_url"),
@@ -156,9 +165,13 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry_from(table(spark, sf_dir, "events"))
+
+
+def telemetry_from(events: DataFrame) -> DataFrame:
     """``events`` as telemetry: errors are failures, the value is the latency."""
     failed = F.col("event_type") == "error"
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         F.when(failed, "message_failed").otherwise("message_processed").alias("event_name"),
         F.lit("ingestion").alias("job_name"),
