@@ -19,7 +19,7 @@ def _documents(spark, sf_dir) -> DataFrame:
 def _raw(spark, sf_dir) -> DataFrame:
     """Texts and web pages as bytes."""
     docs = _documents(spark, sf_dir).select("document_id", "source_uri", F.encode("text", "UTF-8").alias("content"))
-    pages = staging.table(spark, sf_dir, "pages").select(
+    pages = staging.table(spark, sf_dir, "pages", costly=True).select(
         F.concat(F.lit("p-"), F.col("page_id").cast("string")).alias("document_id"),
         F.concat(F.lit("s3://web/"), F.col("page_id").cast("string"), F.lit(".bin")).alias("source_uri"),
         F.encode("html", "UTF-8").alias("content"),
@@ -94,7 +94,7 @@ def _emails(spark, sf_dir) -> DataFrame:
         F.lit("\n--=b=\nContent-Type: text/plain; charset=\"utf-8\"\nContent-Disposition: attachment; filename=\"turn.txt\"\n"),
         F.lit("Content-ID: <c1>\nContent-Transfer-Encoding: base64\n\n"), coded, F.lit("\n--=b=--\n"),
     )
-    return staging.table(spark, sf_dir, "conversations").select(
+    return staging.table(spark, sf_dir, "conversations", costly=True).select(
         F.concat(F.lit("m-"), turn).alias("document_id"), F.concat(F.lit("s3://mail/"), turn).alias("source_uri"),
         F.encode(content, "UTF-8").alias("content"),
     )
@@ -119,14 +119,14 @@ def email_layout(spark, sf_dir):
 
 
 def html_layout(spark, sf_dir):
-    counts = staging.table(spark, sf_dir, "pages").select("page_id", layout.html_layout_counts("html").alias("c"))
+    counts = staging.table(spark, sf_dir, "pages", costly=True).select("page_id", layout.html_layout_counts("html").alias("c"))
     rows = counts.select("page_id", layout.html_metrics(F.col("c")).alias("m")).select("page_id", "m.*")
     return rows.withColumn("text_density", F.round("text_density", 6))
 
 
 def html_text(spark, sf_dir):
     stripped = text.collapse_whitespace(text.strip_tags("html"))
-    return staging.table(spark, sf_dir, "pages").select(
+    return staging.table(spark, sf_dir, "pages", costly=True).select(
         "page_id", F.length(stripped).alias("chars"), binary.checksum(F.encode(stripped, "UTF-8")).alias("checksum")
     )
 

@@ -161,7 +161,7 @@ def ingestion_metadata(spark, sf_dir):
         *_rounded(["layout_density", "image_density"] + SHARES),
         "total_tables", "total_checkboxes", "document_category", "parser_strategy", "strategy_reason", "parser_model",
         "strategy_max_pages", "overrides_applied", "request_override",
-        F.size(F.from_json("page_metrics", "array<struct<index:int>>")).alias("listed_pages"),
+        F.json_array_length("page_metrics").alias("listed_pages"),
     )
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.session import spread
+
 
 # Column types of the provided tables.
 TABLE_SCHEMAS = {
@@ -25,8 +27,10 @@ TABLE_SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) -> DataFrame:
+    """A provided table; ``costly`` says that much per-row work follows the scan."""
+    rows = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if costly else rows
 
 
 def _k() -> Column:
@@ -38,7 +42,7 @@ def _text(*parts) -> Column:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_from(table(spark, sf_dir, "events"))
+    return messages_from(table(spark, sf_dir, "events", costly=True))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,7 +127,7 @@ def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", costly=True).select(
         _text("d-", F.col("doc_id")).alias("document_id"),
         _text("s3://docs/", F.col("source"), "/", F.col("doc_id"), ".txt").alias("source_uri"),
         "doc_id",
@@ -138,7 +142,7 @@ def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` rows as three-column table rows; line numbers repeat, so cells collide."""
     order = F.col("l_partkey") * 10000000 + F.round(F.col("l_extendedprice") * 100).cast("long") % 10000000
     content = F.array("l_returnflag", F.lit(""), F.col("l_quantity").cast("int").cast("string"))
-    exploded = table(spark, sf_dir, "lineitem").select(
+    exploded = table(spark, sf_dir, "lineitem", costly=True).select(
         _text("o-", F.col("l_orderkey")).alias("document_id"),
         F.col("l_linenumber").alias("row_index"),
         order.alias("_order"),
@@ -272,11 +276,11 @@ def canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(table(spark, sf_dir, "documents"), "text", _text("d-", F.col("doc_id")).alias("document_id"))
+    return _lines(table(spark, sf_dir, "documents", costly=True), "text", _text("d-", F.col("doc_id")).alias("document_id"))
 
 
 def turn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").where("turn = 0 OR turn % 2 = 1")
+    turns = table(spark, sf_dir, "conversations", costly=True).where("turn = 0 OR turn % 2 = 1")
     return _lines(turns, "text", turn_id().alias("document_id"))
 
 

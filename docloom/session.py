@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "docloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,6 +30,15 @@ def build_session(app_name: str = "docloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores on a scan with too few splits for a costly per-row stage.
+
+    A scan that already has enough partitions, any large one, is left as it is.
+    """
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() * 2 <= wanted else rows
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

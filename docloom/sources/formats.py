@@ -134,10 +134,16 @@ def _per_message(documents: DataFrame, content: str, rows_of, schema: str) -> Da
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
+            # one frame per 32 MiB of messages: small enough to hold, large enough to hand over cheaply
+            rows, size = [], 0
             for document_id, data in zip(frame["document_id"], frame[content]):
-                rows = [(document_id, *r) for r in rows_of(message_from_bytes(data or b""), data or b"")]
-                if rows:
+                rows.extend((document_id, *r) for r in rows_of(message_from_bytes(data or b""), data or b""))
+                size += len(data or b"")
+                if size > 1 << 25:
                     yield pd.DataFrame(rows, columns=names)
+                    rows, size = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     return documents.select("document_id", content).mapInPandas(read, schema)
 

@@ -71,16 +71,30 @@ def layer_rules(*layers: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def regex_compiles(spark: SparkSession, pattern: str) -> bool:
-    """True if the pattern is valid here and in Spark's regex engine (checked by folding a literal)."""
+def _compiles_here(pattern: str) -> bool:
     try:
         re.compile(pattern)
-        spark.range(1).select(F.lit("").rlike(pattern)).head()
+    except re.error:
+        return False
+    return True
+
+
+def _compile_in_spark(spark: SparkSession, patterns: list[str]) -> bool:
+    try:
+        spark.range(1).select(*[F.lit("").rlike(p).alias(f"p{i}") for i, p in enumerate(patterns)]).collect()
     except Exception:
         return False
     return True
 
 
+def valid_patterns(spark: SparkSession, patterns: list[str]) -> set[str]:
+    """Patterns that compile both here and in Spark's regex engine; checked together, singly only if one fails."""
+    known = [p for p in dict.fromkeys(patterns) if _compiles_here(p)]
+    if not known or _compile_in_spark(spark, known):
+        return set(known)
+    return {p for p in known if _compile_in_spark(spark, [p])}
+
+
 def rule_pages(rules: DataFrame, size: int):
     """Valid rules in priority order, ``size`` at a time, so the driver never holds the whole table."""
     spark = rules.sparkSession
@@ -90,7 +104,8 @@ def rule_pages(rules: DataFrame, size: int):
         rows = page.orderBy("priority").limit(size).collect()
         if not rows:
             return
-        yield [r for r in rows if regex_compiles(spark, r["pattern"])]
+        valid = valid_patterns(spark, [r["pattern"] for r in rows])
+        yield [r for r in rows if r["pattern"] in valid]
         if len(rows) < size:
             return
         last = rows[-1]["priority"]
