@@ -23,6 +23,11 @@ from docloom.functions.text import blank_to_null, strip
 
 Adapter = Callable[[DataFrame], DataFrame]
 
+# Provider names stored with the extracted parts.
+ANALYZE, VISION, PAGES, EMAIL, MULTI = (
+    "azure_document_intelligence", "databricks_llm_image", "pymupdf", "email_parser", "multi_parser",
+)
+
 _REGION = "struct<page_number:string,pageNumber:string,polygon:array<double>,bounding_box:array<double>,boundingBox:array<double>>"
 _REGIONS = f"bounding_regions:array<{_REGION}>,boundingRegions:array<{_REGION}>,regions:array<{_REGION}>"
 _BOX = (
@@ -166,7 +171,7 @@ def _region_parts(owner: Column, default_page: Column | int | None) -> dict[str,
 
 def analyze_adapter(payloads: DataFrame) -> DataFrame:
     """Analyze results: paragraphs (page lines when there are none), tables, document fields, pages."""
-    name = "azure_document_intelligence"
+    name = ANALYZE
     body = F.when(has_key("payload", "analyzeResult"), F.get_json_object("payload", "$.analyzeResult")).otherwise(F.col("payload"))
     rows = payloads.withColumns({"_p": F.from_json(body, _ANALYZE), "_meta": merge_maps(_provider(name), _caller_metadata())})
     p = F.col("_p")
@@ -280,7 +285,7 @@ def _vision_region(x: Column) -> dict[str, Column]:
 
 def vision_adapter(payloads: DataFrame) -> DataFrame:
     """Vision responses: spans, fields, visual descriptions; one overall description may stand for all visuals."""
-    name = "databricks_llm_image"
+    name = VISION
     rows = payloads.withColumn("_p", F.from_json("payload", _VISION))
     p = F.col("_p")
     overall = first_truthy(p["overall_description"], p["summary"])
@@ -369,7 +374,7 @@ def page_adapter(payloads: DataFrame) -> DataFrame:
 
     A page numbered 0 counts as page 1, and so does page 1: zero falls through the number keys.
     """
-    name = "pymupdf"
+    name = PAGES
     rows = payloads.withColumn("_p", F.from_json("payload", _PAGES))
     p = F.col("_p")
     pages = _items(p["pages"])
@@ -509,7 +514,7 @@ def attachment_structs(raw: Column, require_id: bool) -> Column:
 
 def email_adapter(payloads: DataFrame) -> DataFrame:
     """Parsed emails: body and extra spans, header and entity fields, attachments."""
-    name = "email_parser"
+    name = EMAIL
     rows = payloads.withColumn("_p", F.from_json("payload", _EMAIL))
     p = F.col("_p")
 
@@ -573,10 +578,10 @@ def email_adapter(payloads: DataFrame) -> DataFrame:
 # --- registry and merge --------------------------------------------------------------
 
 ADAPTERS: dict[str, Adapter] = {
-    "azure_document_intelligence": analyze_adapter,
-    "databricks_llm_image": vision_adapter,
-    "pymupdf": page_adapter,
-    "email_parser": email_adapter,
+    ANALYZE: analyze_adapter,
+    VISION: vision_adapter,
+    PAGES: page_adapter,
+    EMAIL: email_adapter,
 }
 
 
@@ -665,7 +670,7 @@ def merge_parsers(payloads: DataFrame, registry: dict[str, Adapter]) -> DataFram
             "_visuals": concat_parts("visual_descriptions"),
             "_segments": concat_parts("page_segments"),
             "_attachments": F.concat(F.coalesce(concat_parts("attachments"), F.array().cast(f"array<{schemas.ATTACHMENT}>")), "_extra"),
-            "_meta": merge_maps(_provider("multi_parser"), shared, listed),
+            "_meta": merge_maps(_provider(MULTI), shared, listed),
         }
     )
 

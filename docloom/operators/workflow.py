@@ -14,11 +14,12 @@ from docloom.functions.binary import checksum
 from docloom.functions.records import json_map, merge_maps
 from docloom.functions.text import blank_to_null
 from docloom.operators import denorm, enrichment, parts, store, summaries
+from docloom.operators.adapters import ANALYZE
 from docloom.sources import formats
 from docloom.sources.content import union_all
 
 # What the local readers report about themselves.
-PROVIDER = "azure_document_intelligence"
+PROVIDER = ANALYZE
 READER_CONFIDENCE = 0.93
 CSV_TABLE, CSV_CAPTION = "csv-table", "CSV data table"
 

@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.operators import results, telemetry
+from docloom.operators import results, telemetry, workflow
 from docloom.plans import staging
+from docloom.plans.content_queries import _emails
 from docloom.plans.routing_queries import MESSAGE_CONFIG, MESSAGE_RULES, _rounded, _rules
 from docloom.plans.service_queries import _shown, _stamp, job_events_from
 from docloom.session import ensure_checkpoint_dir
@@ -79,7 +80,17 @@ def stream_attempts(spark, sf_dir):
     return _state(spark, msg.attempts(sent), ["message_id"], "attempts")
 
 
+def stored_mail(spark, sf_dir):
+    """Every message processed into the store, attachments included, then a second pass that finds nothing new."""
+    base = f"{_scratch(spark, 'store')}/documents"
+    mail = _emails(spark, sf_dir).withColumns({"mime_type": F.lit("message/rfc822"), "metadata": F.lit("{}")})
+    done = workflow.process(mail, base)
+    again = workflow.process(mail, base, batch="batch-1")
+    rows = done.rows["doc"].unionByName(again.rows["doc"])
+    return rows.select("bundle_id", "part_id", "total_pages", "total_blocks", "status")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (stream_ingest, stream_dead_letters, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts)
+    for f in (stream_ingest, stream_dead_letters, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail)
 }

@@ -90,3 +90,9 @@ def run_summary(spark: SparkSession, config: IngestConfig) -> DataFrame:
     """Messages, batches and failures of the run, from its event table."""
     events = spark.read.parquet(config.path("events"))
     return telemetry.run_summary(telemetry.batch_summary(events))
+
+
+def write_run_summary(spark: SparkSession, config: IngestConfig, queue_url: str) -> None:
+    """Append the run's totals once its query has stopped."""
+    summary = run_summary(spark, config).withColumns({"queue_url": F.lit(queue_url), "completed_at": F.current_timestamp()})
+    summary.write.mode("append").parquet(config.path("run_summary"))

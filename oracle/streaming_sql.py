@@ -1,6 +1,9 @@
 from oracle.common import MESSAGE_PAGES, MESSAGES
+from oracle.content_sql import _MAIL
 from oracle.service_sql import _JOBS, SQL as _BATCH
 
+_CSV = "(regexp_matches(hx, '^(..)*2C') AND regexp_matches(hx, '^(..)*0A'))"
+
 SQL = {
     "stream_ingest": f"""WITH {MESSAGE_PAGES} SELECT message_id, source_path, CASE event_type WHEN 'click' THEN 'PDF' WHEN 'signup' THEN 'eml' ELSE 'tiff' END AS file_type,
         page_count, round(average_text_density, 6) AS layout_density, document_category, parser_strategy, overrides_applied, NULL AS failure_reason FROM message_routed
@@ -9,5 +12,8 @@ SQL = {
     "stream_run_summary": f"""WITH {MESSAGES} SELECT 'run-0' AS run_id, count(*) AS messages, count(failure_reason) AS failures FROM messages""",
     "stream_telemetry": _BATCH["telemetry_5m"],
     "stream_job_status": f"WITH {_JOBS} SELECT job_id, status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS updated_at FROM jobs",
+    "stored_mail": f"""WITH {_MAIL}, t AS (SELECT *, substr(hex(encode(text)), 1, 200) AS hx FROM mail)
+        SELECT document_id AS bundle_id, NULL AS part_id, 1::BIGINT AS total_pages, 5::BIGINT AS total_blocks, 'succeeded' AS status FROM t
+        UNION ALL SELECT document_id, 'root.attachment-1', 1, CASE WHEN {_CSV} AND NOT starts_with(text, chr(10)) THEN 3 ELSE 2 END, 'succeeded' FROM t""",
     "stream_attempts": f"WITH {MESSAGES} SELECT message_id, receive_count, 1::BIGINT AS deliveries FROM messages",
 }
