@@ -180,7 +180,7 @@ def results_gate(spark, sf_dir):
 
 def notification_outbox(spark, sf_dir):
     jobs = _jobs(spark, sf_dir)
-    emitted = jobs.where("CAST(job_id AS INT) % 5 = 0").select("job_id")
+    emitted = staging.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("job_id"))
     return results.notification_outbox(jobs, emitted, _now())
 
 
@@ -266,8 +266,10 @@ def review_scan(spark, sf_dir):
 
 def review_outcomes(spark, sf_dir):
     events = review.outcome_events(_reviews(spark, sf_dir))
-    tried = events.where("CAST(substring(document_id, 3) AS INT) % 2 = 0").select(
-        "document_id", "trigger", F.when(F.expr("CAST(substring(document_id, 3) AS INT) % 4 = 0"), "timeout").alias("error")
+    labels = staging.table(spark, sf_dir, "labels")
+    tried = labels.select(
+        F.concat(F.lit("d-"), F.col("doc_id").cast("string")).alias("document_id"), F.lit("low_extraction_quality").alias("trigger"),
+        F.when(F.col("toxic") == 1, "timeout").alias("error"),
     )
     published = review.publish_outcomes(events, tried)
     value = lambda k: F.get_json_object("payload", f"$.{k}")

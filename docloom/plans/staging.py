@@ -227,14 +227,14 @@ def order_id() -> Column:
 
 
 def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later turns attached to turn 0; even turns come without a document of their own."""
+    """Later turns attached to turn 0; only the assistant's come with a document of their own."""
     turn, conv = F.col("turn"), F.col("conv_id")
     return table(spark, sf_dir, "conversations").where("turn > 0").select(
         _text("c-", conv).alias("document_id"),
         (turn + 1).alias("walk_index"),
         _text("turn-", turn, ".txt").alias("file_name"),
         _text("text/", F.col("role")).alias("mime_type"),
-        F.when(turn % 2 == 1, _text("c-", conv, "::attachment-", turn + 2)).alias("child_document_id"),
+        F.when(F.col("role") == "assistant", _text("c-", conv, "::attachment-", turn + 2)).alias("child_document_id"),
     )
 
 
@@ -265,7 +265,7 @@ def canonical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows(table(spark, sf_dir, "pages"), _text("p-", F.col("page_id")), F.lit("page"), "text/html", F.lit("{}"), F.lit(True)),
         rows(table(spark, sf_dir, "benchmark"), _text("b-", F.col("item_id")), none, "text/plain", F.lit("{}"), F.lit(True)),
         rows(
-            table(spark, sf_dir, "conversations").where("turn = 0 OR turn % 2 = 1"), turn_id(), F.lit("turn"), "message/rfc822",
+            table(spark, sf_dir, "conversations").where("turn = 0 OR role = 'assistant'"), turn_id(), F.lit("turn"), "message/rfc822",
             meta(provider=F.lit("email")), turn == 0,
         ),
     ]
@@ -280,7 +280,7 @@ def document_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations", costly=True).where("turn = 0 OR turn % 2 = 1")
+    turns = table(spark, sf_dir, "conversations", costly=True).where("turn = 0 OR role = 'assistant'")
     return _lines(turns, "text", turn_id().alias("document_id"))
 
 

@@ -73,7 +73,7 @@ SQL = {
         FROM open_res WHERE job_id = (SELECT min(job_id) FROM open_res) AND sequence >= 40 AND sequence < 60""",
     "results_keyset": f"WITH {_RESULTS} SELECT * FROM open_res WHERE job_id = (SELECT min(job_id) FROM open_res) AND sequence >= 40 AND sequence < 60",
     "results_gate": f"WITH {_RESULTS} SELECT job_id, count(*) AS documents, max(sequence) AS last_sequence FROM open_res GROUP BY 1",
-    "notification_outbox": f"""WITH {_JOBS}, due AS (SELECT * FROM jobs WHERE status IN ('succeeded', 'partially_succeeded') AND user_id % 2 = 0 AND user_id % 7 <> 0 AND user_id % 5 <> 0),
+    "notification_outbox": f"""WITH {_JOBS}, due AS (SELECT * FROM jobs WHERE status IN ('succeeded', 'partially_succeeded') AND user_id % 2 = 0 AND user_id % 7 <> 0 AND user_id NOT IN (SELECT doc_id FROM labels)),
         t AS (SELECT *, 'webhook' AS kind, 'http://h/' || user_id AS target FROM due UNION ALL SELECT *, 'sns', 'topic' FROM due WHERE user_id % 4 = 0)
         SELECT job_id, status, CASE WHEN user_id % 3 = 0 THEN '[]' ELSE '[{{"name": "n' || event_id || '", "status": "running"}}]' END AS enrichments,
         '2024-02-01T00:00:00.000000Z' AS published_at, kind, target FROM t""",
@@ -91,9 +91,9 @@ SQL = {
         ORDER BY cand.created_at DESC, document_id LIMIT 40""",
     "review_scan": """SELECT 'd-' || doc_id AS document_id, 'j' AS job_id, 'manual' AS trigger, NULL AS standardized_output, '{}' AS insights, source FROM documents WHERE lang = 'en'
         UNION ALL SELECT 'd-' || doc_id, source, CASE WHEN lang = 'fr' THEN 'fraud_signal' END, '{}', '{"lang":"' || lang || '"}', NULL FROM documents""",
-    "review_outcomes": f"""WITH {_REVIEWS} SELECT document_id, CASE WHEN doc_id % 2 = 1 THEN 'pending' WHEN doc_id % 4 = 0 THEN 'failed' ELSE 'sent' END AS status,
-        CASE WHEN doc_id % 4 = 0 THEN 'timeout' END AS error_message, outcome, '{{"v":9}}' AS canonical, NULL AS standardized, '{{"i":1}}' AS insights
-        FROM reviews WHERE status = 'completed'""",
+    "review_outcomes": f"""WITH {_REVIEWS} SELECT document_id, CASE WHEN toxic IS NULL THEN 'pending' WHEN toxic = 1 THEN 'failed' ELSE 'sent' END AS status,
+        CASE WHEN toxic = 1 THEN 'timeout' END AS error_message, outcome, '{{"v":9}}' AS canonical, NULL AS standardized, '{{"i":1}}' AS insights
+        FROM reviews LEFT JOIN labels USING (doc_id) WHERE status = 'completed'""",
     "review_counts": f"""WITH {_REVIEWS} SELECT status, 'low_extraction_quality' AS trigger, outcome, count(*) AS reviews FROM reviews GROUP BY ALL""",
     "review_state": """WITH e AS (SELECT *, CASE event_type WHEN 'click' THEN 'assign' WHEN 'view' THEN 'unassign' ELSE 'complete' END AS event
           FROM events WHERE event_type IN ('click', 'view', 'purchase'))
