@@ -42,8 +42,11 @@ class IngestConfig:
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Write a micro-batch's rows as its own partition; a replay replaces it."""
-    stamped = rows.withColumn("batch_id", F.lit(batch_id))
+    """Write a micro-batch's rows as its own partition; a replay replaces it.
+
+    Rebalancing merges the many small shuffle outputs into few files and splits a dominant partition value.
+    """
+    stamped = rows.hint("rebalance", *partitions).withColumn("batch_id", F.lit(batch_id))
     writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("batch_id", *partitions).parquet(path)
 
