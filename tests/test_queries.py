@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tests.compare import compare, duck
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.library_queries(), entry.library_sql()
 
 
 @pytest.fixture(scope="module")
