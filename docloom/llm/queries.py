@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lm, merging
+from . import fingerprints, lm, merging, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    found = warc.read_archive(spark, f"{folder}/*.txt").where("kind = 'record'")
+    number = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) AS bigint)")
+    return found.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edited(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -21,6 +31,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", lm.remainder("doc_id", 5) == 0)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(lm.remainder("doc_id", 5) != 0)
+    model = quality.train(docs.where(~F.col("held_out")), labels)
+    return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     marked = docs.withColumn("held_out", lm.remainder("doc_id", 7) == 2)
@@ -30,7 +47,9 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_warc_salvage": op3_warc_salvage,
     "op4_fingerprints": op4_fingerprints,
     "op6_token_counts": op6_token_counts,
+    "op7_quality_classifier": op7_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
 }

@@ -1,3 +1,17 @@
 """Expected results of the corpus queries as SQL, where SQL can express them."""
 
-SQL: dict[str, str] = {}
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+#: Base32 of a SHA-1: five hexadecimal digits make four letters.
+_DIGEST = f"""array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('{_BASE32}', 1 + ((('0x' || substr(hex, 1 + 5 * g, 5))::BIGINT >> s) & 31), 1)), '')), '')"""
+
+SQL: dict[str, str] = {
+    "op3_warc_salvage": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     h AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, {_DIGEST} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h""",
+}
