@@ -34,7 +34,7 @@ _END = np.uint64(0x1F83D9ABFB41BD6B)
 _START = np.uint64(0x5BE0CD19137E2179)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Tokens a counting task holds before it sends its blocks.
-CHUNK = 3_000_000
+CHUNK = 1_000_000
 
 
 def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
