@@ -91,8 +91,8 @@ def _spread(table: Pieces, symbol: np.ndarray, code: np.ndarray) -> np.ndarray:
     return np.where(unknown, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), 1)
 
 
-def _long_count(table: Pieces, text: str) -> int:
-    """Merge one very long pre-token with a heap of (rank, position)."""
+def merge_long(table: Pieces, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Surviving symbols of one very long pre-token and their first characters, merged with a heap of (rank, position)."""
     code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     symbol = table.letters[code].tolist()
     n = len(symbol)
@@ -123,7 +123,16 @@ def _long_count(table: Pieces, text: str) -> int:
         if before[i] >= 0:
             push(before[i], i)
     keep = np.array(alive)
-    return int(_spread(table, np.array(symbol)[keep], code[keep]).sum())
+    return np.array(symbol)[keep], code[keep]
+
+
+def merged_as(table: Pieces, texts: list[str], cut: np.ndarray) -> np.ndarray:
+    """Whether each short text merges into exactly two symbols that meet at character ``cut``."""
+    code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    second = np.full(len(texts), -1, np.int64)
+    counts = _merge_all(table, table.letters[code], code, size, second)
+    return (counts == 2) & (second == cut)
 
 
 def merge_counts(table: Pieces, texts: list[str]) -> np.ndarray:
@@ -131,7 +140,7 @@ def merge_counts(table: Pieces, texts: list[str]) -> np.ndarray:
     totals = np.zeros(len(texts), np.int64)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     for i in np.flatnonzero(lengths > LONG):
-        totals[i] = _long_count(table, texts[i])
+        totals[i] = _spread(table, *merge_long(table, texts[i])).sum()
     short = np.flatnonzero((lengths > 0) & (lengths <= LONG))
     for lo in range(0, len(short), 100_000):
         chosen = short[lo : lo + 100_000]
@@ -141,8 +150,10 @@ def merge_counts(table: Pieces, texts: list[str]) -> np.ndarray:
     return totals
 
 
-def _merge_all(table: Pieces, symbol: np.ndarray, code: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _merge_all(table: Pieces, symbol: np.ndarray, code: np.ndarray, size: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    """Tokens of each sequence; ``second`` gets the place of each sequence's second symbol."""
     out = np.zeros(len(size), np.int64)
+    place = None if second is None else np.arange(len(symbol)) - np.repeat(np.cumsum(size) - size, size)
     row = np.arange(len(size))  # where each active sequence came from
     ends = np.cumsum(size)
     rank = np.full(len(symbol), _NEVER, np.int32)
@@ -158,6 +169,10 @@ def _merge_all(table: Pieces, symbol: np.ndarray, code: np.ndarray, size: np.nda
             spread = np.add.reduceat(_spread(table, symbol, code), starts)
             out[row[~going]] = spread[~going]
             keep = np.repeat(going, size)
+            if second is not None:
+                two = ~going & (size > 1)
+                second[row[two]] = place[starts[two] + 1]
+                place = place[keep]
             symbol, code, rank, merged = symbol[keep], code[keep], rank[keep], merged[keep]
             row, size, lowest = row[going], size[going], lowest[going]
             ends = np.cumsum(size)
@@ -172,6 +187,8 @@ def _merge_all(table: Pieces, symbol: np.ndarray, code: np.ndarray, size: np.nda
         keep[first + 1] = False
         moved = first - np.arange(len(first))
         symbol, code, rank, merged = symbol[keep], code[keep], rank[keep], merged[keep]
+        if second is not None:
+            place = place[keep]
         size = size - 1
         ends = np.cumsum(size)
         starts = ends - size

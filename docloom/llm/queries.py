@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lm, merging, quality, warc
+from . import fingerprints, html, lm, merging, pieces, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pieces.encode_decode(_documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip")
+
+
 def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
@@ -26,6 +31,12 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edited(_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    found = html.add_text(pages, html.learn(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = merging.count_tokens(_documents(spark, sf_dir).select("doc_id", "text"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -47,8 +58,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_piece_encoding": op2_piece_encoding,
     "op3_warc_salvage": op3_warc_salvage,
     "op4_fingerprints": op4_fingerprints,
+    "op5_html_extraction": op5_html_extraction,
     "op6_token_counts": op6_token_counts,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
