@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html, lm, merging, pieces, quality, warc
+from . import fingerprints, html, jaccard, lm, merging, pieces, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "component_size")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     marked = docs.withColumn("held_out", lm.remainder("doc_id", 7) == 2)
@@ -64,5 +68,6 @@ QUERIES = {
     "op5_html_extraction": op5_html_extraction,
     "op6_token_counts": op6_token_counts,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_lm_scoring": op10_lm_scoring,
 }
