@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html, jaccard, lm, merging, pieces, quality, warc
+from . import fingerprints, html, jaccard, lines, lm, merging, pieces, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_shingles", "component_id", "component_size")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.dedup(_documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select(
+        "doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), F.col("_gone").alias("removed_lines"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     marked = docs.withColumn("held_out", lm.remainder("doc_id", 7) == 2)
@@ -69,5 +76,6 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
 }
