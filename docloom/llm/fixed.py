@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 _SLICES = 64
 
 
-def summed(rows: DataFrame, length: int, count: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
-    """Sum over the tasks of the arrays that ``count`` fills, batch by batch."""
+def summed(rows: DataFrame, length: int, count: Callable[[pa.RecordBatch, np.ndarray], None], kind: type = np.int64) -> np.ndarray:
+    """Sum over the tasks of the arrays that ``count`` fills, batch by batch.  ``kind`` has eight bytes."""
     width = -(-length // _SLICES)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(width * _SLICES, np.int64)
+        held = np.zeros(width * _SLICES, kind)
         for batch in batches:
             count(batch, held)
         for i in range(_SLICES):
@@ -28,13 +28,13 @@ def summed(rows: DataFrame, length: int, count: Callable[[pa.RecordBatch, np.nda
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([pa.compress(part.tobytes(), "zstd", asbytes=True)], pa.binary())], ["slice", "block"])
 
     def merge(table: pa.Table) -> pa.Table:
-        total = np.zeros(width, np.int64)
+        total = np.zeros(width, kind)
         for block in table.column("block"):
-            total += np.frombuffer(pa.decompress(block.as_py(), width * 8, "zstd", asbytes=True), np.int64)
+            total += np.frombuffer(pa.decompress(block.as_py(), width * 8, "zstd", asbytes=True), kind)
         return pa.table({"slice": table.column("slice")[:1], "block": pa.array([pa.compress(total.tobytes(), "zstd", asbytes=True)], pa.binary())})
 
-    out = np.zeros(width * _SLICES, np.int64)
+    out = np.zeros(width * _SLICES, kind)
     parts = rows.mapInArrow(work, "slice int, block binary").groupBy("slice").applyInArrow(merge, "slice int, block binary")
     for row in parts.collect():
-        out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(pa.decompress(bytes(row["block"]), width * 8, "zstd", asbytes=True), np.int64)
+        out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(pa.decompress(bytes(row["block"]), width * 8, "zstd", asbytes=True), kind)
     return out[:length]

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html, jaccard, lines, lm, merging, pieces, quality, warc
+from . import decontam, fingerprints, html, jaccard, lines, lm, merging, pieces, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(_documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pieces.encode_decode(_documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip")
@@ -69,6 +73,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_piece_encoding": op2_piece_encoding,
     "op3_warc_salvage": op3_warc_salvage,
     "op4_fingerprints": op4_fingerprints,

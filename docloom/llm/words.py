@@ -35,7 +35,9 @@ def _tables():
         space[list(_SPACES)] = True
         values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         values[65:91] = values[97:123]
-        _state.update(space=space, values=values, power=np.ones(1, np.uint64), inverse=np.ones(1, np.uint64))
+        letters = np.zeros(256, bool)
+        letters[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+        _state.update(space=space, parted=~letters, values=values, power=np.ones(1, np.uint64), inverse=np.ones(1, np.uint64))
     return _state
 
 
@@ -86,8 +88,8 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         row = min(stop, rows)
 
 
-def word_blocks(texts: pa.Array) -> Iterator[Block]:
-    """Hashes of every word of every row, slice by slice."""
+def word_blocks(texts: pa.Array, parted: bool = False) -> Iterator[Block]:
+    """Hashes of every word of every row, slice by slice.  ``parted``: ASCII punctuation and symbols part words too."""
     offsets, data = _buffers(texts)
     t = _tables()
     for lo, hi in slices(offsets):
@@ -98,7 +100,7 @@ def word_blocks(texts: pa.Array) -> Iterator[Block]:
             empty = np.zeros(0, np.int64)
             yield Block(lo, np.zeros(0, np.uint64), np.zeros(hi - lo + 1, np.int64), empty, empty, part)
             continue
-        word = ~t["space"][part]
+        word = ~t["parted" if parted else "space"][part]
         edge = np.zeros(n + 1, bool)
         edge[at] = True
         first, last = word.copy(), word.copy()
