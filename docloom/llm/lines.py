@@ -20,13 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import bitmaps
 
 #: Similarity in percent and the fewest distinct words of a line that can go.
 PERCENT, LEAST = 80, 5
 #: Hash buckets of the rarity order.
 BUCKETS = 4096
-#: Bitmaps of 32 768 bits each that tell which lines or documents a join concerns: 2^23 bits, 1 MiB in all.
-BITMAPS = 256
 
 
 def _words(line: Column) -> Column:
@@ -62,28 +61,6 @@ def _keys(line: Column, levels: list[int]) -> Column:
     return F.sort_array(F.array_distinct(ranked))
 
 
-def _concerned(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key is in ``wanted``, and a few more: a test against bitmaps of a fixed size."""
-    number = F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * 32768))
-    bits = wanted.select(number.alias("_n")).groupBy((F.col("_n") / 32768).cast("int").alias("_map")).agg(F.bitmap_construct_agg(F.col("_n") % 32768).alias("_bits"))
-    placed = rows.withColumn("_n", number).withColumn("_map", (F.col("_n") / 32768).cast("int"))
-    joined = placed.join(F.broadcast(bits), "_map")
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_n % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    hit = F.expr("cast(_n % 8 as int)")
-    return joined.withColumn("_byte", byte).where(F.call_function("shiftright", F.col("_byte"), hit).bitwiseAND(F.lit(1)) == 1).drop("_n", "_map", "_bits", "_byte")
-
-
-def _not_concerned(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    number = F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * 32768))
-    bits = wanted.select(number.alias("_n")).groupBy((F.col("_n") / 32768).cast("int").alias("_map")).agg(F.bitmap_construct_agg(F.col("_n") % 32768).alias("_bits"))
-    placed = rows.withColumn("_n", number).withColumn("_map", (F.col("_n") / 32768).cast("int"))
-    joined = placed.join(F.broadcast(bits), "_map", "left")
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_n % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    hit = F.expr("cast(_n % 8 as int)")
-    miss = F.coalesce(F.call_function("shiftright", F.col("_byte"), hit).bitwiseAND(F.lit(1)), F.lit(0)) == 0
-    return joined.withColumn("_byte", byte).where(miss).drop("_n", "_map", "_bits", "_byte")
-
-
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id and line_no of every line that an earlier one matches."""
     spark = docs.sparkSession
@@ -115,7 +92,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # whole token sets of the first lines of these entries
     asked = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct().join(firsts, "entry").select("entry", "first.doc_id", "first.line_no")
     asked = save(asked, "asked")
-    texts = _concerned(_lines(docs), asked, ["doc_id", "line_no"])
+    texts = bitmaps.concerned(_lines(docs), asked, ["doc_id", "line_no"])
     sets = texts.join(asked.withColumnsRenamed({"doc_id": "d", "line_no": "l"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
     sets = save(sets.select("entry", "d", "l", _keys(F.col("line"), levels).alias("keys")).where(F.xxhash64("keys") == F.col("entry")).dropDuplicates(["entry"]), "sets")
     one, two = (sets.select(F.col("entry").alias(x), F.struct("d", "l").alias(f"at_{x}"), F.col("keys").alias(f"keys_{x}")) for x in ("a", "b"))
@@ -135,8 +112,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(cut, i)), "\n"))
     none = F.lit(None).cast("array<int>")
-    touched = _concerned(docs, gone.select(F.col("_doc").alias("doc_id")), ["doc_id"]).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
-    clear = _not_concerned(docs, gone.select(F.col("_doc").alias("doc_id")), ["doc_id"]).withColumn("_gone", none)
+    touched = bitmaps.concerned(docs, gone.select(F.col("_doc").alias("doc_id")), ["doc_id"]).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    clear = bitmaps.others(docs, gone.select(F.col("_doc").alias("doc_id")), ["doc_id"]).withColumn("_gone", none)
     every = clear.unionByName(touched)
     every = every.withColumn("_lines", F.coalesce(F.size(cut), F.lit(0))).withColumn("_removed", F.coalesce(F.size("_gone"), F.lit(0)))
     return every.withColumn("text", text)

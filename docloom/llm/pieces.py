@@ -21,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import merging
 
@@ -231,38 +232,43 @@ class Encoder:
         return text[1:] if text.startswith(" ") else text
 
 
-def encode_decode(docs: DataFrame, model: str = MODEL, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, n_bytes, n_tokens, ids, decoded text and whether it is the text again (with the space mark as a space)."""
+def encode_decode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame:
+    """Append n_bytes, n_tokens, ids, the decoded text and whether it is the text again (with the space mark as a space).
+
+    Columns of those names are replaced; all others are kept.
+    """
+    added = {"n_bytes": "bigint", "n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "round_trip": "boolean"}
+    kept = [c for c in docs.columns if c not in added]
+    place = kept.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
         for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist()
             lo = 0
-            sizes = [len(x) if x else 0 for x in (v.as_buffer() if v.is_valid else None for v in batch.column(1))]
             while lo < batch.num_rows:
                 hi, held = lo, 0
                 while hi < batch.num_rows and (hi == lo or held + sizes[hi] < 4_000_000):
                     held += sizes[hi]
                     hi += 1
                 part = batch.slice(lo, hi - lo)
-                texts = [x or "" for x in part.column(1).to_pylist()]
+                texts = [x or "" for x in part.column(place).to_pylist()]
                 ids = encoder.encode(texts)
                 decoded = [encoder.decode(x) for x in ids]
                 counts = np.array([len(x) for x in ids], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([len(x.encode()) for x in texts], pa.int64()),
-                        pa.array(counts, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())),
-                        pa.array(decoded, pa.string()),
-                        pa.array([d == t.replace("▁", " ") for d, t in zip(decoded, texts, strict=True)], pa.bool_()),
-                    ],
-                    ["key", "n_bytes", "n_tokens", "ids", "decoded", "round_trip"],
-                )
+                new = [
+                    pa.array(sizes[lo:hi], pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())),
+                    pa.array(decoded, pa.string()),
+                    pa.array([d == t.replace("▁", " ") for d, t in zip(decoded, texts, strict=True)], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], [*kept, *added])
                 lo = hi
 
-    kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(work, f"key {kind}, n_bytes bigint, n_tokens bigint, ids array<int>, decoded string, round_trip boolean")
-    return out.withColumnRenamed("key", key)
+    rows = docs.select(*kept)
+    schema = rows.schema
+    for name, kind in added.items():
+        schema = StructType([*schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
+    return rows.mapInArrow(work, schema)

@@ -210,14 +210,14 @@ def _calibrate(rows: DataFrame, model: Model) -> tuple[float, float]:
     return (float(a), float(b)) if np.isfinite([a, b]).all() and a > 0 else (1.0, 0.0)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Append ``score``, the probability of label 1, and ``predicted``; columns of those names are replaced."""
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score", decision: str = "predicted") -> DataFrame:
+    """Append the probability of label 1 and the decision; columns of those names are replaced, all others kept."""
 
     @F.pandas_udf("double")
     def work(column: pd.Series) -> pd.Series:
         return pd.Series(model.probability(statistics(pa.array(column, pa.string(), from_pandas=True))))
 
-    return docs.withColumn("score", work(F.col(text))).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return docs.withColumn(name, work(F.col(text))).withColumn(decision, (F.col(name) >= THRESHOLD).cast("int"))
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
