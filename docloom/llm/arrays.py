@@ -77,7 +77,7 @@ def open_arrays(folder: str, name: str) -> dict[str, np.ndarray]:
 
 
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
-    """Number of the range of 2^64 / shards hashes that holds each hash."""
+    """Number of the range of 2^64 / shards hashes, two at least, that holds each hash."""
     return np.minimum(hashes // np.uint64((1 << 64) // shards), np.uint64(shards - 1)).astype(np.int64)
 
 
