@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words
+
 MODEL = "piece_bpe_32k.model"
 #: Distinct pre-tokens a task remembers; beyond it the memory starts anew.
 MEMORY = 400_000
@@ -70,7 +72,7 @@ class Pieces:
         return np.where(found, self.ranks[at], _NEVER), np.where(found, self.merged[at], -1)
 
 
-_loaded: dict[str, Pieces] = {}
+_loaded = words.Local()
 
 
 def pieces(model: str) -> Pieces:

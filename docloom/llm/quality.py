@@ -33,7 +33,7 @@ NAMES = (
 THRESHOLD = 0.3
 #: Shares of the diagonal and of the pooled covariance in each class's covariance.
 SHRINK_DIAGONAL, SHRINK_POOLED = 0.15, 0.05
-_classes: dict = {}
+_classes = words.Local()
 
 
 def _class_table() -> np.ndarray:

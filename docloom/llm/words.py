@@ -18,7 +18,16 @@ _SPACES = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 2 << 20
 _BASE = np.uint64(0x9E6C63D0876A9A63)
 _INVERSE = np.uint64(pow(0x9E6C63D0876A9A63, -1, 1 << 64))
-_state: dict = {}
+
+
+class Local(dict):
+    """A process's own tables: travels to the tasks empty, as each process makes its own."""
+
+    def __reduce__(self):
+        return (Local, ())
+
+
+_state = Local()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
