@@ -27,6 +27,11 @@ def truthy_variant(value: Column) -> Column:
     return F.when(kind == "STRING", F.nullif(text, F.lit(""))).otherwise(truthy(text))
 
 
+def first_scalar(*values: Column) -> Column:
+    """First of several variant scalars that an ``or`` chain stops at, as text: the strings "0" and "false" count."""
+    return F.coalesce(*[truthy_variant(v) for v in values])
+
+
 def has_key(value: Column | str, key: str) -> Column:
     """Presence test: ``from_json`` cannot tell an absent key from a null one."""
     return F.coalesce(F.array_contains(F.json_object_keys(_col(value)), key), F.lit(False))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from docloom import schemas
 from docloom.functions.numbers import confidence_or_one, parse_int
 from docloom.functions.records import (
-    first_truthy, has_key, json_map, merge_maps, non_empty, truthy, truthy_variant,
+    first_scalar, first_truthy, has_key, json_map, merge_maps, non_empty, truthy, truthy_variant,
 )
 from docloom.functions.text import blank_to_null, strip
 
@@ -264,15 +264,15 @@ def _segment(page: Column, parser: str, method: str) -> Column:
 
 # --- vision model --------------------------------------------------------------------
 
-_VISION_SPAN = f"struct<content:string,text:string,confidence:string,id:string,span_id:string,{_BOX}>"
+_VISION_SPAN = f"struct<content:variant,text:variant,confidence:string,id:variant,span_id:variant,{_BOX}>"
 _VISION_VISUAL = (
-    f"struct<description:string,content:string,confidence:string,tags:array<string>,labels:array<string>,{_BOX}>"
+    f"struct<description:variant,content:variant,confidence:string,tags:array<string>,labels:array<string>,{_BOX}>"
 )
 _VISION = (
     f"text_spans array<{_VISION_SPAN}>, textSpans array<{_VISION_SPAN}>, textSegments array<{_VISION_SPAN}>,"
-    f"fields array<struct<name:string,value:string,confidence:string,value_type:string,type:string,{_BOX}>>,"
+    f"fields array<struct<name:variant,value:string,confidence:string,value_type:string,type:string,{_BOX}>>,"
     f"visual_descriptions array<{_VISION_VISUAL}>, visualDescriptions array<{_VISION_VISUAL}>,"
-    "overall_description string, summary string, page string"
+    "overall_description variant, summary variant, page string"
 )
 
 
@@ -288,7 +288,7 @@ def vision_adapter(payloads: DataFrame) -> DataFrame:
     name = VISION
     rows = payloads.withColumn("_p", F.from_json("payload", _VISION))
     p = F.col("_p")
-    overall = first_truthy(p["overall_description"], p["summary"])
+    overall = first_scalar(p["overall_description"], p["summary"])
     caller = merge_maps(_provider(name), _caller_metadata())
     described = F.when(
         overall.isNotNull() & ~F.map_contains_key(caller, "overall_description"),
@@ -298,18 +298,18 @@ def vision_adapter(payloads: DataFrame) -> DataFrame:
 
     def span(e: Column) -> Column:
         x = e["x"]
-        own_id = first_truthy(x["id"], x["span_id"])
+        own_id = first_scalar(x["id"], x["span_id"])
         return _typed(
-            schemas.SPAN, content=first_truthy(x["content"], x["text"]), confidence=confidence_or_one(x["confidence"]),
+            schemas.SPAN, content=first_scalar(x["content"], x["text"]), confidence=confidence_or_one(x["confidence"]),
             **_vision_region(x), span_id=F.coalesce(own_id, F.concat(F.lit("span-"), e["i"].cast("string"))),
             parser=name, method="llm_text",
         )
 
     spans = F.filter(F.transform(_numbered(raw_spans, _VISION_SPAN), span), lambda s: s["content"].isNotNull())
     fields = F.transform(
-        F.filter(_items(p["fields"]), lambda x: truthy(x["name"]).isNotNull()),
+        F.filter(_items(p["fields"]), lambda x: truthy_variant(x["name"]).isNotNull()),
         lambda x: _typed(
-            schemas.FIELD, name=x["name"], value=x["value"], confidence=confidence_or_one(x["confidence"]),
+            schemas.FIELD, name=x["name"].cast("string"), value=x["value"], confidence=confidence_or_one(x["confidence"]),
             value_type=first_truthy(x["value_type"], x["type"]), **_vision_region(x), parser=name, method="llm_field",
         ),
     )
@@ -318,7 +318,7 @@ def vision_adapter(payloads: DataFrame) -> DataFrame:
         F.transform(
             _items(raw_visuals),
             lambda x: _typed(
-                schemas.VISUAL, description=first_truthy(x["description"], x["content"]),
+                schemas.VISUAL, description=first_scalar(x["description"], x["content"]),
                 confidence=confidence_or_one(x["confidence"]), **_vision_region(x),
                 tags=F.coalesce(non_empty(x["tags"]), x["labels"]), parser=name, method="vision_description",
             ),
@@ -347,7 +347,7 @@ def vision_adapter(payloads: DataFrame) -> DataFrame:
 
 # --- page extraction -----------------------------------------------------------------
 
-_PAGE_TEXT = f"struct<content:string,text:string,confidence:string,id:string,method:string,{_BOX}>"
+_PAGE_TEXT = f"struct<content:variant,text:variant,confidence:string,id:variant,method:string,{_BOX}>"
 _PAGE_CELL = (
     "struct<content:string,text:string,row_index:string,row:string,column_index:string,column:string,row_span:string,"
     f"rowSpan:string,column_span:string,col_span:string,columnSpan:string,confidence:string,{_BOX}>"
@@ -398,10 +398,10 @@ def page_adapter(payloads: DataFrame) -> DataFrame:
         def span(e: Column) -> Column:
             x = e["x"]
             return _typed(
-                schemas.SPAN, content=first_truthy(x["content"], x["text"]),
+                schemas.SPAN, content=first_scalar(x["content"], x["text"]),
                 confidence=confidence_or_one(first_truthy(x["confidence"], g["confidence"])),
                 **_page_region(x, number(g)),
-                span_id=F.coalesce(truthy(x["id"]), numbered_id("span", g, e["i"])),
+                span_id=F.coalesce(truthy_variant(x["id"]), numbered_id("span", g, e["i"])),
                 parser=name, method=F.coalesce(truthy(x["method"]), F.lit("text_block")),
             )
 
@@ -482,9 +482,9 @@ _ATTACHMENTS = (
 )
 _EMAIL_KEYS = ("subject", "from", "to", "cc", "bcc", "sent_at")
 _EMAIL = (
-    "body_text string, text string, headers string, metadata string,"
-    "text_spans array<struct<content:string,text:string,confidence:string,method:string,id:string>>,"
-    "entities array<struct<name:string,label:string,value:string,text:string,confidence:string,method:string,type:string>>,"
+    "body_text variant, text variant, headers string, metadata string,"
+    "text_spans array<struct<content:variant,text:variant,confidence:string,method:string,id:variant>>,"
+    "entities array<struct<name:variant,label:variant,value:variant,text:string,confidence:string,method:string,type:string>>,"
     f"attachments {_ATTACHMENTS}," + ",".join(f"`{k}` string" for k in _EMAIL_KEYS)
 )
 
@@ -524,15 +524,15 @@ def email_adapter(payloads: DataFrame) -> DataFrame:
             span_id=span_id, parser=name, method=method,
         )
 
-    text = first_truthy(p["body_text"], p["text"])
+    text = first_scalar(p["body_text"], p["text"])
     main = F.when(
         strip(text) != "", F.array(span(text, F.lit(1.0), F.lit("body-text"), F.lit("body_text")))
     ).otherwise(F.array().cast(f"array<{schemas.SPAN}>"))
     extra = F.transform(
         _numbered(F.coalesce(p["text_spans"], F.array()), ""),
         lambda e: span(
-            first_truthy(e["x"]["content"], e["x"]["text"]), confidence_or_one(e["x"]["confidence"]),
-            F.coalesce(truthy(e["x"]["id"]), F.concat(F.lit("email-span-"), e["i"].cast("string"))),
+            first_scalar(e["x"]["content"], e["x"]["text"]), confidence_or_one(e["x"]["confidence"]),
+            F.coalesce(truthy_variant(e["x"]["id"]), F.concat(F.lit("email-span-"), e["i"].cast("string"))),
             F.coalesce(truthy(e["x"]["method"]), F.lit("body_segment")),
         ),
     )
@@ -550,8 +550,8 @@ def email_adapter(payloads: DataFrame) -> DataFrame:
     entities = F.transform(
         _numbered(F.coalesce(p["entities"], F.array()), ""),
         lambda e: field(
-            F.coalesce(first_truthy(e["x"]["name"], e["x"]["label"]), F.concat(F.lit("entity-"), e["i"].cast("string"))),
-            F.coalesce(truthy(e["x"]["value"]), e["x"]["text"]), confidence_or_one(e["x"]["confidence"]),
+            F.coalesce(first_scalar(e["x"]["name"], e["x"]["label"]), F.concat(F.lit("entity-"), e["i"].cast("string"))),
+            F.coalesce(truthy_variant(e["x"]["value"]), e["x"]["text"]), confidence_or_one(e["x"]["confidence"]),
             F.coalesce(truthy(e["x"]["type"]), F.lit("entity")), F.coalesce(truthy(e["x"]["method"]), F.lit("entity")),
         ),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,9 @@ PROVIDER = ANALYZE
 READER_CONFIDENCE = 0.93
 CSV_TABLE, CSV_CAPTION = "csv-table", "CSV data table"
 
+# stands between id and checksum in the keys of payloads; no id holds it
+_MARK = "\u0001"
+
 _DOCUMENT = ("document_id", "source_uri", "checksum", "mime_type", "metadata")
 
 
@@ -77,8 +81,8 @@ def parse_csv(rows: DataFrame) -> DataFrame:
         schemas.CELL, row_index=F.col("row_index"), column_index=F.col("column_index"), content=F.col("content"),
         confidence=READER_CONFIDENCE, page=1, polygon=None, bounding_box=None, row_span=1, column_span=1,
     )
-    # 64 table rows to a chunk
-    width = 1 << 20
+    # 64 table rows to a chunk; 31 bits hold any column index
+    width = 1 << 31
     ordered = cells.withColumn("_ord", F.col("row_index").cast("long") * width + F.col("column_index"))
     listed = ordered_array(ordered, ["document_id"], "_ord", cell, "_cells", chunk=64 * width)
     facts = formats.csv_summaries(rows, cells)
@@ -124,7 +128,7 @@ def message_parts(documents: DataFrame) -> DataFrame:
 def part_documents(found: DataFrame) -> DataFrame:
     """Attachments as raw documents of their own."""
     metadata = F.to_json(
-        F.struct("mime_type", F.col("document_id").alias("parent_document_id"), F.col("file_name").alias("attachment_file_name"), "content_id")
+        F.struct("mime_type", _plain(F.col("document_id")).alias("parent_document_id"), F.col("file_name").alias("attachment_file_name"), "content_id")
     )
     return found.select(
         F.col("child_document_id").alias("document_id"), "source_uri", "checksum", "mime_type", metadata.alias("metadata"), "content"
@@ -133,11 +137,12 @@ def part_documents(found: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Processed:
-    """Canonical rows as stored, their part tree, and the four row levels."""
+    """Canonical rows as stored, their part tree, the four row levels, and the payloads no reader could read."""
 
     documents: DataFrame
     parts: DataFrame
     rows: dict[str, DataFrame]
+    failures: DataFrame
 
 
 def process(
@@ -148,20 +153,28 @@ def process(
     enrich_with: Iterable[str] = (),
     summarise: bool = True,
     generated_at: Column | None = None,
-    batch: str = "batch-0",
+    *,
+    batch: str,
+    replace: bool = False,
 ) -> Processed:
     """Process raw documents once per ``(document_id, checksum)``.
 
     ``documents``: ``document_id, source_uri, content, mime_type, metadata`` (and the ``force`` flag).  The canonical
     rows are written under ``store_path`` first; rows are then derived from the written table, so parsing runs once
-    and a lost executor costs a re-read only.  Writing the same ``batch`` again replaces it.
+    and a lost executor costs a re-read only.  A batch that the store holds already is refused, or with ``replace``
+    written anew.  Payloads are kept apart by ``payload_key``, id and checksum, so several versions of one document in
+    a batch do not mix; ids in the rows are the plain ones.  Payloads that a reader cannot read are in ``failures``.
     """
     spark = documents.sparkSession
     documents = documents.withColumn("checksum", checksum("content"))
-    fresh = store.new_payloads(documents, read_store(spark, store_path, but=batch), force)
-    roots = fresh.select(*_DOCUMENT, "content")
+    stored = read_store(spark, store_path)
+    if not replace and not stored.where(F.col("batch") == batch).isEmpty():
+        raise ValueError(f"the store holds {batch} already; pass another name, or replace=True")
+    fresh = store.new_payloads(documents, stored.where(F.col("batch") != batch), force).dropDuplicates(["document_id", "checksum"])
+    roots = fresh.select(*_DOCUMENT, "content").withColumn("document_id", F.concat("document_id", F.lit(_MARK), "checksum"))
     found = message_parts(roots)
     raw = roots.unionByName(part_documents(found))
+    failures = formats.unreadable(raw).withColumn("document_id", _plain(F.col("document_id")))
     listed = found.groupBy("document_id").agg(
         # attachments of one message, which arrived as one row
         F.array_sort(F.collect_list(F.struct("ord", _typed(
@@ -180,21 +193,41 @@ def process(
         answers = enrichment.dispatch(canonical.select("document_id", text.alias("text")), providers, names)
         canonical = enrichment.merge_enrichments(canonical, answers)
     canonical = canonical.withColumn("is_root", F.get_json_object("metadata", "$.parent_document_id").isNull())
+    # stored ids are plain; the key keeps payloads apart
+    listed_plain = F.transform("attachments", lambda a: a.withField("child_document_id", _plain(a["child_document_id"])))
+    canonical = canonical.withColumns({"payload_key": F.col("document_id"), "document_id": _plain(F.col("document_id")), "attachments": listed_plain})
     target = f"{store_path}/batch={batch}"
     canonical.write.mode("overwrite").parquet(target)
-    written = spark.read.schema(f"{schemas.CANONICAL}, is_root boolean").parquet(target)
-    flat = written.select("document_id", F.posexplode("attachments").alias("ord", "_a"))
-    flat = flat.select("document_id", F.col("ord").cast("long").alias("ord"), "_a.file_name", "_a.mime_type", "_a.child_document_id")
+    written = spark.read.schema(f"{schemas.CANONICAL}, is_root boolean, payload_key string").parquet(target)
+    keyed = written.withColumn("document_id", F.col("payload_key"))
+    flat = written.select("document_id", "payload_key", F.posexplode("attachments").alias("ord", "_a"))
+    # an attachment's key is its parent's and what its id adds to the parent's id
+    child = F.concat("payload_key", F.substring("_a.child_document_id", F.length("document_id") + 1, F.length("_a.child_document_id")))
+    flat = flat.select(F.col("payload_key").alias("document_id"), F.col("ord").cast("long").alias("ord"), "_a.file_name", "_a.mime_type", child.alias("child_document_id"))
     request = F.coalesce(blank_to_null(F.get_json_object("metadata", "$.request_id")), F.col("document_id"))
-    tree = parts.part_tree(written.where("is_root").select("document_id", request.alias("request_id")), flat, max_depth=1)
-    return Processed(written, tree, denorm.denormalise(denorm.tables_of(written, tree), generated_at))
+    # attachments of attachments are listed flat below the root: one level is all there is
+    tree = parts.part_tree(keyed.where("is_root").select("document_id", request.alias("request_id")), flat, max_depth=1)
+    rows = denorm.denormalise(denorm.tables_of(keyed, tree), generated_at)
+    return Processed(written, _plain_ids(tree), {k: _plain_ids(v) for k, v in rows.items()}, failures)
+
+
+def _plain(value: Column) -> Column:
+    return F.regexp_replace(value, f"{_MARK}[0-9a-f]*", "")
+
+
+def _plain_ids(rows: DataFrame) -> DataFrame:
+    """Take checksums out of all text columns that name documents."""
+    named = {c: _plain(F.col(c)) for c, kind in rows.dtypes if kind == "string" and c.endswith(("_id", "_uri"))}
+    return rows.withColumns(named) if named else rows
 
 
 def read_store(spark, store_path: str, but: str | None = None) -> DataFrame:
     """Keys of everything stored; an absent store is empty."""
     schema = "document_id string, checksum string, batch string"
-    path = spark._jvm.org.apache.hadoop.fs.Path(store_path)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    try:
+        rows = spark.read.schema(schema).parquet(store_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(store_path)
     return rows.where(F.col("batch") != but) if but else rows

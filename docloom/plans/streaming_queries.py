@@ -84,7 +84,7 @@ def stored_mail(spark, sf_dir):
     """Every message processed into the store, attachments included, then a second pass that finds nothing new."""
     base = f"{_scratch(spark, 'store')}/documents"
     mail = _emails(spark, sf_dir).withColumns({"mime_type": F.lit("message/rfc822"), "metadata": F.lit("{}")})
-    done = workflow.process(mail, base)
+    done = workflow.process(mail, base, batch="batch-0")
     again = workflow.process(mail, base, batch="batch-1")
     rows = done.rows["doc"].unionByName(again.rows["doc"])
     return rows.select("bundle_id", "part_id", "total_pages", "total_blocks", "status")

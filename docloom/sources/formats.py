@@ -52,22 +52,50 @@ def text_documents(documents: DataFrame, content: str = "content") -> DataFrame:
     return documents.select(*kept, text.alias("paragraph"), F.length(text).cast("long").alias("character_count"))
 
 
-def _csv_rows(content: bytes) -> list[list[str]]:
+def _csv_rows(content: bytes) -> Iterator[list[str]]:
+    """Rows as they are read; a bare carriage return ends a line like any other line end."""
     csv.field_size_limit(sys.maxsize)
-    return list(csv.reader(io.StringIO(content.decode("utf-8", errors="ignore"))))
+    return csv.reader(io.StringIO(content.decode("utf-8", errors="ignore"), newline=""))
+
+
+def _problem(reader, content: bytes) -> str | None:
+    """What goes wrong when a payload is read to its end, null if nothing does."""
+    try:
+        for _ in reader(content):
+            pass
+    except Exception as error:  # whatever one payload does, the others are read
+        return f"{type(error).__name__}: {error}"[:500]
+    return None
+
+
+def unreadable(documents: DataFrame, content: str = "content", mime_type: str = "mime_type") -> DataFrame:
+    """``document_id, reader, error`` of the CSV and email payloads that cannot be read: the quarantine of the readers."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        readers = {"csv": _csv_rows, "email": _email_walk}
+        for frame in batches:
+            tried = ((i, k, _problem(readers[k], d or b"")) for i, k, d in zip(frame["document_id"], frame["reader"], frame["data"]))
+            yield pd.DataFrame([t for t in tried if t[2] is not None], columns=["document_id", "reader", "error"]).astype(object)
+
+    kind = document_format(F.col(content), F.col(mime_type))
+    reader = F.when(kind.isin("csv", "excel"), "csv").when(kind == "email", "email")
+    asked = documents.select("document_id", reader.alias("reader"), F.col(content).alias("data")).where("reader IS NOT NULL")
+    return asked.mapInPandas(read, "document_id string, reader string, error string")
 
 
 def csv_cells(documents: DataFrame, content: str = "content") -> DataFrame:
     """Cells of CSV payloads: ``document_id, row_index, column_index, content``.
 
     Quoted fields may hold line ends, so a payload is read as a whole, one at a time.  Rows leave in
-    bounded batches.
+    bounded batches.  A payload that cannot be read has no cells; ``unreadable`` lists it.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             out: list[tuple] = []
             for document_id, data in zip(frame["document_id"], frame[content]):
+                if _problem(_csv_rows, data or b"") is not None:
+                    continue
                 for r, row in enumerate(_csv_rows(data or b"")):
                     out.extend((document_id, r, c, value) for c, value in enumerate(row))
                     if len(out) > 50_000:
@@ -107,7 +135,21 @@ _TEXT_PART_SCHEMA = "document_id string, index int, is_html boolean, text string
 
 
 def _text_of(part: Message) -> str:
-    return (part.get_payload(decode=True) or b"").decode(part.get_content_charset() or "utf-8", errors="ignore")
+    data = part.get_payload(decode=True) or b""
+    try:
+        return data.decode(part.get_content_charset() or "utf-8", errors="ignore")
+    except (LookupError, ValueError):  # a charset nobody knows, or one that is no text encoding
+        return data.decode("utf-8", errors="ignore")
+
+
+def _email_walk(content: bytes) -> Iterator[str]:
+    """Everything the email readers look at."""
+    message = message_from_bytes(content)
+    _body(message)
+    for part in message.walk():
+        yield str(part.get_filename()) + str(part.get_content_type()) + str(part.get_content_disposition()) + str(part.get("Content-ID"))
+        if not part.is_multipart():
+            yield _text_of(part)
 
 
 def _body(message: Message) -> tuple[str, bool]:
@@ -137,7 +179,10 @@ def _per_message(documents: DataFrame, content: str, rows_of, schema: str) -> Da
             # one frame per 32 MiB of messages: small enough to hold, large enough to hand over cheaply
             rows, size = [], 0
             for document_id, data in zip(frame["document_id"], frame[content]):
-                rows.extend((document_id, *r) for r in rows_of(message_from_bytes(data or b""), data or b""))
+                try:
+                    rows.extend([(document_id, *r) for r in rows_of(message_from_bytes(data or b""), data or b"")])
+                except Exception:  # listed by ``unreadable``; the other messages are read
+                    continue
                 size += len(data or b"")
                 if size > 1 << 25:
                     yield pd.DataFrame(rows, columns=names)

@@ -133,7 +133,10 @@ def job_message(requests: DataFrame) -> DataFrame:
 
 
 def dedupe_redelivered(messages: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop redelivered messages; on a stream within the watermark delay."""
+    """Drop redelivered messages; on a stream within the watermark delay, which loses later ones.
+
+    Ingestion does not use it on streams: it keeps a table of handled deliveries instead.
+    """
     if messages.isStreaming:
         return messages.withWatermark("sent_at", delay).dropDuplicatesWithinWatermark(["message_id"])
     return messages.dropDuplicates(["message_id"])

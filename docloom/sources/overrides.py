@@ -12,18 +12,16 @@ from docloom.functions.numbers import parse_count
 from docloom.functions.records import first_truthy, has_key
 
 _ENTRY = "struct<pattern:string,document_pattern:string,strategy:string,name:string,model:string,max_pages:string>"
-# layers in rising distance from the secret store; gaps leave room inside a layer
-_LAYER_WIDTH = 1 << 40
-
 
 def rules_from_table(rows: DataFrame) -> DataFrame:
-    """Rules of a table; ``document_pattern`` beats ``pattern``, table order is ``position``."""
+    """Rules of a table; ``document_pattern`` beats ``pattern``.  A table has no order of its own: ``position`` gives it."""
+    if "position" not in rows.columns:
+        raise ValueError("a rule table needs a position column")
     optional = {c: F.col(c) if c in rows.columns else F.lit(None) for c in ("document_pattern", "pattern", "model", "max_pages")}
-    position = F.col("position") if "position" in rows.columns else F.monotonically_increasing_id()
     pattern = first_truthy(optional["document_pattern"].cast("string"), optional["pattern"].cast("string"))
     return _usable(
         rows.select(
-            position.cast("long").alias("position"),
+            F.col("position").cast("long"),
             pattern.alias("pattern"),
             F.col("strategy"),
             optional["model"].cast("string").alias("model"),
@@ -35,7 +33,7 @@ def rules_from_table(rows: DataFrame) -> DataFrame:
 def rules_from_json(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """Rules of JSON text: a list, ``{"pattern_overrides": [...]}`` or a single object.
 
-    Broken JSON yields no rules.  ``position`` counts inside one payload.
+    Broken JSON yields no rules.  ``position`` counts inside one payload; a column ``source_order`` orders several payloads.
     """
     text = F.col(column)
     entries = F.when(
@@ -63,11 +61,16 @@ def _usable(rules: DataFrame) -> DataFrame:
 
 
 def layer_rules(*layers: DataFrame) -> DataFrame:
-    """Union of rule sources; earlier layers win, order inside a layer is kept."""
-    tagged = [
-        layer.select((F.lit(i * _LAYER_WIDTH) + F.col("position")).alias("priority"), "pattern", "strategy", "model", "max_pages")
-        for i, layer in enumerate(layers)
-    ]
+    """Union of rule sources; earlier layers win, then ``source_order``, then ``position``.
+
+    ``priority`` orders by these and, last, by the rule itself, so only equal rules tie.
+    """
+    rule = ["pattern", "strategy", "model", "max_pages"]
+    tagged = []
+    for i, layer in enumerate(layers):
+        source = F.col("source_order").cast("long") if "source_order" in layer.columns else F.lit(0).cast("long")
+        place = F.struct(F.lit(i).alias("layer"), source.alias("source_order"), F.col("position").cast("long").alias("position"), *rule)
+        tagged.append(layer.select(place.alias("priority"), *rule))
     return reduce(DataFrame.unionByName, tagged)
 
 
@@ -95,17 +98,31 @@ def valid_patterns(spark: SparkSession, patterns: list[str]) -> set[str]:
     return {p for p in known if _compile_in_spark(spark, [p])}
 
 
-def rule_pages(rules: DataFrame, size: int):
-    """Valid rules in priority order, ``size`` at a time, so the driver never holds the whole table."""
+def _pages(rules: DataFrame, size: int):
+    """All rules in priority order, ``size`` at a time, each page with its valid patterns."""
     spark = rules.sparkSession
+    rules = rules.distinct()
     last = None
     while True:
         page = rules if last is None else rules.where(F.col("priority") > last)
         rows = page.orderBy("priority").limit(size).collect()
         if not rows:
             return
-        valid = valid_patterns(spark, [r["pattern"] for r in rows])
-        yield [r for r in rows if r["pattern"] in valid]
+        yield rows, valid_patterns(spark, [r["pattern"] for r in rows])
         if len(rows) < size:
             return
-        last = rows[-1]["priority"]
+        known = rows[-1]["priority"]
+        last = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(known, rules.schema["priority"].dataType.fields, strict=True)])
+
+
+def rule_pages(rules: DataFrame, size: int):
+    """Valid rules in priority order, ``size`` at a time, so the driver never holds the whole table."""
+    for rows, valid in _pages(rules, size):
+        yield [r for r in rows if r["pattern"] in valid]
+
+
+def rejected_rules(rules: DataFrame, size: int = 200) -> DataFrame:
+    """Rules that are left out because their pattern does not compile in both regex engines."""
+    spark = rules.sparkSession
+    found = [(r["pattern"], r["strategy"]) for rows, valid in _pages(rules, size) for r in rows if r["pattern"] not in valid]
+    return spark.createDataFrame(found, "pattern string, strategy string")

@@ -26,14 +26,17 @@ def replay_candidates(dead: DataFrame, limit: int) -> DataFrame:
     return dead.orderBy("sent_at", "message_id").limit(limit)
 
 
-def replay(dead: DataFrame, input_path: str, limit: int, dry_run: bool = False) -> DataFrame:
+def replay(dead: DataFrame, input_path: str, limit: int, dry_run: bool = False, replay_id: str = "replay-1") -> DataFrame:
     """Append dead letters to the stream's input folder and return them; a dry run only returns them.
 
-    Receive counts start over.  The caller drops replayed ids from the dead-letter table (left anti join on
-    ``message_id``) once the write has succeeded, so a failed write leaves them in place.
+    A replayed letter is a new message: its id carries ``replay_id``, its receive count starts over and it is sent now,
+    so the stream handles it like any other.  The same ``replay_id`` again gives the same ids, which the stream handles
+    once.  The caller drops replayed ids from the dead-letter table (left anti join on ``message_id``) once the write has
+    succeeded, so a failed write leaves them in place.
     """
     chosen = replay_candidates(dead, limit)
     if not dry_run:
-        rows = chosen.select("message_id", "queue_url", "stream", "body", F.lit(1).alias("receive_count"), "sent_at")
+        renamed = F.concat("message_id", F.lit(f"/{replay_id}")).alias("message_id")
+        rows = chosen.select(renamed, "queue_url", "stream", "body", F.lit(1).alias("receive_count"), F.current_timestamp().alias("sent_at"))
         rows.write.mode("append").json(input_path)
     return chosen

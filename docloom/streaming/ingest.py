@@ -2,7 +2,12 @@
 
 Every micro-batch goes parse, split, route, write.  The query's checkpoint takes the place of message
 acknowledgement: a batch counts as done only after all its tables are written, and a replayed batch
-overwrites its own partitions, so nothing is written twice.
+overwrites its own partitions, so nothing is written twice.  Another run, with another ``run_id``, writes
+beside the earlier ones.
+
+No message is too late: there is no watermark.  A delivery, ``(message_id, receive_count)``, is handled once;
+a message that has succeeded is not handled again; a failed one is tried again on each new delivery, until it
+is dead.  What was handled is a table by the day the message was sent, of which a batch reads its own days.
 """
 
 from __future__ import annotations
@@ -10,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +25,10 @@ from docloom.operators import layout, routing, telemetry
 from docloom.sources import messages as msg
 from docloom.streaming import deadletters
 
-TABLES = ("metadata", "routing", "failures", "dead_letters", "events")
+TABLES = ("metadata", "routing", "failures", "dead_letters", "events", "handled")
+
+
+_HANDLED = "message_id string, receive_count int, succeeded boolean"
 
 
 @dataclass(frozen=True)
@@ -33,7 +42,6 @@ class IngestConfig:
     # read anew in every batch, so rule changes need no restart
     rules: Callable[[SparkSession], DataFrame | None] = lambda spark: None
     max_receives: int = deadletters.MAX_RECEIVES
-    dedupe_delay: str = "10 minutes"
     # None drains what is there and stops
     interval: str | None = None
 
@@ -41,19 +49,43 @@ class IngestConfig:
         return f"{self.output_path}/{table}"
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Write a micro-batch's rows as its own partition; a replay replaces it.
+def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int, *partitions: str) -> None:
+    """Write a micro-batch's rows as the partition of its run and batch; a replay replaces all of it, even by nothing.
 
     Rebalancing merges the many small shuffle outputs into few files and splits a dominant partition value.
     """
-    stamped = rows.hint("rebalance", *partitions).withColumn("batch_id", F.lit(batch_id))
-    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id", *partitions).parquet(path)
+    writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")
+
+
+def _unhandled(batch: DataFrame, batch_id: int, config: IngestConfig) -> DataFrame:
+    """The latest delivery of each message of a batch, where no other batch has handled it."""
+    spark = batch.sparkSession
+    latest = batch.groupBy("message_id").agg(F.max_by(F.struct(*batch.columns), "receive_count").alias("_m"))
+    batch = latest.select(*[F.col(f"_m.{c}").alias(c) for c in batch.columns]).withColumn("sent_day", F.to_date("sent_at"))
+    try:
+        handled = spark.read.schema(f"{_HANDLED}, sent_day date, run_id string, batch_id long").parquet(config.path("handled"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return batch.drop("sent_day")
+    days = [r[0] for r in batch.select("sent_day").distinct().collect()]
+    known = F.col("sent_day").isin([d for d in days if d is not None]) | F.col("sent_day").isNull()
+    handled = handled.where(known & ~((F.col("run_id") == config.run_id) & (F.col("batch_id") == batch_id)))
+    fresh = batch.join(handled.select("message_id", "receive_count"), ["message_id", "receive_count"], "left_anti")
+    done = handled.where("succeeded").select("message_id").distinct()
+    return fresh.join(done, "message_id", "left_anti").drop("sent_day").select(*[c for c in batch.columns if c != "sent_day"])
 
 
 def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None:
-    """All writes of one micro-batch, from one persisted parse and one persisted routing."""
+    """All writes of one micro-batch, from one persisted parse and one persisted routing.
+
+    The handled keys come last: a batch that fails before is handled anew, under the same id, by its replay.
+    """
     spark = batch.sparkSession
+    batch = _unhandled(batch, batch_id, config)
     parsed = msg.parse_messages(batch, flag=config.routing.override_flag).persist()
     routed = routing.route_messages(msg.accepted(parsed), config.routing, config.rules(spark)).drop("doc", "body").persist()
     try:
@@ -61,20 +93,29 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
         metadata = routing.message_metadata(routed).withColumn("ingested_at", now)
         # an empty extension is a folder name of its own in the partition layout
         metadata = metadata.withColumn("file_type", F.coalesce(F.nullif("file_type", F.lit("")), F.lit("none")))
-        write_batch(metadata, config.path("metadata"), batch_id, "file_type")
-        write_batch(routing.routing_record(routed, layout.page_array()), config.path("routing"), batch_id)
+        write_batch(metadata, config.path("metadata"), config.run_id, batch_id, "file_type")
+        write_batch(routing.routing_record(routed, layout.page_array()), config.path("routing"), config.run_id, batch_id)
         failures = msg.rejected(parsed).withColumn("failed_at", now)
-        write_batch(failures, config.path("failures"), batch_id)
+        write_batch(failures, config.path("failures"), config.run_id, batch_id)
         dead = deadletters.dead_messages(parsed, config.max_receives)
         kept = ["message_id", "queue_url", "stream", "body", "receive_count", "sent_at", "failure_reason"]
-        write_batch(dead.select(*[c for c in kept if c in dead.columns]), config.path("dead_letters"), batch_id)
+        write_batch(dead.select(*[c for c in kept if c in dead.columns]), config.path("dead_letters"), config.run_id, batch_id)
         status = F.when(F.col("failure_reason").isNull(), "succeeded").otherwise("failed")
         outcome = parsed.select(
             "message_id", "queue_url", F.col("source_path").alias("object_key"), "failure_reason", "receive_count", status.alias("status")
         )
         name = F.when(F.col("status") == "succeeded", "message_processed").otherwise("message_failed")
         events = telemetry.log_events(outcome, name, {"job_name": "message_ingestion", "run_id": config.run_id}, now)
-        write_batch(events, config.path("events"), batch_id)
+        size = outcome.agg(
+            F.count(F.lit(1)).alias("batch_size"), F.count(F.when(F.col("status") == "succeeded", 1)).alias("successes"),
+            F.count(F.when(F.col("status") == "failed", 1)).alias("failures"),
+        )
+        context = {"job_name": "message_ingestion", "run_id": config.run_id}
+        lifecycle = telemetry.log_events(size.withColumn("status", F.lit("completed")), F.lit("batch_processed"), context, now)
+        write_batch(lifecycle.drop("run_id"), config.path("lifecycle"), config.run_id, batch_id)
+        write_batch(events.drop("run_id"), config.path("events"), config.run_id, batch_id)
+        handled = parsed.select("message_id", "receive_count", F.col("failure_reason").isNull().alias("succeeded"), F.to_date("sent_at").alias("sent_day"))
+        write_batch(handled, config.path("handled"), config.run_id, batch_id, "sent_day")
     finally:
         routed.unpersist()
         parsed.unpersist()
@@ -82,8 +123,7 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
 
 def start_ingest(messages: DataFrame, config: IngestConfig) -> StreamingQuery:
     """Start the stream on ``messages`` (see ``sources.messages.stream_messages``)."""
-    unique = msg.dedupe_redelivered(messages, config.dedupe_delay)
-    writer = unique.writeStream.foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, config))
+    writer = messages.writeStream.foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, config))
     writer = writer.option("checkpointLocation", config.checkpoint_path)
     writer = writer.trigger(processingTime=config.interval) if config.interval else writer.trigger(availableNow=True)
     return writer.start()
@@ -91,11 +131,14 @@ def start_ingest(messages: DataFrame, config: IngestConfig) -> StreamingQuery:
 
 def run_summary(spark: SparkSession, config: IngestConfig) -> DataFrame:
     """Messages, batches and failures of the run, from its event table."""
-    events = spark.read.parquet(config.path("events"))
+    events = spark.read.parquet(config.path("events")).where(F.col("run_id") == config.run_id)
     return telemetry.run_summary(telemetry.batch_summary(events))
 
 
 def write_run_summary(spark: SparkSession, config: IngestConfig, queue_url: str) -> None:
-    """Append the run's totals once its query has stopped."""
-    summary = run_summary(spark, config).withColumns({"queue_url": F.lit(queue_url), "completed_at": F.current_timestamp()})
-    summary.write.mode("append").parquet(config.path("run_summary"))
+    """The run's totals, and its ``completed`` event, once its query has stopped; writing them again replaces them."""
+    summary = run_summary(spark, config).drop("run_id").withColumns({"queue_url": F.lit(queue_url), "completed_at": F.current_timestamp()})
+    summary.write.mode("overwrite").parquet(f"{config.path('run_summary')}/run_id={config.run_id}")
+    context = {"job_name": "message_ingestion", "run_id": config.run_id}
+    done = telemetry.log_events(summary.select("messages", "failures", F.lit("succeeded").alias("status")), F.lit("completed"), context, F.current_timestamp())
+    done.drop("run_id").write.mode("overwrite").parquet(f"{config.path('run_events')}/run_id={config.run_id}")

@@ -12,11 +12,11 @@ from docloom.functions.assembly import latest_per_key
 from docloom.streaming.ingest import write_batch
 
 
-def start_updates(rows: DataFrame, path: str, checkpoint_path: str, interval: str | None = None) -> StreamingQuery:
+def start_updates(rows: DataFrame, path: str, checkpoint_path: str, interval: str | None = None, run_id: str = "run-0") -> StreamingQuery:
     """Write the changed aggregate rows of every micro-batch under its batch id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        write_batch(batch, path, run_id, batch_id)
 
     writer = rows.writeStream.outputMode("update").option("checkpointLocation", checkpoint_path).foreachBatch(write)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
@@ -24,7 +24,14 @@ def start_updates(rows: DataFrame, path: str, checkpoint_path: str, interval: st
 
 def current_state(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Newest version of every aggregate row written by ``start_updates``."""
-    return latest_per_key(updates, keys, ["batch_id"]).drop("batch_id")
+    return latest_per_key(updates, keys, ["batch_id"]).drop("batch_id", "run_id")
+
+
+def compact(updates: DataFrame, keys: list[str], path: str) -> DataFrame:
+    """Write only the newest version of every row, so that readers of the state need not go through all versions."""
+    newest = latest_per_key(updates, keys, ["batch_id"])
+    newest.write.mode("overwrite").parquet(path)
+    return updates.sparkSession.read.parquet(path)
 
 
 class IdleEvents(StreamingQueryListener):

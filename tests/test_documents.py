@@ -18,13 +18,13 @@ def canonical(spark, *documents):
 
 
 FIXTURE = {
-    "document_id": "doc-1", "document_type": "invoice", "mime_type": "application/pdf", "metadata": json.dumps({"language": "en", "provider": "p"}),
-    "text_spans": [{"content": "Invoice 123", "confidence": 0.9, "page": 1, "bounding_box": [0, 0, 100, 40]}],
-    "tables": [{"table_id": "table-1", "confidence": 0.8, "cells": [{"row_index": 0, "column_index": 0, "content": "Item", "page": 1, "bounding_box": [10, 10, 30, 20], "row_span": 1, "column_span": 1}]}],
-    "fields": [{"name": "Total", "value": "42.00", "confidence": 0.9, "value_type": "currency", "page": 1, "bounding_box": [5, 5, 15, 10]}],
+    "document_id": "plan-6", "document_type": "site plan", "mime_type": "application/pdf", "metadata": json.dumps({"language": "en", "provider": "p"}),
+    "text_spans": [{"content": "North wall 4B", "confidence": 0.9, "page": 1, "bounding_box": [0, 0, 210, 55]}],
+    "tables": [{"table_id": "rooms", "confidence": 0.8, "cells": [{"row_index": 0, "column_index": 0, "content": "Boiler room", "page": 1, "bounding_box": [12, 9, 47, 31], "row_span": 1, "column_span": 1}]}],
+    "fields": [{"name": "Area", "value": "86.25", "confidence": 0.9, "value_type": "area", "page": 1, "bounding_box": [3, 40, 33, 52]}],
     "visual_descriptions": [], "page_segments": [], "enrichments": [{"enrichment_type": "keywords", "provider": "x", "content": "{}", "confidence": 0.5}],
-    "summaries": [{"summary": "A summary", "confidence": 0.7, "method": "m", "title": "Invoice Summary"}],
-    "attachments": [{"attachment_id": "1", "file_name": "note.txt", "mime_type": "text/plain"}],
+    "summaries": [{"summary": "Two rooms, one door.", "confidence": 0.7, "method": "m", "title": "Plan of the north wing"}],
+    "attachments": [{"attachment_id": "1", "file_name": "legend.txt", "mime_type": "text/plain"}],
 }
 
 
@@ -32,36 +32,35 @@ def rows_of(spark, *documents):
     docs = canonical(spark, *documents)
     attached = docs.select("document_id", F.posexplode("attachments").alias("ord", "_a")).select("document_id", F.col("ord").cast("long").alias("ord"), "_a.*")
     tree = parts.part_tree(docs.where("document_id NOT LIKE '%::%'"), attached)
-    assert parts.beyond_depth(tree, attached).count() == 0
     return denorm.denormalise(denorm.tables_of(docs, tree))
 
 
 def test_denormalised_fixture(spark):
     levels = rows_of(spark, FIXTURE)
     docs = {r.part_id: r for r in levels["doc"].collect()}
-    assert docs[None].doc_title == "Invoice Summary" and docs[None].status == "succeeded" and docs[None].doc_language == "en"
-    assert (docs[None].total_pages, docs[None].total_blocks, docs[None].doc_summary) == (1, 3, "A summary")
-    assert (docs["root.attachment-1"].status, docs["root.attachment-1"].doc_title, docs["root.attachment-1"].doc_type) == ("partial", "note.txt", "text/plain")
+    assert docs[None].doc_title == "Plan of the north wing" and docs[None].status == "succeeded" and docs[None].doc_language == "en"
+    assert (docs[None].total_pages, docs[None].total_blocks, docs[None].doc_summary) == (1, 3, "Two rooms, one door.")
+    assert (docs["root.attachment-1"].status, docs["root.attachment-1"].doc_title, docs["root.attachment-1"].doc_type) == ("partial", "legend.txt", "text/plain")
     page = levels["page"].collect()[0]
-    assert (page.width, page.height, page.page_text, page.source_mime, page.engine_id) == (100.0, 40.0, "Invoice 123 Item Total: 42.00", "application/pdf", "p")
+    assert (page.width, page.height, page.page_text, page.source_mime, page.engine_id) == (210.0, 55.0, "North wall 4B Boiler room Area: 86.25", "application/pdf", "p")
     blocks = {b.block_type: b for b in levels["block"].collect()}
     assert set(blocks) == {"paragraph", "table", "kv_pair"}
-    assert (blocks["table"].block_id, blocks["table"].table_rows, blocks["table"].bbox_w) == ("table-1", 1, 20.0)
-    assert blocks["paragraph"].block_id == "root-span-1" and blocks["kv_pair"].text == "Total: 42.00"
+    assert (blocks["table"].block_id, blocks["table"].table_rows, blocks["table"].bbox_w) == ("rooms", 1, 35.0)
+    assert blocks["paragraph"].block_id == "root-span-1" and blocks["kv_pair"].text == "Area: 86.25"
     insights = levels["insight"].collect()
     assert sorted(i.insight_kind for i in insights) == ["extraction", "extraction", "summary"]
-    assert [i.value_number for i in insights if i.field] == [42.0]
+    assert [i.value_number for i in insights if i.field] == [86.25]
     assert denorm.all_rows(levels).count() == 9
 
 
 def test_nested_attachments(spark):
-    child = {**FIXTURE, "document_id": "doc-1::1", "summaries": [], "attachments": [{"attachment_id": "1", "file_name": "deep.txt", "mime_type": "text/plain", "child_document_id": "doc-1::1::1"}]}
-    deep = {**FIXTURE, "document_id": "doc-1::1::1", "summaries": [], "attachments": [], "metadata": "{}", "enrichments": []}
-    root = {**FIXTURE, "attachments": [{"attachment_id": "9", "file_name": "mid.pdf", "mime_type": "application/pdf", "child_document_id": "doc-1::1"}]}
+    child = {**FIXTURE, "document_id": "plan-6::1", "summaries": [], "attachments": [{"attachment_id": "1", "file_name": "deep.txt", "mime_type": "text/plain", "child_document_id": "plan-6::1::1"}]}
+    deep = {**FIXTURE, "document_id": "plan-6::1::1", "summaries": [], "attachments": [], "metadata": "{}", "enrichments": []}
+    root = {**FIXTURE, "attachments": [{"attachment_id": "9", "file_name": "mid.pdf", "mime_type": "application/pdf", "child_document_id": "plan-6::1"}]}
     levels = rows_of(spark, root, child, deep)
     docs = {r.part_id: r for r in levels["doc"].collect()}
     assert set(docs) == {None, "root.attachment-1", "root.attachment-1.attachment-1"}
-    assert docs["root.attachment-1"].doc_title == "mid.pdf" and {d.bundle_id for d in docs.values()} == {"doc-1"}
+    assert docs["root.attachment-1"].doc_title == "mid.pdf" and {d.bundle_id for d in docs.values()} == {"plan-6"}
     blocks = levels["block"].where("part_id = 'root.attachment-1.attachment-1' AND block_type = 'kv_pair'").collect()
     assert [b.block_id for b in blocks] == ["root.attachment-1.attachment-1-field-1"]
     # every page block count adds up to the blocks of its part
@@ -69,6 +68,40 @@ def test_nested_attachments(spark):
     assert pages == {k: 3 for k in docs}
 
 
+def test_chain_of_attachments(spark):
+    chain = spark.createDataFrame([(f"n{i}", 0, f"f{i}", "text/plain", f"n{i + 1}") for i in range(7)], "document_id string, ord long, file_name string, mime_type string, child_document_id string")
+    root = spark.createDataFrame([("n0",)], "document_id string")
+    assert sorted(r.depth for r in parts.part_tree(root, chain).collect()) == list(range(8))
+    assert parts.part_tree(root, chain, max_depth=7).count() == 8
+    with pytest.raises(ValueError):
+        parts.part_tree(root, chain, max_depth=4)
+    loop = chain.union(spark.createDataFrame([("n7", 0, "x", "y", "n3")], chain.schema))
+    with pytest.raises(ValueError):
+        parts.part_tree(root, loop)
+
+
+def test_bad_payloads_do_not_end_the_job(spark):
+    rows = [("cr", b"a,b\rc,d\r", "text/csv"), ("charset", b"From: a@b\nContent-Type: text/plain; charset=no-such\n\nhello", "message/rfc822"), ("fine", b"x,y\n1,2\n", "text/csv")]
+    docs = spark.createDataFrame(rows, "document_id string, content binary, mime_type string")
+    cells = formats.csv_cells(docs.where("mime_type = 'text/csv'"))
+    assert sorted((r.document_id, r.row_index, r.content) for r in cells.collect()) == [("cr", 0, "a"), ("cr", 0, "b"), ("cr", 1, "c"), ("cr", 1, "d"), ("fine", 0, "x"), ("fine", 0, "y"), ("fine", 1, "1"), ("fine", 1, "2")]
+    assert formats.email_documents(docs.where("document_id = 'charset'")).collect()[0].body == "hello"
+    assert formats.unreadable(docs).count() == 0
+
+
+def test_versions_of_a_document_stay_apart(spark, tmp_path):
+    rows = [("d", "s", b"a,b\n1,2\n", "text/csv", "{}"), ("d", "s", b"x,y\n8,9\n", "text/csv", "{}"), ("d", "s", b"plain words", "text/plain", "{}")]
+    docs = spark.createDataFrame(rows, "document_id string, source_uri string, content binary, mime_type string, metadata string")
+    done = workflow.process(docs.limit(2), str(tmp_path / "store"), batch="one")
+    assert sorted("".join(c.content for c in r.tables[0].cells) for r in done.documents.collect()) == ["ab12", "xy89"]
+    assert {r.bundle_id for r in done.rows["doc"].collect()} == {"d"} and done.failures.count() == 0
+    later = workflow.process(docs, str(tmp_path / "store"), batch="two")
+    assert [r.text_spans[0].content for r in later.documents.collect()] == ["plain words"]
+    assert workflow.read_store(spark, str(tmp_path / "store")).count() == 3
+    with pytest.raises(ValueError):
+        workflow.process(docs, str(tmp_path / "store"), batch="two")
+
+
 def test_table_text_and_segments(spark):
     cells = [
         {"row_index": 1, "column_index": 1, "content": "old", "row_span": 1, "column_span": 2}, {"row_index": 0, "column_index": 0, "content": "", "row_span": 1, "column_span": 1, "page": 0},
@@ -201,7 +234,7 @@ def test_workflow_is_idempotent(spark, tmp_path):
         ("txt", "s3://t", b"  some \n words ", "text/plain", '{"request_id": "r-9"}', False), ("txt", "s3://t", b"  some \n words ", "text/plain", "{}", False),
     ]
     docs = spark.createDataFrame(rows, RAW)
-    done = workflow.process(docs, path, force="force", providers=[enrichment.sorted_keyword_provider()], enrich_with=["keyword_insights"])
+    done = workflow.process(docs, path, force="force", providers=[enrichment.sorted_keyword_provider()], enrich_with=["keyword_insights"], batch="batch-0")
     stored = {r.document_id: r for r in done.documents.collect()}
     assert set(stored) == {"email-doc", "csv", "txt", "email-doc::attachment-3"}
     assert stored["email-doc"].summaries[0].summary == "First one. Second one." and stored["txt"].text_spans[0].content == "some words"
@@ -217,7 +250,7 @@ def test_workflow_is_idempotent(spark, tmp_path):
     forced = workflow.process(docs.where("document_id = 'csv'").withColumn("force", F.lit(True)), path, force="force", batch="batch-2")
     assert forced.documents.count() == 1
     # repeating a batch replaces it instead of skipping its own rows
-    repeated = workflow.process(docs, path, force="force", batch="batch-0")
+    repeated = workflow.process(docs, path, force="force", batch="batch-0", replace=True)
     assert {r.document_id for r in repeated.documents.collect()} == {"email-doc", "txt", "email-doc::attachment-3"}
 
 

@@ -47,7 +47,7 @@ def test_ingest_replay_and_dead_letters(spark, tmp_path):
     dead = spark.read.parquet(config.path("dead_letters"))
     assert deadletters.replay(dead, str(source), 10, dry_run=True).count() == 1
     deadletters.replay(dead, str(source), 10)
-    assert spark.read.schema(schemas.MESSAGE).json(str(source)).where("message_id = 'm2' AND receive_count = 1").count() == 1
+    assert spark.read.schema(schemas.MESSAGE).json(str(source)).where("message_id = 'm2/replay-1' AND receive_count = 1").count() == 1
 
 
 def test_windowed_metrics_over_gaps(spark):
