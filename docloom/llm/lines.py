@@ -11,7 +11,9 @@ with l = ``MEETINGS`` or as many as a short entry can.  Length filter: sizes dif
 in either entry bounds the overlap from above.  What passes is verified on the whole token sets, fetched for the lines
 concerned only.  A line goes when an earlier line, by doc_id and place, whether itself kept or not, has a similar set.
 
-Defined cases: lines of fewer than ``LEAST`` distinct words always stay; a null text stays null; rows of equal doc_id are
+Lines of fewer than ``JOINED`` distinct words are similar to equal sets only, so the pair join leaves them out.
+
+Defined cases: blank lines always stay; a null text stays null; rows of equal doc_id are
 one document whose lines stand or go by their place; a null doc_id comes first; a document all of whose lines go keeps an
 empty text; other columns are kept.
 """
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from . import bitmaps
 
-#: Similarity in percent and the fewest distinct words of a line that can go.
-PERCENT, LEAST = 80, 5
+#: Similarity in percent and the fewest distinct words of a line that can go: all but blank lines can.
+PERCENT, LEAST = 80, 1
+#: The fewest distinct words of a line that an unequal set can match: 4 of 5 is ``PERCENT``, 3 of 4 is less.
+JOINED = 4
 #: Neighbour pairs that two entries must share to be compared.
 MEETINGS = 2
 #: Hash buckets of the rarity order.
@@ -46,8 +50,7 @@ def _words(line: Column) -> Column:
 
 def _lines(docs: DataFrame) -> DataFrame:
     cut = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    # two words have a character each and a space: shorter lines cannot have enough words
-    return cut.where(F.length("line") >= 2 * LEAST - 1)
+    return cut.where(F.length("line") > 0)
 
 
 def _levels(docs: DataFrame) -> list[int]:
@@ -92,7 +95,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     keys = F.explode(F.array(_keys(F.col("line"), levels))).alias("keys")
     entry = _lines(docs).select("doc_id", "line_no", keys).where(n >= LEAST)
     count = F.least(n - 1, _broken(n) + MEETINGS)
-    neighbours = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.hash(F.get("keys", i), F.get("keys", i + 1)))
+    # a sequence down from 0 would not be empty
+    places = F.when(n >= JOINED, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    neighbours = F.transform(places, lambda i: F.hash(F.get("keys", i), F.get("keys", i + 1)))
     lines = save(entry.select("doc_id", "line_no", F.xxhash64("keys").alias("entry"), n.alias("n"), neighbours.alias("prefix")), "lines")
 
     firsts = save(lines.groupBy("entry").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")

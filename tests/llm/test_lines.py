@@ -66,3 +66,16 @@ def test_many_copies_and_long_text(spark):
 
 def test_empty_table(spark):
     assert lines.dedup(documents(spark, [])).count() == 0
+
+
+def test_short_lines_and_scripts_without_spaces(spark):
+    """Repeated lines of one to four words go, near ones of four and five too; blank lines stay."""
+    rows = [(1, "yes\n\n \nread more\nthree of them\n文字文字文字"), (2, "YES\nmore read\n\n \n文字文字文字\nthree of\nno no"), (3, "no\nfour words are here\nx x x x"), (4, "four words are here too\nx\nthree of them all")]
+    got = {r["doc_id"]: r["_gone"] for r in lines.dedup(documents(spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
+    assert got == {1: None, 2: [0, 1, 4], 3: [0], 4: [0, 1]}
+    check(spark, rows)
+
+
+def test_short_lines_equal_brute_force(spark):
+    r = random.Random(9)
+    check(spark, [(d, "\n".join(" ".join(r.choice("abcdefgh") for _ in range(r.randrange(7))) for _ in range(6))) for d in range(40)])
