@@ -5,10 +5,14 @@ high byte of its length, a zero byte below 16 MiB, so members are handed over wi
 separator; behind a longer record stands an empty member, which is legal and ends with zero too.  Files are therefore
 plain concatenations of members, written with Spark's own retries and commit.
 
-Reading takes records in gzip members or bare.  A member must inflate with its CRC, a record needs a version line, a
-Content-Length that fits, the closing blank line, and the block digest if it states one.  After a failed check the reader
-searches for the next place where a member or a version line begins and a valid record follows; the bytes between are
-reported as a gap with their offset, length and reason, and all later records are recovered.  One archive file is one row
+Reading takes records in gzip members or bare.  A record needs a version line, a Content-Length that fits, the closing
+blank line, and the block digest if it states one.  After a failed check the reader searches for the next place where a
+member or a version line begins and a valid record follows; the bytes between are reported as a gap with their offset,
+length and reason, and all later records are recovered.  The same is done with the bytes of a member, also with what
+inflates before it breaks off or fails its CRC: its records and gaps have the member's offset and, inside the inflated
+bytes, their ``inner_offset``.  A damaged member is a gap besides; if it holds just one record, the damage is that
+record's and the gap is all.  Digests do not cover headers, so the other records of a member with wrong bytes have the
+damage as their reason, and so have those of a truncated one that state no block digest.  One archive file is one row
 of Spark's binary source, so files should stay below some hundred megabytes; the writer rolls them by record count.
 
 Defined cases: a null payload is empty; a null URL leaves the target header out; rows of a repeated page_id and payload
@@ -34,9 +38,10 @@ _VERSION = b"WARC/1."
 _MAGIC = b"\x1f\x8b\x08"
 _DATE = "2000-01-01T00:00:00Z"
 RECORDS_PER_FILE = 20_000
+_CUT = "truncated member"
 
 RECORD_SCHEMA = (
-    "path string, kind string, offset bigint, length bigint, reason string, record_type string, record_id string, target_uri string, "
+    "path string, kind string, offset bigint, inner_offset bigint, length bigint, reason string, record_type string, record_id string, target_uri string, "
     "refers_to string, payload_digest string, payload_bytes bigint, payload binary"
 )
 
@@ -167,48 +172,87 @@ def _row(found: dict) -> dict:
     }
 
 
-def _at(data: bytes, at: int) -> tuple[list[dict], int] | str:
-    """Records that begin at a place, and where they end."""
-    if data.startswith(_MAGIC, at):
-        opener, parts, place = zlib.decompressobj(31), [], at
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What a gzip member holds, where it ends, and what is wrong with it; of a damaged one, what comes before the damage."""
+    opener, parts, place, step = zlib.decompressobj(31), [], at, 65536
+    while not opener.eof and place < len(data):
+        before = opener.copy()
         try:
-            while not opener.eof and place < len(data):
-                parts.append(opener.decompress(data[place : place + 65536]))
-                place += 65536
+            parts.append(opener.decompress(data[place : place + step]))
         except zlib.error as error:
-            return str(error)[:80]
-        if not opener.eof:
-            return "truncated member"
-        end = min(place, len(data)) - len(opener.unused_data)
-        inner, records, spot = b"".join(parts), [], 0
-        while spot < len(inner):
-            got = parse_record(inner, spot)
-            if isinstance(got, str):
-                return got
-            records.append(got[0])
-            spot = got[1]
-        return records, end
-    got = parse_record(data, at)
-    return got if isinstance(got, str) else ([got[0]], got[1])
+            if step == 1:
+                return b"".join(parts), place, str(error)[:80]
+            # what this step gave up to the damage is lost: again in smaller steps
+            opener, step = before, step // 256
+            continue
+        place += step
+    if not opener.eof:
+        return b"".join(parts), len(data), _CUT
+    return b"".join(parts), min(place, len(data)) - len(opener.unused_data), None
 
 
-def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of an archive, in the order of their offsets."""
+def _inside(inner: bytes) -> Iterator[dict]:
+    """Records and gaps of inflated bytes."""
     at, gap, why = 0, None, None
-    while at < len(data):
-        got = _at(data, at)
+    while at < len(inner):
+        got = parse_record(inner, at)
         if isinstance(got, str):
             if gap is None:
                 gap, why = at, got
-            places = [p for p in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+            place = inner.find(_VERSION, at + 1)
+            at = place if place >= 0 else len(inner)
             continue
         if gap is not None:
-            yield {"kind": "gap", "offset": gap, "length": at - gap, "reason": why}
+            yield {"kind": "gap", "inner_offset": gap, "length": at - gap, "reason": why}
             gap = None
-        for found in got[0]:
-            yield _row(found) | {"offset": at, "length": got[1] - at}
+        found = _row(got[0])
+        yield found | {"inner_offset": at, "_sure": got[0]["head"].get("warc-block-digest", "").startswith("sha1:")}
         at = got[1]
+    if gap is not None:
+        yield {"kind": "gap", "inner_offset": gap, "length": len(inner) - gap, "reason": why}
+
+
+def _at(data: bytes, at: int) -> tuple[list[dict], int, str | None] | str:
+    """Rows of what begins at a place, where it ends, and what is wrong with it; or only that, if no record is there."""
+    if not data.startswith(_MAGIC, at):
+        got = parse_record(data, at)
+        return got if isinstance(got, str) else ([_row(got[0]) | {"offset": at, "length": got[1] - at}], got[1], None)
+    inner, end, wrong = _inflate(data, at)
+    rows = list(_inside(inner))
+    last = max((i for i, r in enumerate(rows) if r["kind"] == "record"), default=-1)
+    if wrong and (last < 0 or len(rows) == 1):
+        return wrong
+    if rows and last < 0:
+        return rows[0]["reason"]
+    # behind its last record a damaged member is one gap with what follows
+    rows = rows[: last + 1] if wrong else rows
+    for r in rows:
+        sure = r.pop("_sure", True)
+        r["offset"] = at
+        if r["kind"] == "record":
+            r["length"] = end - at
+            if wrong and not (sure and wrong == _CUT):
+                r["reason"] = r["reason"] or wrong
+    return rows, end, wrong
+
+
+def salvage(data: bytes) -> Iterator[dict]:
+    """Records and gaps of an archive, in the order of their offsets."""
+    at, gap, why = 0, None, None
+    while at < len(data):
+        got = _at(data, at)
+        wrong = got if isinstance(got, str) else got[2]
+        if gap is not None and not isinstance(got, str):
+            yield {"kind": "gap", "offset": gap, "length": at - gap, "reason": why}
+            gap = None
+        if not isinstance(got, str):
+            yield from got[0]
+            at = got[1] if wrong is None else at
+        if wrong is not None:
+            if gap is None:
+                gap, why = at, wrong
+            places = [p for p in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if p >= 0]
+            at = min(places, default=len(data))
     if gap is not None:
         yield {"kind": "gap", "offset": gap, "length": len(data) - gap, "reason": why}
 
@@ -219,7 +263,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("path", pa.string()), ("kind", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
+            [("path", pa.string()), ("kind", pa.string()), ("offset", pa.int64()), ("inner_offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
         )
         for batch in batches:
             for row in range(batch.num_rows):

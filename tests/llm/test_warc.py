@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 
 from docloom.llm import warc
 
@@ -72,3 +73,28 @@ def test_wrong_block_digest_is_a_gap():
     bare = warc.record("urn:page:9", None, b"plain", None).replace(b"plain", b"plaid")
     assert [r["reason"] for r in warc.salvage(bare)] == ["block digest differs"]
     assert list(warc.salvage(b"")) == []
+
+
+def test_salvage_inside_a_member():
+    parts = [warc.record(f"urn:page:{i}", None, b"text %d " % i * 50, None) for i in range(6)]
+    for bad in (parts[2].replace(b"Content-Length: ", b"Content-Length: 9", 1), parts[2].replace(b"text 2", b"tixt 2", 1)):
+        got = list(warc.salvage(b"".join([whole(8), gzip.compress(b"".join([*parts[:2], bad, *parts[3:]])), whole(9)])))
+        assert [r.get("record_id") for r in got] == ["urn:page:8", "urn:page:0", "urn:page:1", None, "urn:page:3", "urn:page:4", "urn:page:5", "urn:page:9"]
+        gap = got[3]
+        assert (gap["kind"], gap["offset"], gap["inner_offset"], gap["length"]) == ("gap", len(whole(8)), len(parts[0]) + len(parts[1]), len(bad))
+
+
+def test_salvage_of_what_inflates_before_damage():
+    r = random.Random(3)
+    parts = [warc.record(f"urn:page:{i}", None, r.randbytes(3000), None) for i in range(60)]
+    data = bytearray(gzip.compress(b"".join(parts)))
+    cut = list(warc.salvage(bytes(data[: len(data) // 2])))
+    assert 28 <= len(cut) - 1 <= 30 and [r["record_id"] for r in cut[:-1]] == [f"urn:page:{i}" for i in range(len(cut) - 1)]
+    assert (cut[-1]["kind"], cut[-1]["reason"], cut[-1]["length"]) == ("gap", "truncated member", len(data) // 2)
+    data[-6] ^= 1  # the CRC
+    got = list(warc.salvage(bytes(data) + whole(99)))
+    assert [r.get("record_id") for r in got] == [*(f"urn:page:{i}" for i in range(60)), None, "urn:page:99"]
+    assert got[60]["kind"] == "gap" and all("incorrect" in r["reason"] for r in got[:60])
+    bare = b"WARC/1.0\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    got = list(warc.salvage(gzip.compress(bare + bare)[:-4]))
+    assert [(r["kind"], r["reason"]) for r in got] == [("record", "truncated member")] * 2 + [("gap", "truncated member")]
