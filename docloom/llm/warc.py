@@ -113,8 +113,8 @@ def write_archive(rows: DataFrame, folder: str, key: str = "page_id", url: str =
     packed.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
 
 
-def _headers(data: bytes, at: int, limit: int) -> tuple[dict[str, str], int] | str:
-    end = data.find(b"\r\n\r\n", at, min(limit, at + 65536))
+def _headers(data: bytes, at: int) -> tuple[dict[str, str], int] | str:
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
         return "no end of headers"
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")
@@ -131,7 +131,7 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int] | str:
     """The record at a place and where it ends, or the check that failed."""
     if not data.startswith(_VERSION, at):
         return "no version line"
-    got = _headers(data, at, len(data))
+    got = _headers(data, at)
     if isinstance(got, str):
         return got
     head, body = got

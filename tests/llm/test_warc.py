@@ -98,3 +98,10 @@ def test_salvage_of_what_inflates_before_damage():
     bare = b"WARC/1.0\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
     got = list(warc.salvage(gzip.compress(bare + bare)[:-4]))
     assert [(r["kind"], r["reason"]) for r in got] == [("record", "truncated member")] * 2 + [("gap", "truncated member")]
+
+
+def test_headers_of_any_length(spark):
+    url = "data:text/html," + "x" * 200_000
+    got = roundtrip(spark, [(1, url, "a", ""), (2, "u", "b", "")])
+    assert {r["target_uri"] for r in got} == {url, "u"} and all(r["kind"] == "record" for r in got)
+    assert [r["kind"] for r in warc.salvage(warc.record("urn:page:1", url, b"a", None))] == ["record"]
