@@ -6,6 +6,11 @@ log odds of each kind of event inside and outside the article, counted over the
 mark their content with exactly one ``article`` or ``main`` element.  One linear scan finds the best region; inside it,
 elements that are never article text (scripts, forms, adverts, reader comments, ...) are left out.
 
+Words in class, id or role hint at such elements, but also stand on wrappers of the whole article.  A hint is passed over on
+an element that holds an article or main, unless others stand elsewhere and it is small; without any it only lowers the
+score of its words if they are more than ``SMALL`` of the page's, or of the article's that holds it.  On text elements
+(headings, paragraphs, ...) all words of a class, id or role must be hints.
+
 Blocks are the stretches between block-level tags and line breaks.  Character references are decoded, white space inside a
 block becomes one space, empty blocks are dropped, blocks are joined by a line feed.
 
@@ -41,6 +46,10 @@ HINTS = frozenset(
     "share sharing social comment comments commentlist respond replies disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login "
     "form search footer toolbar pagination pager copyright legal complementary contentinfo".split()
 )
+#: Largest share of the words around it that a hint alone takes out, and what it takes off each word's score otherwise.
+SMALL, LOWER = 0.3, 0.3
+#: Elements whose ids and classes often name what the text is about.
+_TEXTUAL = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption caption".split())
 _HEADER = frozenset(("header", "masthead"))
 _token = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
 _named = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -55,6 +64,8 @@ def _hint(name: str, attributes: str) -> str | None:
         return None
     for found in _named.findall(attributes):
         pieces = _piece.findall("".join(found).lower())
+        if name in _TEXTUAL and not any(t and set(_piece.findall(t)) <= HINTS | _HEADER for t in "".join(found).lower().split()):
+            continue
         for p in pieces:
             if p in HINTS or p in _HEADER:
                 return p
@@ -63,25 +74,56 @@ def _hint(name: str, attributes: str) -> str | None:
 
 def events(html: str) -> list[tuple[str, int, str | None, bool, bool, bool]]:
     """Kind, words, text (None for tags), block break, left out, inside a labelled article; in page order."""
+    hints: list[list[int]] = []
+    out = _read(html, {}, hints)
+    *_, total, marks = hints.pop()
+    passed = {}
+    for at, words, held, around, above in hints:
+        outside = marks - held - above
+        large = words > SMALL * max(1, around if above else total)
+        if held and (not outside or large):
+            passed[at] = False
+        elif large and (above or not marks):
+            passed[at] = True
+    return _read(html, passed, []) if passed else out
+
+
+def _read(html: str, passed: dict[int, bool], hints: list[list[int]]) -> list[tuple]:
+    """The events; hints at the places ``passed`` only lower the score, or not even that.
+
+    ``hints`` gets place, words, articles inside, words of the innermost article around and articles around of every hinted
+    element, and at last the words and articles of the page.
+    """
     out: list = []
+    said, marks = 0, 0
+    # open articles: words in front and, once closed, inside
+    articles: list[list[int]] = []
+    owners: list[tuple[list[int], list[int]]] = []
     # open elements: name, kind of the nearest element that is not content, block, link, skipped, labelled
-    stack: list[tuple] = [("#root", None, "body", False, False, False)]
+    stack: list[tuple] = [("#root", None, "body", False, False, False, None, False)]
     open_names: Counter = Counter()
     at, size = 0, len(html)
 
     def say(text: str) -> None:
+        nonlocal said
         words = len(text.split())
-        _, other, block, link, skipped, labelled = stack[-1]
+        _, other, block, link, skipped, labelled, _, low = stack[-1]
         if skipped:
             return
-        kind = "w:" + (other or ("a:" + block if link else block))
+        said += words
+        kind = "w:" + (other or ("low." if low else "") + ("a:" + block if link else block))
         if words or text:
             out.append((kind, words, text, False, other is not None, labelled))
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
-            name, other, _, _, skipped, labelled = stack.pop()
+            name, other, _, _, skipped, labelled, hinted, _ = stack.pop()
             open_names[name] -= 1
+            if hinted is not None:
+                hinted[1], hinted[2] = said - hinted[1], marks - hinted[2]
+            if name in ("article", "main") and articles:
+                articles[-1][0] = said - articles[-1][0]
+                articles.pop()
             if not stack[-1][4]:
                 out.append(("/" + (other or name), 0, None, name not in INLINE, other is not None or skipped, stack[-1][5]))
 
@@ -125,13 +167,21 @@ def events(html: str) -> list[tuple[str, int, str | None, bool, bool, bool]]:
                 depth -= 1
             if stack[depth][0] in ends:
                 close_to(depth)
-        _, other, block, link, skipped, labelled = stack[-1]
+        _, other, block, link, skipped, labelled, _, low = stack[-1]
+        hint, hinted = _hint(name, attributes), None
+        if name in ("article", "main"):
+            marks += 1
+            # a form around the page is no form of the article
+            other = None if other == "form" else other
+        if hint is not None and hint not in _HEADER and name not in BOILERPLATE:
+            hinted = [found.start(), said, marks, 0, len(articles)]
         if other is None:
-            hint = _hint(name, attributes)
             if name in BOILERPLATE:
                 other = name
             elif name == "header" or hint in _HEADER:
                 other = None if open_names["article"] + open_names["main"] > 0 else "header"
+            elif hinted is not None and hinted[0] in passed:
+                low = low or passed[hinted[0]]
             elif hint is not None:
                 other = "hint." + hint
         inside = labelled or name in ("article", "main")
@@ -145,9 +195,18 @@ def events(html: str) -> list[tuple[str, int, str | None, bool, bool, bool]]:
             end = re.compile(f"</{name}(?![a-zA-Z0-9])[^>]*>?", re.I).search(html, at)
             at = size if end is None else end.end()
             continue
-        stack.append((name, other, block if name in INLINE else name, link or name == "a", skipped, inside))
+        if hinted is not None:
+            hints.append(hinted)
+            if articles:
+                owners.append((hinted, articles[-1]))
+        if name in ("article", "main"):
+            articles.append([said])
+        stack.append((name, other, block if name in INLINE else name, link or name == "a", skipped, inside, hinted, low))
         open_names[name] += 1
     close_to(1)
+    for hinted, article in owners:
+        hinted[3] = article[0]
+    hints.append([said, marks])
     return out
 
 
@@ -203,9 +262,12 @@ def extract(html: str | None, weight: dict[str, float]) -> str:
     found = events(html)
     scores = []
     for kind, words, text, _, left_out, _ in found:
+        low = kind.startswith("w:low.")
+        kind = kind.replace("low.", "", 1) if low else kind
         value = weight.get(kind)
         if value is None:
             value = _default(kind)
+        value -= LOWER * low
         if text is None:
             scores.append(value)
         else:

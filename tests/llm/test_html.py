@@ -46,3 +46,12 @@ def test_best_region_is_the_maximum():
     a, b = html.best_region(scores)
     assert sum(scores[a:b]) == best
     assert html.best_region([-1.0, -2.0]) == (0, 0) and html.best_region([]) == (0, 0)
+
+
+def test_hints_on_wrappers_and_headings_keep_the_article():
+    nav, body = "<nav><a>one</a> <a>two</a></nav>", "".join(f"<p>word{i} goes on and on here.</p>" for i in range(12))
+    text = "\n".join(f"word{i} goes on and on here." for i in range(12))
+    for open_, close in (("<div class='wrap has-sidebar'>", "</div>"), ("<div id=page class=no-sidebar>", "</div>"), ("<div class='post category-social'>", "</div>"), ("<div class=has-sidebar><main>", "</main></div>"), ("<form><main>", "</main></form>"), ("<main><div class=social>", "</div></main>")):
+        assert html.extract(f"<body>{nav}{open_}{body}{close}<footer>end of it</footer></body>", {}) == text, open_
+    page = f"<body>{nav}<article><h2 id=related-work>Related work</h2>{body}<p class=search-results>Found ten.</p><p class=ad>Buy this.</p><div class=share>Tell all.</div></article></body>"
+    assert html.extract(page, {}) == f"Related work\n{text}\nFound ten."
