@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprints, html, jaccard, lines, lm, merging, pieces, quality, warc
+from . import decontam, fingerprints, html, jaccard, lines, lm, manifest, merging, pieces, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    written = manifest.append(_documents(spark, sf_dir), {"text": tampered})
+    return manifest.audit(written).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_piece_encoding": op2_piece_encoding,
@@ -83,4 +89,5 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
