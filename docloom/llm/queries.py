@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprints, html, jaccard, lines, lm, manifest, merging, pieces, quality, warc
+from . import decontam, fingerprints, html, jaccard, lines, lm, manifest, merging, pieces, quality, ranked, topk, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(written).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_piece_encoding": op2_piece_encoding,
@@ -90,4 +98,6 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_topk_search": op12_topk_search,
+    "op13_ranked_search": op13_ranked_search,
 }

@@ -21,6 +21,10 @@ _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transfor
     lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
     lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295::BIGINT)"""
 
+#: Terms of a text, only A-Z lower-cased.
+_TERMS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])"""
+
 
 def _tree(name: str, leaves: str) -> str:
     """Nodes of the trees of ``leaves`` (tree, idx, digest, n), and per node what stands before and behind it in its run."""
@@ -67,4 +71,23 @@ ends AS (SELECT l.doc_id AS id, '' AS tree, s.idx, f.digest FROM leaves l JOIN f
 {_fold('above', 'tops', 'ends')}
 SELECT l.doc_id, l.leaf, s.digest AS subroot, t.digest AS root, sha256(f.proof || a.proof) AS proof_sha256, a.digest AS folded_root, a.digest = t.digest AS verified
 FROM leaves l JOIN sources s ON s.name = l.tree JOIN folded_end f ON f.id = l.doc_id JOIN above_end a ON a.id = l.doc_id CROSS JOIN tops_root t""",
+    "op12_topk_search": """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op13_ranked_search": rf"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+     totals AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t)) AS n_words FROM docs),
+     wanted AS (SELECT DISTINCT item_id, unnest(t) AS term FROM (SELECT item_id, {_TERMS} AS t FROM benchmark)),
+     held AS (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM docs),
+     tfs AS (SELECT doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+     weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+                 FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals),
+     scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_words)))))::BIGINT AS score
+                FROM wanted JOIN tfs USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50""",
 }
