@@ -98,6 +98,29 @@ def messages_from(events: DataFrame) -> DataFrame:
     )
 
 
+def deliveries(spark: SparkSession, sf_dir: str, wave: int) -> DataFrame:
+    """Deliveries of all events' messages in three waves: late, redelivered, repeated, without id or count."""
+    event = F.col("event_id")
+    sent = messages(spark, sf_dir)
+    first = F.when(event % 13 != 0, 1).cast("int")
+    if wave == 0:
+        # a seventh of them twice over
+        copies = F.sequence(F.lit(1), F.when(event % 7 == 0, 2).otherwise(1))
+        sent = sent.where(event % 5 != 0).withColumn("receive_count", first).withColumn("_copy", F.explode(copies)).drop("_copy")
+    elif wave == 1:
+        on_time = event % 5 != 0
+        counts = F.array_compact(
+            F.array(
+                F.when(~on_time | (event % 17 == 0), F.coalesce(first, F.lit(0))), F.when(on_time & (event % 3 == 0), 2), F.when(on_time & (event % 4 == 0), 3)
+            )
+        )
+        # 0 stands for a missing count
+        sent = sent.withColumn("receive_count", F.explode(counts)).withColumn("receive_count", F.nullif("receive_count", F.lit(0)))
+    else:
+        sent = sent.where("event_type IN ('error', 'view')").withColumn("receive_count", F.lit(5))
+    return sent.select(F.when(event % 11 != 0, F.col("message_id")).alias("message_id"), "queue_url", "stream", "body", "receive_count", "sent_at")
+
+
 def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` rows as pages of the document ``l_orderkey``."""
     flag, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")

@@ -14,7 +14,7 @@ from docloom.plans.routing_queries import MESSAGE_CONFIG, MESSAGE_RULES, _rounde
 from docloom.plans.service_queries import _shown, _stamp, job_events_from
 from docloom.session import ensure_checkpoint_dir
 from docloom.sources import messages as msg
-from docloom.streaming import ingest, live
+from docloom.streaming import deadletters, ingest, live
 
 
 def _scratch(spark, name: str) -> str:
@@ -57,6 +57,34 @@ def stream_run_summary(spark, sf_dir):
     return ingest.run_summary(spark, config).select("run_id", "messages", "failures")
 
 
+def stream_redelivery(spark, sf_dir):
+    """Three waves of deliveries and a replay of the dead letters, drained one after the other: where every row went."""
+    base = _scratch(spark, "redelivery")
+    source = f"{base}/in"
+    config = ingest.IngestConfig(f"{base}/tables", f"{base}/checkpoint", routing=MESSAGE_CONFIG, ledger_buckets=2, compact_every=2)
+    for wave in range(4):
+        if wave < 3:
+            staging.deliveries(spark, sf_dir, wave).repartition(3).write.mode("append").json(source)
+        else:
+            deadletters.replay(spark.read.parquet(config.path("dead_letters")), source, 1 << 30)
+        _drain(ingest.start_ingest(msg.stream_messages(spark, source), config))
+
+    def rows(table: str, reason, count, copies) -> DataFrame:
+        # the key of a message without id is a hash
+        name = F.regexp_replace("message_id", "^body:[0-9a-f]*", "body")
+        return spark.read.parquet(config.path(table)).select(
+            F.lit(table).alias("destination"), name.alias("message_id"), reason.alias("reason"), count.cast("int").alias("receive_count"),
+            copies.cast("long").alias("copies"),
+        )
+
+    none, one = F.lit(None), F.lit(1)
+    return (
+        rows("metadata", F.lit("accepted"), none, one)
+        .unionByName(rows("failures", F.col("failure_reason"), F.col("receive_count"), one))
+        .unionByName(rows("duplicates", F.col("reason"), F.col("receive_count"), F.col("copies")))
+    )
+
+
 def _state(spark, rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     base = _scratch(spark, name)
     _drain(live.start_updates(rows, f"{base}/table", f"{base}/checkpoint"))
@@ -92,5 +120,5 @@ def stored_mail(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (stream_ingest, stream_dead_letters, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail)
+    for f in (stream_ingest, stream_dead_letters, stream_redelivery, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail)
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -55,3 +56,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _folder(spark, path)
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _folder(spark, path)
+    files.delete(place, True)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table; an absent one is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -31,12 +31,13 @@ def replay(dead: DataFrame, input_path: str, limit: int, dry_run: bool = False,
 
     A replayed letter is a new message: its id carries ``replay_id``, its receive count starts over and it is sent now,
     so the stream handles it like any other.  The same ``replay_id`` again gives the same ids, which the stream handles
-    once.  The caller drops replayed ids from the dead-letter table (left anti join on ``message_id``) once the write has
-    succeeded, so a failed write leaves them in place.
+    once; a letter without id gets one from its ``delivery_key``.  The caller drops replayed letters from the dead-letter
+    table (left anti join on the key) once the write has succeeded, so a failed write leaves them in place.
     """
     chosen = replay_candidates(dead, limit)
     if not dry_run:
-        renamed = F.concat("message_id", F.lit(f"/{replay_id}")).alias("message_id")
+        own = F.coalesce("message_id", "delivery_key") if "delivery_key" in chosen.columns else F.col("message_id")
+        renamed = F.concat(own, F.lit(f"/{replay_id}")).alias("message_id")
         rows = chosen.select(renamed, "queue_url", "stream", "body", F.lit(1).alias("receive_count"), F.current_timestamp().alias("sent_at"))
         rows.write.mode("append").json(input_path)
     return chosen

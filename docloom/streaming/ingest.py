@@ -5,9 +5,10 @@ acknowledgement: a batch counts as done only after all its tables are written, a
 overwrites its own partitions, so nothing is written twice.  Another run, with another ``run_id``, writes
 beside the earlier ones.
 
-No message is too late: there is no watermark.  A delivery, ``(message_id, receive_count)``, is handled once;
-a message that has succeeded is not handled again; a failed one is tried again on each new delivery, until it
-is dead.  What was handled is a table by the day the message was sent, of which a batch reads its own days.
+No message is too late: there is no watermark.  A delivery is handled once; a message that has succeeded is not
+handled again; a failed one is tried again on each new delivery, until it is dead.  ``ledger`` holds what was handled.
+Every delivery read is in exactly one of ``metadata`` (accepted), ``failures`` (rejected) and ``duplicates`` (with the
+reason why it was not handled).
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,11 +24,9 @@ from docloom.config import RoutingConfig
 from docloom.operators import layout, routing, telemetry
 from docloom.sources import messages as msg
 from docloom.streaming import deadletters
+from docloom.streaming.ledger import Ledger, identified, latest_deliveries
 
-TABLES = ("metadata", "routing", "failures", "dead_letters", "events", "handled")
-
-
-_HANDLED = "message_id string, receive_count int, succeeded boolean"
+TABLES = ("metadata", "routing", "failures", "duplicates", "dead_letters", "events", "handled")
 
 
 @dataclass(frozen=True)
@@ -42,6 +40,9 @@ class IngestConfig:
     # read anew in every batch, so rule changes need no restart
     rules: Callable[[SparkSession], DataFrame | None] = lambda spark: None
     max_receives: int = deadletters.MAX_RECEIVES
+    # see ledger.Ledger; every so many batches it is compacted, with 0 never
+    ledger_buckets: int = 16
+    compact_every: int = 100
     # None drains what is there and stops
     interval: str | None = None
 
@@ -60,33 +61,18 @@ def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int, *partiti
     writer.parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")
 
 
-def _unhandled(batch: DataFrame, batch_id: int, config: IngestConfig) -> DataFrame:
-    """The latest delivery of each message of a batch, where no other batch has handled it."""
-    spark = batch.sparkSession
-    latest = batch.groupBy("message_id").agg(F.max_by(F.struct(*batch.columns), "receive_count").alias("_m"))
-    batch = latest.select(*[F.col(f"_m.{c}").alias(c) for c in batch.columns]).withColumn("sent_day", F.to_date("sent_at"))
-    try:
-        handled = spark.read.schema(f"{_HANDLED}, sent_day date, run_id string, batch_id long").parquet(config.path("handled"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return batch.drop("sent_day")
-    days = [r[0] for r in batch.select("sent_day").distinct().collect()]
-    known = F.col("sent_day").isin([d for d in days if d is not None]) | F.col("sent_day").isNull()
-    handled = handled.where(known & ~((F.col("run_id") == config.run_id) & (F.col("batch_id") == batch_id)))
-    fresh = batch.join(handled.select("message_id", "receive_count"), ["message_id", "receive_count"], "left_anti")
-    done = handled.where("succeeded").select("message_id").distinct()
-    return fresh.join(done, "message_id", "left_anti").drop("sent_day").select(*[c for c in batch.columns if c != "sent_day"])
-
-
 def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None:
     """All writes of one micro-batch, from one persisted parse and one persisted routing.
 
     The handled keys come last: a batch that fails before is handled anew, under the same id, by its replay.
     """
     spark = batch.sparkSession
-    batch = _unhandled(batch, batch_id, config)
-    parsed = msg.parse_messages(batch, flag=config.routing.override_flag).persist()
+    ledger = Ledger(spark, config.path("handled"), config.ledger_buckets)
+    batch = identified(batch).persist()
+    latest, repeats = latest_deliveries(batch)
+    repeats, judged = repeats.persist(), ledger.judge(latest, config.run_id, batch_id).persist()
+    fresh = judged.where("reason IS NULL").drop("sent_day", "bucket", "reason")
+    parsed = msg.parse_messages(fresh, flag=config.routing.override_flag).persist()
     routed = routing.route_messages(msg.accepted(parsed), config.routing, config.rules(spark)).drop("doc", "body").persist()
     try:
         now = F.current_timestamp()
@@ -98,7 +84,11 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
         failures = msg.rejected(parsed).withColumn("failed_at", now)
         write_batch(failures, config.path("failures"), config.run_id, batch_id)
         dead = deadletters.dead_messages(parsed, config.max_receives)
-        kept = ["message_id", "queue_url", "stream", "body", "receive_count", "sent_at", "failure_reason"]
+        kept = ["message_id", "delivery_key", "queue_url", "stream", "body", "receive_count", "sent_at", "failure_reason"]
+        known = judged.where("reason IS NOT NULL").drop("sent_day", "bucket").withColumn("copies", F.lit(1).cast("long"))
+        others = repeats.unionByName(known)
+        others = others.select("message_id", "delivery_key", "queue_url", "stream", "body", "receive_count", "sent_at", "reason", "copies")
+        write_batch(others, config.path("duplicates"), config.run_id, batch_id)
         write_batch(dead.select(*[c for c in kept if c in dead.columns]), config.path("dead_letters"), config.run_id, batch_id)
         status = F.when(F.col("failure_reason").isNull(), "succeeded").otherwise("failed")
         outcome = parsed.select(
@@ -114,11 +104,15 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
         lifecycle = telemetry.log_events(size.withColumn("status", F.lit("completed")), F.lit("batch_processed"), context, now)
         write_batch(lifecycle.drop("run_id"), config.path("lifecycle"), config.run_id, batch_id)
         write_batch(events.drop("run_id"), config.path("events"), config.run_id, batch_id)
-        handled = parsed.select("message_id", "receive_count", F.col("failure_reason").isNull().alias("succeeded"), F.to_date("sent_at").alias("sent_day"))
-        write_batch(handled, config.path("handled"), config.run_id, batch_id, "sent_day")
+        done = parsed.select("delivery_key", "receive_count", "sent_at", F.col("failure_reason").isNull().alias("succeeded"))
+        # an older delivery that arrives later still is not handled either
+        older = repeats.where("reason = 'superseded'").select("delivery_key", "receive_count", "sent_at", F.lit(False).alias("succeeded"))
+        ledger.record(done.unionByName(older), config.run_id, batch_id)
     finally:
-        routed.unpersist()
-        parsed.unpersist()
+        for held in (routed, parsed, judged, repeats, batch):
+            held.unpersist()
+    if config.compact_every and batch_id % config.compact_every == config.compact_every - 1:
+        ledger.compact()
 
 
 def start_ingest(messages: DataFrame, config: IngestConfig) -> StreamingQuery:

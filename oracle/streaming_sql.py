@@ -4,7 +4,27 @@ from oracle.service_sql import _JOBS, SQL as _BATCH
 
 _CSV = "(regexp_matches(hx, '^(..)*2C') AND regexp_matches(hx, '^(..)*0A'))"
 
+#: Every delivery of the three waves; a message without id is known by its body, queue and time.
+_WAVES = f"""{MESSAGES},
+sent AS (SELECT 0 AS wave, *, 1 AS cnt, CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS n FROM messages WHERE event_id % 5 <> 0
+  UNION ALL SELECT 1, *, 1, 1 FROM messages WHERE event_id % 5 = 0 OR event_id % 17 = 0
+  UNION ALL SELECT 1, *, 2, 1 FROM messages WHERE event_id % 5 <> 0 AND event_id % 3 = 0
+  UNION ALL SELECT 1, *, 3, 1 FROM messages WHERE event_id % 5 <> 0 AND event_id % 4 = 0
+  UNION ALL SELECT 2, *, 5, 1 FROM messages WHERE failure_reason IS NOT NULL),
+keyed AS (SELECT *, CASE WHEN event_id % 11 <> 0 THEN message_id END AS id,
+    coalesce(id, concat_ws('/', coalesce(source_path, event_type), queue_url, stream, date_trunc('milliseconds', sent_at))) AS key FROM sent),
+grouped AS (SELECT wave, key, cnt, any_value(id) AS id, any_value(failure_reason) AS failure, sum(n) AS n FROM keyed GROUP BY wave, key, cnt),
+judged AS (SELECT *, cnt = max(cnt) OVER (PARTITION BY wave, key) AS top, min(wave) OVER (PARTITION BY key, cnt) < wave AS again,
+    failure IS NULL AND min(wave) OVER (PARTITION BY key) < wave AS done FROM grouped),
+placed AS (SELECT *, CASE WHEN again OR done THEN 'duplicates' WHEN failure IS NULL THEN 'metadata' ELSE 'failures' END AS destination,
+    CASE WHEN again THEN 'handled_before' WHEN done THEN 'message_succeeded' ELSE coalesce(failure, 'accepted') END AS reason FROM judged)"""
+
 SQL = {
+    "stream_redelivery": f"""WITH {_WAVES}
+        SELECT destination, id AS message_id, reason, CASE WHEN destination <> 'metadata' THEN cnt END::INT AS receive_count, 1::BIGINT AS copies FROM placed WHERE top
+        UNION ALL SELECT 'duplicates', id, 'repeated', cnt, n - 1 FROM placed WHERE top AND n > 1
+        UNION ALL SELECT 'duplicates', id, 'superseded', cnt, n FROM placed WHERE NOT top
+        UNION ALL SELECT 'failures', coalesce(id, 'body') || '/replay-1', reason, 1, 1 FROM placed WHERE top AND destination = 'failures' AND cnt = 5""",
     "stream_ingest": f"""WITH {MESSAGE_PAGES} SELECT message_id, source_path, CASE event_type WHEN 'click' THEN 'PDF' WHEN 'signup' THEN 'eml' ELSE 'tiff' END AS file_type,
         page_count, round(average_text_density, 6) AS layout_density, document_category, parser_strategy, overrides_applied, NULL AS failure_reason FROM message_routed
         UNION ALL SELECT message_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, failure_reason FROM messages WHERE failure_reason IS NOT NULL""",

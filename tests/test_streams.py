@@ -77,3 +77,64 @@ def test_idle_listener_reports(spark):
     listener.onQueryIdle(event)
     listener.onQueryStarted(event)
     assert seen == [("q1", "t")]
+
+
+def _deliveries(spark, rows):
+    return spark.createDataFrame([(m, "q", "s", b, n, t) for m, b, n, t in rows], "message_id string, queue_url string, stream string, body string, receive_count int, t string").select(
+        "message_id", "queue_url", "stream", "body", "receive_count", F.to_timestamp("t").alias("sent_at")
+    )
+
+
+def _where(spark, config):
+    found = []
+    for table, reason, copies in (("metadata", F.lit("accepted"), F.lit(1)), ("failures", F.col("failure_reason"), F.lit(1)), ("duplicates", F.col("reason"), F.col("copies"))):
+        rows = spark.read.parquet(config.path(table)).select("message_id", reason.alias("r"), copies.alias("n")).collect()
+        found += [(r.message_id, r.r, r.n) for r in rows]
+    return sorted(found, key=repr)
+
+
+def test_no_delivery_is_lost(spark, tmp_path):
+    good, day = json.dumps({"object_key": "a.pdf"}), "2024-01-01 00:00:00"
+    config = ingest.IngestConfig(str(tmp_path / "out"), str(tmp_path / "cp"), ledger_buckets=2, compact_every=0)
+    first = [
+        (None, good, 1, day), (None, "{broken", 1, day), (None, good, 1, "2024-01-02 00:00:00"), ("a", good, None, day), ("a", "{older", None, "2023-12-31 00:00:00"),
+        ("b", good, None, None), ("c", "{x", 1, day), ("c", "{x", 2, day), ("c", "{x", 2, day), (" ", good, 1, None),
+    ]
+    ingest.process_batch(_deliveries(spark, first), 0, config)
+    want = [
+        (None, "accepted", 1), (None, "accepted", 1), (None, "invalid_json", 1), ("a", "accepted", 1), ("a", "superseded", 1), ("b", "accepted", 1),
+        ("c", "invalid_json", 1), ("c", "superseded", 1), ("c", "repeated", 1), (" ", "accepted", 1),
+    ]
+    assert _where(spark, config) == sorted(want, key=repr)
+    # later: the same again, an older delivery, a new one of a failed message, one of a message that succeeded
+    second = [(None, good, 1, day), ("c", "{x", 1, day), ("d", good, 1, "1999-01-01 00:00:00"), ("a", good, 2, day), ("b", good, None, None)]
+    ingest.process_batch(_deliveries(spark, second), 1, config)
+    more = [(None, "handled_before", 1), ("c", "handled_before", 1), ("d", "accepted", 1), ("a", "message_succeeded", 1), ("b", "handled_before", 1)]
+    assert _where(spark, config) == sorted(want + more, key=repr)
+    # a replay of the second batch decides as before, also after compaction, which keeps runs and batches apart
+    ledger = ingest.Ledger(spark, config.path("handled"), 2)
+    before = sorted((r.delivery_key, r.receive_count, r.batch_id) for r in ledger.deliveries().collect())
+    assert ledger.compact() == 0
+    assert sorted((r.delivery_key, r.receive_count, r.batch_id) for r in ledger.deliveries().collect()) == before
+    ingest.process_batch(_deliveries(spark, second), 1, config)
+    assert _where(spark, config) == sorted(want + more, key=repr)
+    ingest.process_batch(_deliveries(spark, [("c", "{x", 5, day), ("c", "{x", 2, day)]), 2, config)
+    assert ledger.compact() == 1
+    ledger.vacuum()
+    assert ledger.generation() == 1
+    ingest.process_batch(_deliveries(spark, [("c", "{x", 5, day), ("d", good, 2, "1999-01-01 00:00:00"), ("e", good, 1, day)]), 3, config)
+    last = [("c", "invalid_json", 1), ("c", "superseded", 1), ("c", "handled_before", 1), ("d", "message_succeeded", 1), ("e", "accepted", 1)]
+    assert _where(spark, config) == sorted(want + more + last, key=repr)
+
+
+def test_new_keys_do_not_meet_the_ledger(spark, tmp_path):
+    config = ingest.IngestConfig(str(tmp_path / "out"), str(tmp_path / "cp"))
+    ledger = ingest.Ledger(spark, config.path("handled"), 4)
+    rows = [(f"m{i}", "x", 1, "2024-01-01 00:00:00") for i in range(500)]
+    known = ingest.identified(_deliveries(spark, rows)).withColumn("succeeded", F.lit(True))
+    ledger.record(known, "run-0", 0)
+    asked = ingest.identified(_deliveries(spark, rows[:20] + [(f"n{i}", "x", 1, "2024-01-01 00:00:00") for i in range(1000)] + [("m3", "x", 1, "2024-02-01 00:00:00")]))
+    marked = {r.delivery_key: r.suspect for r in ledger.marked(asked).where("sent_day < '2024-02-01'").collect()}
+    assert all(marked[f"m{i}"] for i in range(20)) and sum(marked[f"n{i}"] for i in range(1000)) < 30
+    assert not ledger.marked(asked).where("sent_day >= '2024-02-01'").first().suspect
+    assert ledger.judge(asked, "run-0", 1).where("reason IS NULL").count() == 1001
