@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import scratch_folder
+
 
 def ordered_concat(
     rows: DataFrame,
@@ -92,6 +94,49 @@ def dense_ordinal(
     return joined.withColumn(output, F.col("_offset") + F.col("_local") - 1).drop("_range", "_local", "_offset")
 
 
+def row_positions(
+    rows: DataFrame, order: Sequence[str], output: str, keys: Sequence[str] = (), tie_breakers: Sequence[str] = ()
+) -> DataFrame:
+    """Zero-based position by columns of any orderable type, over all rows or within ``keys``; nulls come first.
+
+    Same values as ``row_number() - 1`` where the order is total.  Rows are sorted by range, equal ones split further by
+    ``tie_breakers``, a hash and their place in the input, so neither a key nor a value nor a tie has to fit one task.  A row's
+    number is its place among those of its key in its partition, behind the counts of the partitions before.  The sorted
+    rows are written to the shared folder, so that numbers stay with their rows whatever is lost later.
+    """
+    spark = rows.sparkSession
+    names = rows.columns
+    hashable = [F.col(f"`{c}`") for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
+    sorted_by = [*keys, *order, *tie_breakers]
+    tied = rows.withColumns({"_tie": F.xxhash64(*hashable), "_row": F.monotonically_increasing_id()})
+    places = [F.col(c).asc_nulls_first() for c in [*sorted_by, "_tie", "_row"]]
+    ordered = tied.repartitionByRange(*places).sortWithinPartitions(*places).drop("_tie", "_row")
+    path = scratch_folder(spark, "positions")
+    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    # partition and place in it are the high and the low bits
+    written = spark.read.schema(f"{_ddl(ordered)}, _at bigint").parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    counts = written.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    if keys:
+        before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).drop("_n", "_first")
+    else:
+        # one row for each partition
+        shifts, total = [], 0
+        for part, n, first in sorted(counts.select("_part", "_n", "_first").collect()):
+            shifts.append((part, total - first))
+            total += n
+        offsets = spark.createDataFrame(shifts, "_part bigint, _shift bigint")
+    offsets = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in keys], F.col("_part").alias("_o_part"), "_shift")
+    same = F.col("_part") == F.col("_o_part")
+    for c in keys:
+        same &= F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    return written.join(offsets, same).withColumn(output, F.col("_at") + F.col("_shift")).select(*names, output)
+
+
+def _ddl(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key.  ``max_by`` combines map-side, a ranking window would not."""
     payload = [c for c in rows.columns if c not in keys]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import schemas
-from docloom.functions.assembly import dense_ordinal
+from docloom.functions.assembly import row_positions
 from docloom.functions.numbers import parse_double
 from docloom.functions.records import truthy
 from docloom.functions.text import leading_keywords, sorted_keywords, token_count
@@ -42,35 +42,50 @@ def _nullable(values: pd.Series) -> list:
     return [None if pd.isna(v) else v for v in values.tolist()]
 
 
-def call_provider(documents: DataFrame, provider: Provider) -> DataFrame:
+def call_provider(documents: DataFrame, provider: Provider, order: str | None = None) -> DataFrame:
     """Responses of a provider; each slice of at most ``max_batch_size`` documents is one call.
 
-    A failing slice yields one error row instead of responses and leaves the other slices alone.
+    Slices run on over the batches of a task.  With ``order`` they are the same whatever the partitions: consecutive
+    documents in the order of that column, every slice but the last full.  A failing slice yields one error row for each of
+    its documents instead of responses and leaves the other slices alone.
     """
     if provider.native is not None:
         return provider.native(documents)
     size, run = max(1, int(provider.max_batch_size)), provider.batch
     names = [c.split()[0] for c in RESPONSE.split(", ")]
 
+    def call(part: pd.DataFrame) -> pd.DataFrame:
+        try:
+            result = run(part)
+        except Exception as error:
+            result = pd.DataFrame({"document_id": part["document_id"], "error": f"{type(error).__name__}: {error}"})
+        rows = 0 if result is None else len(result)
+        return pd.DataFrame({n: _nullable(result[n]) if rows and n in result.columns else [None] * rows for n in names}, dtype=object)
+
     def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for frame in batches:
-            for start in range(0, len(frame), size):
-                part = frame.iloc[start : start + size]
-                try:
-                    result = run(part)
-                except Exception as error:
-                    result = pd.DataFrame({"document_id": part["document_id"], "error": f"{type(error).__name__}: {error}"})
-                if result is not None and len(result):
-                    yield pd.DataFrame(
-                        {n: _nullable(result[n]) if n in result.columns else [None] * len(result) for n in names}, dtype=object
-                    )
+            held = frame if held is None or not len(held) else pd.concat([held, frame], ignore_index=True)
+            whole = len(held) - len(held) % size
+            for start in range(0, whole, size):
+                yield call(held.iloc[start : start + size])
+            held = held.iloc[whole:]
+        if held is not None and len(held):
+            yield call(held)
+
+    if order is None:
+        return documents.mapInPandas(slices, RESPONSE)
+    numbered = batch_numbers(documents, size, order)
+
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        return call(frame.sort_values(order, kind="stable").drop(columns="batch").reset_index(drop=True))
 
-    return documents.mapInPandas(slices, RESPONSE)
+    return numbered.groupBy("batch").applyInPandas(one, RESPONSE)
 
 
 def batch_numbers(documents: DataFrame, size: int, order: str, keys: Iterable[str] = ()) -> DataFrame:
-    """Request batches of ``size`` documents in ``order``, numbered without a global sort."""
-    numbered = dense_ordinal(documents, list(keys), order, "_position")
+    """Request batches of ``size`` documents in the order of any column, numbered without a global sort in one task."""
+    numbered = row_positions(documents, [order], "_position", list(keys))
     return numbered.withColumn("batch", F.floor(F.col("_position") / max(1, size)).cast("long")).drop("_position")
 
 
@@ -131,13 +146,16 @@ def normalise_responses(responses: DataFrame, provider: str) -> DataFrame:
     )
 
 
-def dispatch(documents: DataFrame, providers: Iterable[Provider], names: Iterable[str]) -> DataFrame:
-    """Enrichment rows of the named providers in request order; unknown names and unknown documents are dropped."""
+def dispatch(documents: DataFrame, providers: Iterable[Provider], names: Iterable[str], order: str | None = None) -> DataFrame:
+    """Enrichment rows of the named providers in request order; unknown names and unknown documents are dropped.
+
+    ``order`` names the column by which documents are put into request batches (see ``call_provider``).
+    """
     known = {p.name: p for p in providers}
     found = []
     for rank, name in enumerate(names):
         if name in known:
-            rows = normalise_responses(call_provider(documents, known[name]), name)
+            rows = normalise_responses(call_provider(documents, known[name], order), name)
             found.append(rows.withColumn("ord", F.lit(rank * (1 << 32)) + F.col("ord")))
     if not found:
         raise ValueError("none of the requested providers is configured")

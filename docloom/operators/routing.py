@@ -10,10 +10,10 @@ from docloom.functions.assembly import ordered_concat
 from docloom.functions.text import blank_to_null
 from docloom.operators.layout import message_layout, page_array, profile_messages
 from docloom.sources.messages import describe
-from docloom.sources.overrides import rule_pages
+from docloom.operators import rule_index
+from docloom.sources.overrides import checked_rules
 
-_DECISION = "struct<name:string,reason:string,model:string,max_pages:int,applied:string>"
-# rules compiled into one expression; longer tables run in several such passes
+# rules compiled into one expression; longer tables go through an index
 RULES_PER_PASS = 200
 
 
@@ -57,27 +57,23 @@ def _lookup(choices: list[tuple], position: Column) -> list[Column]:
 def match_rules(documents: DataFrame, rules: DataFrame | None, key: str = "source_path") -> DataFrame:
     """Add ``_rule``: the first rule, by priority, whose regex is found in the key.
 
-    Rules become a first-match expression, so no join and no shuffle is planned.  A table of
-    any length is read in pages; each page only fills rows no earlier page matched.
+    A few rules become a first-match expression.  A longer table is written as an index that tasks read
+    (``rule_index``), so the plan does not grow with it.  Neither way plans a join or a shuffle of documents.
     """
-    documents = documents.withColumn("_rule", F.lit(None).cast(_DECISION))
     if rules is None:
-        return documents
+        return documents.withColumn("_rule", F.lit(None).cast(rule_index.DECISION))
+    usable = checked_rules(rules).where("usable")
+    few = usable.orderBy("priority").limit(RULES_PER_PASS + 1).collect()
+    if len(few) > RULES_PER_PASS:
+        return documents.withColumn("_rule", rule_index.first_match(rule_index.write_index(usable), F.col(key)))
+    if not few:
+        return documents.withColumn("_rule", F.lit(None).cast(rule_index.DECISION))
     text = F.coalesce(F.col(key), F.lit(""))
-    for page in rule_pages(rules, RULES_PER_PASS):
-        if not page:
-            continue
-        hits = [F.when(text.rlike(rule["pattern"]), F.lit(i)) for i, rule in enumerate(page)]
-        choices = [
-            (r["strategy"], "config_pattern_override", r["model"], r["max_pages"], "pattern:" + r["pattern"]) for r in page
-        ]
-        found = F.when(F.col("_hit").isNotNull(), F.struct(*_lookup(choices, F.col("_hit"))))
-        documents = (
-            documents.withColumn("_hit", F.when(F.col("_rule").isNull(), F.coalesce(*hits)))
-            .withColumn("_rule", F.coalesce("_rule", found))
-            .drop("_hit")
-        )
-    return documents
+    hits = [F.when(text.rlike(rule["pattern"]), F.lit(i)) for i, rule in enumerate(few)]
+    choices = [(r["strategy"], "config_pattern_override", r["model"], r["max_pages"], "pattern:" + r["pattern"]) for r in few]
+    documents = documents.withColumn("_hit", F.coalesce(*hits))
+    found = F.when(F.col("_hit").isNotNull(), F.struct(*_lookup(choices, F.col("_hit"))))
+    return documents.withColumn("_rule", found).drop("_hit")
 
 
 def choose_strategy(documents: DataFrame, config: RoutingConfig, rules: DataFrame | None = None) -> DataFrame:

@@ -108,6 +108,36 @@ def override_precedence(spark, sf_dir):
     )
 
 
+def _many_rules(spark, sf_dir) -> DataFrame:
+    """Three layers: a table with a rule for each part, a payload for each customer, a list for each nation."""
+    part, cust, nation = F.col("p_partkey"), F.col("c_custkey"), F.col("n_nationkey")
+    text = lambda *pieces: F.concat(*[p.cast("string") if not isinstance(p, str) else F.lit(p) for p in pieces])
+    first = overrides.rules_from_table(
+        staging.table(spark, sf_dir, "part").select(
+            part.alias("position"), text("^[12]-[a-z]*/", part * 7, "[.]pdf$").alias("pattern"), text("part-", part % 10).alias("strategy"),
+            text("model-", part % 3).alias("model"), (part % 50).alias("max_pages"),
+        )
+    )
+    second = overrides.rules_from_json(
+        staging.table(spark, sf_dir, "customer").select(
+            cust.alias("source_order"), F.to_json(F.struct(text("(?i)LOW/", cust, "[0-9]?[.]PDF$").alias("pattern"), text("customer-", cust % 10).alias("strategy"))).alias("payload")
+        )
+    )
+    ending = F.struct(text("3-medium/.*", nation, "[.]pdf").alias("document_pattern"), text("ending-", nation).alias("name"))
+    # a pattern in which no text is certain
+    digits = F.struct(text(r"^[4]\W\w+\W\w+[/]\d{", nation + 1, r"}\W").alias("document_pattern"), text("digits-", nation).alias("name"))
+    third = overrides.rules_from_json(
+        staging.table(spark, sf_dir, "nation").select(nation.alias("source_order"), F.to_json(F.array(ending, digits)).alias("payload"))
+    )
+    return overrides.layer_rules(first, second, third)
+
+
+def override_many(spark, sf_dir):
+    """Rules by the thousand over every document, through the index."""
+    matched = routing.match_rules(staging.document_keys(spark, sf_dir), _many_rules(spark, sf_dir))
+    return matched.select("source_path", F.col("_rule.name").alias("strategy"), "_rule.model", "_rule.max_pages", "_rule.applied")
+
+
 def override_sources(spark, sf_dir):
     """Rule payloads built from ``nation``: each row is a list, a wrapped list or one object."""
     nation = staging.table(spark, sf_dir, "nation")
@@ -215,7 +245,7 @@ def document_pages_json(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        layout_profile, route_documents, route_documents_static, category_mix, override_precedence, override_sources,
+        layout_profile, route_documents, route_documents_static, category_mix, override_precedence, override_many, override_sources,
         message_parse, message_quarantine, failure_breakdown, message_descriptors, ingestion_metadata, routing_records,
         page_payloads, synthetic_pages, document_pages_json,
     )

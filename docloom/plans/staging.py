@@ -14,6 +14,8 @@ from docloom.session import spread
 # Column types of the provided tables.
 TABLE_SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint",
+    "customer": "c_custkey bigint",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
     "o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.numbers import parse_count
@@ -74,55 +76,25 @@ def layer_rules(*layers: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def _compiles_here(pattern: str) -> bool:
-    try:
-        re.compile(pattern)
-    except re.error:
-        return False
-    return True
+def _compiles_here(patterns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def compiles(pattern: str | None) -> bool:
+        try:
+            re.compile(pattern or "")
+        except (re.error, RecursionError, OverflowError):
+            return False
+        return True
 
+    for values in patterns:
+        yield pa.array([compiles(v) for v in values.to_pylist()], pa.bool_())
 
-def _compile_in_spark(spark: SparkSession, patterns: list[str]) -> bool:
-    try:
-        spark.range(1).select(*[F.lit("").rlike(p).alias(f"p{i}") for i, p in enumerate(patterns)]).collect()
-    except Exception:
-        return False
-    return True
 
+def checked_rules(rules: DataFrame) -> DataFrame:
+    """Distinct rules with ``usable``: whether the pattern compiles both in Spark's regex engine and in Python's."""
+    in_spark = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.col("pattern")).isNotNull()
+    here = F.arrow_udf(_compiles_here, "boolean")
+    return rules.distinct().withColumn("usable", in_spark & here("pattern"))
 
-def valid_patterns(spark: SparkSession, patterns: list[str]) -> set[str]:
-    """Patterns that compile both here and in Spark's regex engine; checked together, singly only if one fails."""
-    known = [p for p in dict.fromkeys(patterns) if _compiles_here(p)]
-    if not known or _compile_in_spark(spark, known):
-        return set(known)
-    return {p for p in known if _compile_in_spark(spark, [p])}
 
-
-def _pages(rules: DataFrame, size: int):
-    """All rules in priority order, ``size`` at a time, each page with its valid patterns."""
-    spark = rules.sparkSession
-    rules = rules.distinct()
-    last = None
-    while True:
-        page = rules if last is None else rules.where(F.col("priority") > last)
-        rows = page.orderBy("priority").limit(size).collect()
-        if not rows:
-            return
-        yield rows, valid_patterns(spark, [r["pattern"] for r in rows])
-        if len(rows) < size:
-            return
-        known = rows[-1]["priority"]
-        last = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(known, rules.schema["priority"].dataType.fields, strict=True)])
-
-
-def rule_pages(rules: DataFrame, size: int):
-    """Valid rules in priority order, ``size`` at a time, so the driver never holds the whole table."""
-    for rows, valid in _pages(rules, size):
-        yield [r for r in rows if r["pattern"] in valid]
-
-
-def rejected_rules(rules: DataFrame, size: int = 200) -> DataFrame:
+def rejected_rules(rules: DataFrame) -> DataFrame:
     """Rules that are left out because their pattern does not compile in both regex engines."""
-    spark = rules.sparkSession
-    found = [(r["pattern"], r["strategy"]) for rows, valid in _pages(rules, size) for r in rows if r["pattern"] not in valid]
-    return spark.createDataFrame(found, "pattern string, strategy string")
+    return checked_rules(rules).where("not usable").select("pattern", "strategy")

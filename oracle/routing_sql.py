@@ -48,6 +48,20 @@ SQL = {
         SELECT source_path, coalesce(request_override, ['secret_layer', 'table_layer', 'table_layer_pattern', 'env_layer', 'env_rest'][hit]) AS strategy,
           CASE WHEN request_override IS NOT NULL THEN 'request'
                ELSE 'pattern:' || ['7[.]pdf$', 'urgent', 'not specified', 'low', '[.]pdf'][hit] END AS applied FROM a""",
+    "override_many": """WITH k AS (SELECT o_orderkey AS k, lower(o_orderpriority) || '/' || o_orderkey || '.pdf' AS source_path, o_orderpriority AS p FROM orders),
+      c AS (SELECT k.*, p1.p_partkey AS part,
+              least(CASE WHEN k >= 10 THEN c1.c_custkey END, c2.c_custkey) AS cust,
+              (SELECT min(n_nationkey) FROM nation WHERE p = '3-MEDIUM' AND ends_with(k::VARCHAR, n_nationkey::VARCHAR)) AS ending,
+              CASE WHEN p = '4-NOT SPECIFIED' THEN (SELECT min(n_nationkey) FROM nation WHERE n_nationkey + 1 = length(k::VARCHAR)) END AS digits
+            FROM k LEFT JOIN part p1 ON p1.p_partkey * 7 = k AND p IN ('1-URGENT', '2-HIGH')
+                   LEFT JOIN customer c1 ON c1.c_custkey = k // 10 AND p = '5-LOW' LEFT JOIN customer c2 ON c2.c_custkey = k AND p = '5-LOW')
+      SELECT source_path, CASE WHEN part IS NOT NULL THEN 'part-' || part % 10 WHEN cust IS NOT NULL THEN 'customer-' || cust % 10
+               WHEN ending IS NOT NULL THEN 'ending-' || ending WHEN digits IS NOT NULL THEN 'digits-' || digits END AS strategy,
+             CASE WHEN part IS NOT NULL THEN 'model-' || part % 3 END AS model, CASE WHEN part IS NOT NULL THEN part % 50 END::INT AS max_pages,
+             CASE WHEN part IS NOT NULL THEN 'pattern:^[12]-[a-z]*/' || part * 7 || '[.]pdf$'
+                  WHEN cust IS NOT NULL THEN 'pattern:(?i)LOW/' || cust || '[0-9]?[.]PDF$'
+                  WHEN ending IS NOT NULL THEN 'pattern:3-medium/.*' || ending || '[.]pdf'
+                  WHEN digits IS NOT NULL THEN 'pattern:^[4]\\W\\w+\\W\\w+[/]\\d{' || digits + 1 || '}\\W' END AS applied FROM c""",
     "override_sources": """WITH n AS (SELECT *, n_nationkey % 4 AS kind, lower(n_name) AS name FROM nation)
         SELECT n_nationkey, 0::BIGINT AS position, name || '/.*' AS pattern, 's' || n_regionkey AS strategy, n_nationkey AS max_pages FROM n WHERE kind IN (0, 2)
         UNION ALL SELECT n_nationkey, 1, name || '-doc', 't' || n_nationkey, NULL FROM n WHERE kind = 0

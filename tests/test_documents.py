@@ -4,10 +4,11 @@ import json
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docloom import schemas
-from docloom.functions.assembly import dense_ordinal, ordered_array, ordered_concat
+from docloom.functions.assembly import dense_ordinal, ordered_array, ordered_concat, row_positions
 from docloom.operators import denorm, enrichment, parts, store, summaries, workflow
 from docloom.sources import formats
 
@@ -123,7 +124,6 @@ def test_ordered_helpers_equal_plain_ones(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
         ((F.col("id") * 7919) % 20011).alias("ord"), F.when(F.col("id") % 5 > 0, F.col("id").cast("string")).alias("t"),
     )
-    from pyspark.sql import Window
 
     ranked = dense_ordinal(rows, ["k"], "ord", "n", chunk=64).withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("ord")) - 1)
     assert ranked.where("n <> want").count() == 0 and ranked.count() == 20000
@@ -136,6 +136,39 @@ def test_ordered_helpers_equal_plain_ones(spark):
     assert arrays.join(plain, "k").where("s <> w").count() == 0
 
 
+def test_row_positions_equal_row_number(spark):
+    values = [None, -5.5, 0.0, 1e300, 2.0] + [7.25] * 400 + [i / 3 for i in range(300)]
+    rows = spark.createDataFrame([(i % 7 if i % 50 else None, v, f"t{i * 31 % 997}") for i, v in enumerate(values)], "k long, v double, t string").repartition(5)
+    for keys in ([], ["k"]):
+        window = Window.partitionBy(*keys).orderBy(F.col("v").asc_nulls_first(), "t")
+        got = row_positions(rows, ["v"], "n", keys, tie_breakers=["t"]).withColumn("want", F.row_number().over(window) - 1)
+        assert got.count() == len(values) and got.where("n <> want").count() == 0
+    # repeated rows, text order, sparse numbers, no rows
+    same = spark.createDataFrame([("b", 1 << 60)] * 300 + [("a", -(1 << 60))], "s string, o long")
+    assert sorted(r.n for r in row_positions(same, ["s"], "n").collect()) == list(range(301))
+    assert row_positions(same, ["o"], "n").where("s = 'a'").first().n == 0
+    assert row_positions(same.where("s = 'z'"), ["s"], "n").count() == 0
+
+
+def test_provider_slices(spark):
+    docs = spark.createDataFrame([(f"d{i}", i * i * 1_000_003, "x") for i in range(25)], "document_id string, o long, text string").repartition(4)
+
+    def answer(frame):
+        import pandas as pd
+
+        if "d3" in set(frame["document_id"]):
+            raise ValueError("down")
+        return pd.DataFrame({"document_id": frame["document_id"], "raw_response": [",".join(frame["document_id"])] * len(frame)})
+
+    provider = enrichment.Provider("p", batch=answer, max_batch_size=4)
+    rows = {r.document_id: r for r in enrichment.call_provider(docs, provider, "o").collect()}
+    assert len(rows) == 25 and all(rows[f"d{i}"].error == "ValueError: down" for i in range(4))
+    assert rows["d5"].raw_response == "d4,d5,d6,d7" and rows["d24"].raw_response == "d24"
+    calls = {r.raw_response for r in enrichment.call_provider(docs.coalesce(1), provider).collect() if r.raw_response}
+    assert sorted(len(c.split(",")) for c in calls)[1:] == [4] * (len(calls) - 1)
+
+
+
 def test_heuristic_summary(spark):
     docs = spark.createDataFrame([("a", ["This is the first sentence. And a second one! Third.", "x"]), ("b", ["  "]), ("c", ["word " * 300, "Short title"])], "document_id string, contents array<string>")
     got = {r.document_id: r.summary for r in summaries.heuristic_summaries(docs).collect()}

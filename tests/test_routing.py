@@ -3,6 +3,7 @@
 import base64
 import io
 import json
+import re
 import zipfile
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.config import RoutingConfig, Strategy
 from docloom.functions import binary
-from docloom.operators import layout, routing
+from docloom.operators import layout, routing, rule_index
 from docloom.sources import messages as msg
 from docloom.sources import overrides
 
@@ -180,13 +181,72 @@ def test_html_counts(spark):
     assert tuple(row[1]) == (0, 0, 0, 0, 0)
 
 
-def test_rules_run_in_pages(spark, monkeypatch):
-    monkeypatch.setattr(routing, "RULES_PER_PASS", 3)
-    entries = [{"pattern": f"k{i}$", "strategy": f"s{i}"} for i in range(10)] + [{"pattern": "k", "strategy": "rest"}, {"pattern": "(", "strategy": "broken"}]
-    docs = spark.createDataFrame([(f"k{i}",) for i in range(12)] + [("none",)], "source_path string")
-    found = {r.source_path: r["_rule"] for r in routing.match_rules(docs, rules(spark, json.dumps(entries))).collect()}
-    assert [found[f"k{i}"].name for i in range(10)] == [f"s{i}" for i in range(10)]
-    assert found["k11"].name == "rest" and found["none"] is None
+ODD_PATTERNS = [
+    "invoice", "^in", "in$", "(?i)INVOICE", "(?i:Scan)", "a|b", "(foo|bar)baz", "x+y", "xy*z", "xy?", "q{2}", "q{0,3}r", "[abc]d", "[]x]z", "[^0-9]{3}k", r"\d{4}-\d\d",
+    r"a\.b", r"\bword\b", ".*", "", "tab\tend", "(?s)n.o", "(?x)a b", "é{1,2}t", "(?i)É", "(?=look)l", "(?<!no)yes", "a{,2}b", "ab{1,}c", "(a)(b)c", "nested(a(b)c)?end",
+    r"[\]]q", "[a&&b]", "[", "(", "a**", "a++b", "plus+", "{", r"\Qa.b\E", r"end\\", "K", "(?i)k", "ſ", "(?i)s", "a\\/b",
+]
+ODD_KEYS = [
+    "", None, "invoice", "my INVOICE.pdf", "in", "xin", "inx", "scan", "SCANNED", "foobaz", "barbaz", "baz", "xxy", "xz", "xyyz", "x", "qq", "r", "qqqqr", "ad", "zd", "]z", "xz", "abck",
+    "2024-01-02", "a.b", "axb", "a word here", "sword", "tab\tend", "n\no", "ab", "a b", "éét", "É", "é", "look", "l", "yes", "noyes", "b", "a{,2}b", "abbbc", "abc",
+    "nestedend", "nestedabcend", "]q", "aab", "plusss", "{", "end\\", "K", "\u212a", "k", "ſ", "s", "S", "a/b", "a\\/b", "x" * 5000 + "invoice",
+]
+
+
+def test_index_equals_expression(spark, monkeypatch):
+    entries = [(i, p, f"s{i}", None, i) for i, p in enumerate(ODD_PATTERNS * 2)]
+    table = overrides.layer_rules(overrides.rules_from_table(spark.createDataFrame(entries, "position long, pattern string, strategy string, model string, max_pages int")))
+    docs = spark.createDataFrame([(i, k) for i, k in enumerate(ODD_KEYS)], "id long, source_path string").repartition(3)
+
+    def found(part):
+        return {r.id: r["_rule"] and r["_rule"].asDict() for r in routing.match_rules(docs, part).collect()}
+
+    # every pattern alone, then all of them in priority order
+    for first in range(0, len(ODD_PATTERNS), 6):
+        few = table.where(F.col("max_pages").between(first, first + 5))
+        want = found(few)
+        with monkeypatch.context() as patch:
+            patch.setattr(routing, "RULES_PER_PASS", 0)
+            assert found(few) == want
+    want = found(table)
+    monkeypatch.setattr(routing, "RULES_PER_PASS", 0)
+    assert found(table) == want and any(want.values())
+
+
+def test_needed_literals():
+    for pattern in ODD_PATTERNS:
+        try:
+            compiled = re.compile(pattern)
+        except re.error:
+            continue
+        text, folded, whole = rule_index.needed_literal(pattern)
+        for key in filter(None, ODD_KEYS):
+            hit = compiled.search(key) is not None
+            if text is not None and hit and not folded:
+                assert text in key, (pattern, key)
+            if whole:
+                assert hit == (text in key), (pattern, key)
+    assert rule_index.needed_literal("^2-high/.*9[.]pdf$") == ("2-high/", False, False)
+    assert rule_index.needed_literal("(?i)URGENT") == ("URGENT", True, False)
+    assert rule_index.needed_literal(r"a\.b") == ("a.b", False, True)
+
+
+def test_index_plan_does_not_grow(spark):
+    docs = spark.createDataFrame([("k7",), ("k1234",), ("none",)], "source_path string")
+
+    def planned(count):
+        entries = [(i, f"k{i}$", f"s{i}") for i in range(count)]
+        table = overrides.layer_rules(overrides.rules_from_table(spark.createDataFrame(entries, "position long, pattern string, strategy string")))
+        matched = routing.match_rules(docs, table)
+        assert {r.source_path: r["_rule"] and r["_rule"].name for r in matched.collect()} == {"k7": "s7", "k1234": "s1234" if count > 1234 else None, "none": None}
+        return len(matched._jdf.queryExecution().optimizedPlan().toString())
+
+    assert abs(planned(3000) - planned(500)) < 200
+
+
+def test_rejected_rules(spark):
+    entries = [{"pattern": p, "strategy": "s"} for p in ("ok", "(", "a**", "[a-")]
+    assert sorted(r.pattern for r in overrides.rejected_rules(rules(spark, json.dumps(entries))).collect()) == ["(", "[a-", "a**"]
 
 
 def test_config_validation():
