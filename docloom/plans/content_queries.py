@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.config import RoutingConfig
 from docloom.functions import binary, text
-from docloom.operators import enrichment, layout, store, summaries
+from docloom.operators import content_routing, enrichment, layout, store, summaries
 from docloom.plans import staging
-from docloom.sources import formats
+from docloom.sources import content, formats
 from docloom.sources import messages as msg
 
 
+CONTENT_CONFIG = RoutingConfig(
+    strategies={"short_form": "short", "form_heavy": "forms", "table_heavy": "tables", "scanned": "vision"}, fallback="rest", short_form_pages=3, short_form_density=0.3
+)
+
+
 def _documents(spark, sf_dir) -> DataFrame:
     return staging.text_documents(spark, sf_dir)
 
@@ -109,12 +115,65 @@ def email_parts(spark, sf_dir):
     return formats.email_parts(_emails(spark, sf_dir)).drop("content", "ord", "walk_index")
 
 
+def _page_mail(spark, sf_dir) -> DataFrame:
+    """Every web page mailed: its address as plain part, the page as HTML part."""
+    coded = F.regexp_replace(F.base64(F.encode("html", "UTF-8")), r"[\r\n]", "")
+    content = F.concat(
+        F.lit('From: web@example.com\nMIME-Version: 1.0\nContent-Type: multipart/alternative; boundary="=b="\n\n--=b=\nContent-Type: text/plain\n\n'), "url",
+        F.lit('\n--=b=\nContent-Type: text/html; charset="utf-8"\nContent-Transfer-Encoding: base64\n\n'), coded, F.lit("\n--=b=--\n"),
+    )
+    return staging.table(spark, sf_dir, "pages", costly=True).select(
+        "page_id", F.concat(F.lit("p-"), F.col("page_id").cast("string")).alias("document_id"), F.encode(content, "UTF-8").alias("content")
+    )
+
+
 def email_layout(spark, sf_dir):
-    """Text parts of messages as pages, profiled per message."""
-    pages = formats.email_text_parts(_emails(spark, sf_dir))
-    pages = pages.select("document_id", "index", layout.plain_text_metrics(F.col("text")).alias("m")).select("document_id", "m.*")
-    return layout.profile_pages(pages, ["document_id"]).select(
-        "document_id", "page_count", F.round("average_text_density", 6).alias("average_text_density"), "form_page_ratio"
+    """Text parts of messages as pages, HTML parts by their density, profiled per message."""
+    mail = _emails(spark, sf_dir).select("document_id", "content").unionByName(_page_mail(spark, sf_dir).select("document_id", "content"))
+    pages = formats.email_text_parts(mail)
+    pages = pages.select("document_id", "index", layout.part_metrics(F.col("is_html"), F.col("text")).alias("m")).select("document_id", "m.*")
+    profile = layout.profile_pages(pages, ["document_id"])
+    densities = [F.round(c, 6).alias(c) for c in ("average_text_density", "average_image_density", "table_page_ratio", "form_page_ratio")]
+    return profile.select("document_id", "page_count", *densities, "total_tables", "total_checkboxes")
+
+
+def _flaky(descriptor: dict) -> bytes | None:
+    if descriptor["source_path"].endswith("7.eml"):
+        raise OSError("store is down")
+    return None
+
+
+def _cover_letter(documents: list[dict]) -> list:
+    """A layout model that knows cover letters only, and fails for whole slices with a key ending in 5."""
+    if any(d["source_path"].endswith("5.txt") for d in documents):
+        raise ValueError("cannot read")
+    return [[{"textDensity": 0.9, "tableCount": 1}, {"text_density": "0.1"}] if (d["source_path"] or "").endswith("0.txt") else None for d in documents]
+
+
+def route_content(spark, sf_dir):
+    """Messages routed by what their documents hold: inline, fetched, joined from a store, modelled, or nothing at all."""
+    mail, docs = _page_mail(spark, sf_dir), staging.table(spark, sf_dir, "documents")
+    page, doc = F.col("page_id"), F.col("doc_id")
+    coded = F.regexp_replace(F.base64("content"), r"[\r\n]", "")
+    key = F.concat(F.lit("mail/"), page.cast("string"), F.lit(".eml"))
+    declared = F.struct(F.lit(2).alias("pageCount"), F.struct(F.lit(0.25).alias("textDensity")).alias("layout"))
+    mailed = F.to_json(F.struct(key.alias("object_key"), declared.alias("documentMetadata"), F.when(page % 3 == 0, coded).alias("documentBytes")))
+    texts = F.to_json(F.struct(F.concat(F.lit("text/"), doc.cast("string"), F.lit(".txt")).alias("object_key"), declared.alias("documentMetadata")))
+    sent = mail.select(F.concat(F.lit("m-p"), page.cast("string")).alias("message_id"), mailed.alias("body")).unionByName(
+        docs.select(F.concat(F.lit("m-d"), doc.cast("string")).alias("message_id"), texts.alias("body"))
+    )
+    sent = sent.withColumns({"queue_url": F.lit("q"), "stream": F.lit("s"), "receive_count": F.lit(1)})
+    stored = mail.where(page % 3 == 1).select(key.alias("_key"), F.col("content").alias("stored"))
+    analysis = content_routing.ContentAnalysis(
+        resolvers=(
+            ("_fetched", content.Fetcher("flaky", _flaky)), ("stored", lambda d: d.join(stored, d.source_path == F.col("_key"), "left").drop("_key")),
+        ),
+        model=_cover_letter,
+    )
+    routed = content_routing.route_content(msg.accepted(msg.parse_messages(sent)), CONTENT_CONFIG, analysis=analysis)
+    densities = [F.round(c, 6).alias(c) for c in ("average_text_density", "average_image_density", "table_page_ratio", "form_page_ratio")]
+    return routed.select(
+        "source_path", "page_count", *densities, "total_tables", "document_category", "parser_strategy", F.get("resolver_errors", 0)["error"].alias("error")
     )
 
 
@@ -281,7 +340,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         text_documents, format_dispatch, mime_sniff, inline_payloads, csv_documents, csv_headers, email_documents, email_parts,
-        email_layout, html_layout, html_text, text_part_metrics, page_block_metrics, heuristic_summary, summary_input,
+        email_layout, route_content, html_layout, html_text, text_part_metrics, page_block_metrics, heuristic_summary, summary_input,
         model_summary, keyword_enrichment, keyword_insights, enrichment_batches, enrichment_merge, enrichment_normalise,
         idempotent_append, idempotent_force, skipped_documents,
     )

@@ -238,18 +238,20 @@ def email_parts(documents: DataFrame, content: str = "content") -> DataFrame:
     return parts
 
 
+def message_texts(content: bytes) -> list[tuple[bool, str]]:
+    """Text parts of a message, each with whether it is HTML; a message without any is one plain part."""
+    found = []
+    for part in message_from_bytes(content).walk():
+        kind = part.get_content_type()
+        if not part.is_multipart() and (kind.startswith("text/") or kind == "application/xhtml+xml"):
+            found.append((kind in ("text/html", "application/xhtml+xml"), _text_of(part)))
+    return found or [(False, content.decode("utf-8", errors="ignore"))]
+
+
 def email_text_parts(documents: DataFrame, content: str = "content") -> DataFrame:
     """Text parts of raw messages as pages; a message without any counts as one plain part."""
 
-    def rows_of(message: Message, data: bytes):
-        found = 0
-        for part in message.walk():
-            kind = part.get_content_type()
-            if part.is_multipart() or not (kind.startswith("text/") or kind == "application/xhtml+xml"):
-                continue
-            yield found, kind in ("text/html", "application/xhtml+xml"), _text_of(part)
-            found += 1
-        if not found:
-            yield 0, False, data.decode("utf-8", errors="ignore")
+    def rows_of(_: Message, data: bytes):
+        return [(i, is_html, text) for i, (is_html, text) in enumerate(message_texts(data))]
 
     return _per_message(documents, content, rows_of, _TEXT_PART_SCHEMA)

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docloom.config import RoutingConfig
 from docloom.operators import layout, routing, telemetry
+from docloom.operators.content_routing import ContentAnalysis, route_content
 from docloom.sources import messages as msg
 from docloom.streaming import deadletters
 from docloom.streaming.ledger import Ledger, identified, latest_deliveries
@@ -39,6 +40,8 @@ class IngestConfig:
     routing: RoutingConfig = field(default_factory=RoutingConfig)
     # read anew in every batch, so rule changes need no restart
     rules: Callable[[SparkSession], DataFrame | None] = lambda spark: None
+    # how documents' content is found and profiled; None routes by declared metadata alone
+    content: ContentAnalysis | None = None
     max_receives: int = deadletters.MAX_RECEIVES
     # see ledger.Ledger; every so many batches it is compacted, with 0 never
     ledger_buckets: int = 16
@@ -73,7 +76,12 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
     repeats, judged = repeats.persist(), ledger.judge(latest, config.run_id, batch_id).persist()
     fresh = judged.where("reason IS NULL").drop("sent_day", "bucket", "reason")
     parsed = msg.parse_messages(fresh, flag=config.routing.override_flag).persist()
-    routed = routing.route_messages(msg.accepted(parsed), config.routing, config.rules(spark)).drop("doc", "body").persist()
+    rules = config.rules(spark)
+    if config.content is None:
+        routed = routing.route_messages(msg.accepted(parsed), config.routing, rules)
+    else:
+        routed = route_content(msg.accepted(parsed), config.routing, rules, config.content)
+    routed = routed.drop("doc", "body").persist()
     try:
         now = F.current_timestamp()
         metadata = routing.message_metadata(routed).withColumn("ingested_at", now)

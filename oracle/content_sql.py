@@ -27,6 +27,22 @@ fresh AS (SELECT DISTINCT document_id, checksum FROM payloads EXCEPT SELECT docu
 _DECODED = "{x}"
 for _name, _code in (("lt", 60), ("gt", 62), ("quot", 34), ("#39", 39), ("nbsp", 160), ("copy", 169), ("middot", 183), ("amp", 38)):
     _DECODED = f"replace({_DECODED}, '&{_name};', chr({_code}))"
+_HTML_COUNTS = f"""
+a AS (SELECT page_id, url, regexp_replace(replace(html, 'var t="</p>"', 'var t="@/p@"'), '<!--.*?-->', '', 'gs') AS h FROM pages),
+b AS (SELECT page_id, url, h, {_DECODED.format(x="regexp_replace(h, '<[^>]*>', '', 'g')")} AS t FROM a),
+c AS (SELECT page_id, url, length({strip('t')}) AS char_count, len(regexp_extract_all(h, '(?i)<table[ >]')) AS table_count,
+        len(regexp_extract_all(h, '(?i)<img[ >/]')) AS image_count, len(regexp_extract_all(h, '(?i)<input[^>]*checkbox')) AS checkbox_count,
+        len(regexp_extract_all(h, '(?i)<input[^>]*radio')) AS radio_button_count FROM b),
+html_parts AS (SELECT *, round(least(char_count / 4000.0::DOUBLE, 1.0), 6) AS text_density, least(image_count * 0.1::DOUBLE, 1.0) AS image_density,
+        least(table_count * 0.25::DOUBLE, 1.0) AS table_density FROM c)
+"""
+# a page's address and the page itself as two parts of a message
+_PAGE_PARTS = f"""{_HTML_COUNTS},
+page_parts AS (SELECT *, least(char_count / 4000.0::DOUBLE, 1.0) AS html_density, least(length({strip('url')}) / 3000.0::DOUBLE, 1.0) AS url_density FROM html_parts)
+"""
+_PAGE_PROFILE = """round((html_density + url_density) / 2, 6) AS average_text_density, round((image_density + 0.05::DOUBLE) / 2, 6) AS average_image_density,
+        CASE WHEN table_density >= 0.5 OR table_count > 0 THEN 0.5 ELSE 0 END::DOUBLE AS table_page_ratio,
+        CASE WHEN checkbox_count > 0 OR radio_button_count > 0 THEN 0.5 ELSE 0 END::DOUBLE AS form_page_ratio"""
 _MAIL = """
 mail AS (SELECT 'm-' || conv_id || '.' || turn AS document_id, conv_id || '.' || turn AS name, role, text FROM conversations)
 """
@@ -56,15 +72,27 @@ SQL = {
     "email_parts": f"""WITH {_MAIL} SELECT document_id, 'turn.txt' AS file_name, 'text/plain' AS mime_type, sha256(text) AS checksum,
         CAST(strlen(text) AS BIGINT) AS size_bytes, '<c1>' AS content_id, '3' AS attachment_id, document_id || '::attachment-3' AS child_document_id,
         'root.attachment-1' AS part_id, 's3://mail/' || name || '#attachment/turn.txt' AS source_uri FROM mail""",
-    "email_layout": f"""WITH {_MAIL} SELECT document_id, 2::BIGINT AS page_count,
-        round(least(length({strip('text')}) / 3000.0::DOUBLE, 1.0), 6) AS average_text_density, 0.0::DOUBLE AS form_page_ratio FROM mail""",
-    "html_layout": f"""WITH a AS (SELECT page_id, regexp_replace(replace(html, 'var t="</p>"', 'var t="@/p@"'), '<!--.*?-->', '', 'gs') AS h FROM pages),
-        b AS (SELECT page_id, h, {_DECODED.format(x="regexp_replace(h, '<[^>]*>', '', 'g')")} AS t FROM a),
-        c AS (SELECT page_id, length({strip('t')}) AS char_count, len(regexp_extract_all(h, '(?i)<table[ >]')) AS table_count,
-                len(regexp_extract_all(h, '(?i)<img[ >/]')) AS image_count, len(regexp_extract_all(h, '(?i)<input[^>]*checkbox')) AS checkbox_count,
-                len(regexp_extract_all(h, '(?i)<input[^>]*radio')) AS radio_button_count FROM b)
-        SELECT *, round(least(char_count / 4000.0::DOUBLE, 1.0), 6) AS text_density, least(image_count * 0.1::DOUBLE, 1.0) AS image_density,
-               least(table_count * 0.25::DOUBLE, 1.0) AS table_density FROM c""",
+    "email_layout": f"""WITH {_MAIL}, {_PAGE_PARTS}
+      SELECT document_id, 2::BIGINT AS page_count, round(least(length({strip('text')}) / 3000.0::DOUBLE, 1.0), 6) AS average_text_density,
+        0.05::DOUBLE AS average_image_density, 0.0::DOUBLE AS table_page_ratio, 0.0::DOUBLE AS form_page_ratio, 0::BIGINT AS total_tables, 0::BIGINT AS total_checkboxes FROM mail
+      UNION ALL SELECT 'p-' || page_id, 2, {_PAGE_PROFILE}, table_count, checkbox_count FROM page_parts""",
+    "route_content": f"""WITH {_PAGE_PARTS}, profiled AS (
+      SELECT 'mail/' || page_id || '.eml' AS source_path, 2::BIGINT AS page_count, {_PAGE_PROFILE}, table_count AS total_tables,
+        CASE WHEN page_id % 3 > 0 AND page_id % 10 = 7 THEN 'OSError: store is down' END AS error FROM page_parts WHERE page_id % 3 < 2
+      UNION ALL SELECT 'mail/' || page_id || '.eml', 2, 0.25, 0.75, 0, 0, 0, CASE WHEN page_id % 10 = 7 THEN 'OSError: store is down' END FROM pages WHERE page_id % 3 = 2
+      UNION ALL SELECT 'text/' || doc_id || '.txt', 2, CASE WHEN doc_id % 10 = 0 THEN 0.5 ELSE 0.25 END, CASE WHEN doc_id % 10 = 0 THEN 0.5 ELSE 0.75 END,
+        CASE WHEN doc_id % 10 = 0 THEN 0.5 ELSE 0 END, 0, CASE WHEN doc_id % 10 = 0 THEN 1 ELSE 0 END, NULL FROM documents),
+      scanned AS (SELECT *, CASE WHEN source_path LIKE 'text/%0.txt' THEN 0.5 WHEN source_path LIKE 'text/%' OR regexp_extract(source_path, '[0-9]+')::BIGINT % 3 = 2 THEN 1.0
+          ELSE (SELECT CASE WHEN image_density >= 0.6 OR image_count > 2 THEN 0.5 ELSE 0.0 END FROM page_parts q WHERE 'mail/' || q.page_id || '.eml' = source_path) END AS scan FROM profiled),
+      routed AS (SELECT *, CASE WHEN scan >= 0.5 THEN 'scanned' WHEN table_page_ratio >= 0.3 THEN 'table_heavy' WHEN form_page_ratio >= 0.25 THEN 'form_heavy'
+          WHEN page_count <= 3 AND round(average_text_density, 9) >= 0.3 THEN 'short_form' ELSE 'unknown' END AS document_category FROM scanned)
+      SELECT source_path, page_count, average_text_density::DOUBLE AS average_text_density, average_image_density::DOUBLE AS average_image_density,
+        table_page_ratio::DOUBLE AS table_page_ratio, form_page_ratio::DOUBLE AS form_page_ratio, total_tables, document_category,
+        CASE document_category WHEN 'scanned' THEN 'vision' WHEN 'table_heavy' THEN 'tables' WHEN 'form_heavy' THEN 'forms' WHEN 'short_form' THEN 'short' ELSE 'rest' END AS parser_strategy,
+        error FROM routed""",
+    "html_layout": f"""WITH {_HTML_COUNTS}
+        SELECT page_id, char_count, table_count, image_count, checkbox_count, radio_button_count,
+               text_density, image_density, table_density FROM html_parts""",
     "html_text": f"""WITH t AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '{WS}+', ' ', 'g'), ' ') AS s FROM pages)
         SELECT page_id, CAST(length(s) AS INTEGER) AS chars, sha256(s) AS checksum FROM t""",
     "text_part_metrics": f"""SELECT 'd-' || doc_id AS document_id, length({strip('text')}) AS char_count,
