@@ -5,19 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import schemas
-from docloom.functions.assembly import ordered_array
 from docloom.functions.binary import checksum
 from docloom.functions.records import json_map, merge_maps
-from docloom.functions.text import blank_to_null
+from docloom.functions.text import attachment_uri, blank_to_null
 from docloom.operators import denorm, enrichment, parts, store, summaries
 from docloom.operators.adapters import ANALYZE
+from docloom.session import read_or_empty, remove_folder, scratch_folder
 from docloom.sources import formats
-from docloom.sources.content import union_all
 
 # What the local readers report about themselves.
 PROVIDER = ANALYZE
@@ -34,14 +32,6 @@ def _typed(schema: str, **values) -> Column:
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in values.items()]).cast(schema)
 
 
-def _paragraph(text: Column, span_id: str) -> Column:
-    span = _typed(
-        schemas.SPAN, content=text, confidence=READER_CONFIDENCE, page=1, polygon=None, bounding_box=None, span_id=span_id,
-        parser=PROVIDER, method="paragraph",
-    )
-    return F.when(text != "", F.array(span)).otherwise(F.array().cast(f"array<{schemas.SPAN}>"))
-
-
 def _field(name: str, value: Column, kind: str) -> Column:
     return _typed(
         schemas.FIELD, name=name, value=value.cast("string"), confidence=READER_CONFIDENCE, value_type=kind, page=None,
@@ -49,82 +39,58 @@ def _field(name: str, value: Column, kind: str) -> Column:
     )
 
 
-def _canonical(rows: DataFrame, spans: Column, fields: Column, tables: Column | None = None) -> DataFrame:
+def parse_documents(documents: DataFrame, strict_csv: bool = False) -> DataFrame:
+    """Canonical rows of raw payloads, with the attachments found (``attachment_payloads``) and the reader's ``error``.
+
+    Texts are read by built-in functions, CSV and messages in one Python pass over the rows; nothing is joined or
+    shuffled.  A payload that cannot be read has an error and is else empty.  Spreadsheets are read as CSV text and PDFs
+    as plain text (``method`` says ``undecoded``): there is no decoder for either here, and this is what happens
+    without one.  Feed decoded pages through the page adapter instead.
+    """
+    mime = F.lower(F.coalesce("mime_type", F.lit("")))
+    kinds = documents.withColumn("_format", formats.document_format(F.col("content"), F.col("mime_type"), strict_csv))
+    kinds = kinds.withColumn("_reader", formats.reader_of(F.col("_format")))
+    read = kinds.withColumn("_read", formats.reading(F.col("_reader"), F.col("content"), mime.startswith("message/")))
+    r, reader = F.col("_read"), F.col("_reader")
+    text = F.when(reader.isNull(), formats.text_paragraph(F.col("content")))
+    read = read.withColumns({"_text": text, "_body": F.when(reader == "csv", formats.csv_header(r["records"])).when(reader == "email", formats.mail_body(r))})
+    body = F.coalesce("_text", "_body")
+    method = F.when(F.col("_format").isin("pdf", "excel"), "undecoded").otherwise("paragraph")
+    span_id = F.when(reader == "csv", "csv-header").when(reader == "email", "email-body").otherwise("text-body")
+    span = _typed(
+        schemas.SPAN, content=body, confidence=READER_CONFIDENCE, page=1, polygon=None, bounding_box=None, span_id=span_id, parser=PROVIDER, method=method,
+    )
+    spans = F.when(body != "", F.array(span)).otherwise(F.array().cast(f"array<{schemas.SPAN}>"))
+    names = F.when(F.size(r["attachment_names"]) > 0, _field("Attachments", F.to_json(r["attachment_names"]), "list"))
+    headers = [_field(n, r[c], "string") for n, c in (("Subject", "subject"), ("From", "sender"), ("To", "recipient"))]
+    fields = (
+        F.when(reader == "csv", F.array(_field("RowCount", formats.csv_row_count(r["records"]), "number")))
+        .when(reader == "email", F.array_compact(F.array(*headers, names)))
+        .otherwise(F.array(_field("CharacterCount", F.length("_text").cast("long"), "number")))
+    )
+    cells = F.flatten(F.transform(r["records"], lambda row, i: F.transform(row, lambda c, j: _typed(
+        schemas.CELL, row_index=i, column_index=j, content=c, confidence=READER_CONFIDENCE, page=1, polygon=None, bounding_box=None, row_span=1, column_span=1,
+    ))))
+    table = _typed(
+        schemas.TABLE, table_id=CSV_TABLE, confidence=READER_CONFIDENCE, cells=F.coalesce(cells, F.array().cast(f"array<{schemas.CELL}>")), caption=CSV_CAPTION,
+        footnotes=None, parser=PROVIDER,
+    )
+    tables = F.when(reader == "csv", F.array(table)).otherwise(F.array().cast(f"array<{schemas.TABLE}>"))
     empty = {name: F.array().cast(f"array<{kind}>") for name, kind in (
-        ("tables", schemas.TABLE), ("visual_descriptions", schemas.VISUAL), ("attachments", schemas.ATTACHMENT),
-        ("summaries", schemas.SUMMARY), ("enrichments", schemas.ENRICHMENT),
+        ("visual_descriptions", schemas.VISUAL), ("attachments", schemas.ATTACHMENT), ("summaries", schemas.SUMMARY), ("enrichments", schemas.ENRICHMENT),
     )}
-    if tables is not None:
-        empty["tables"] = tables
-    segment = _typed(
-        schemas.SEGMENT, page_number=1, parser=PROVIDER, method="layout", confidence=READER_CONFIDENCE, metadata=None
-    )
+    segment = _typed(schemas.SEGMENT, page_number=1, parser=PROVIDER, method="layout", confidence=READER_CONFIDENCE, metadata=None)
     metadata = merge_maps(F.create_map(F.lit("provider"), F.lit(PROVIDER)), json_map("metadata"))
-    return rows.select(
+    return read.select(
         "document_id", "source_uri", "checksum", F.lit(schemas.CANONICAL_VERSION).alias("schema_version"),
         blank_to_null(F.get_json_object("metadata", "$.document_type")).alias("document_type"),
-        F.col("mime_type"), F.to_json(metadata).alias("metadata"), spans.alias("text_spans"), empty["tables"].alias("tables"),
-        fields.alias("fields"), empty["visual_descriptions"].alias("visual_descriptions"), F.array(segment).alias("page_segments"),
+        F.col("mime_type"), F.to_json(metadata).alias("metadata"), spans.alias("text_spans"), tables.alias("tables"), fields.alias("fields"),
+        empty["visual_descriptions"].alias("visual_descriptions"), F.array(segment).alias("page_segments"),
         empty["attachments"].alias("attachments"), empty["summaries"].alias("summaries"), empty["enrichments"].alias("enrichments"),
+        F.when(mime.startswith("message/"), r["attachments"]).alias("attachment_payloads"), reader.alias("reader"), r["error"].alias("error"),
     )
 
 
-def parse_text(rows: DataFrame) -> DataFrame:
-    parsed = formats.text_documents(rows.select(*_DOCUMENT, "content"))
-    count = _field("CharacterCount", F.col("character_count"), "number")
-    return _canonical(parsed, _paragraph(F.col("paragraph"), "text-body"), F.array(count))
-
-
-def parse_csv(rows: DataFrame) -> DataFrame:
-    cells = formats.csv_cells(rows)
-    cell = _typed(
-        schemas.CELL, row_index=F.col("row_index"), column_index=F.col("column_index"), content=F.col("content"),
-        confidence=READER_CONFIDENCE, page=1, polygon=None, bounding_box=None, row_span=1, column_span=1,
-    )
-    # 64 table rows to a chunk; 31 bits hold any column index
-    width = 1 << 31
-    ordered = cells.withColumn("_ord", F.col("row_index").cast("long") * width + F.col("column_index"))
-    listed = ordered_array(ordered, ["document_id"], "_ord", cell, "_cells", chunk=64 * width)
-    facts = formats.csv_summaries(rows, cells)
-    joined = rows.select(*_DOCUMENT).join(facts, "document_id").join(listed, "document_id", "left")
-    table = _typed(
-        schemas.TABLE, table_id=CSV_TABLE, confidence=READER_CONFIDENCE,
-        cells=F.coalesce("_cells", F.array().cast(f"array<{schemas.CELL}>")), caption=CSV_CAPTION, footnotes=None, parser=PROVIDER,
-    )
-    count = _field("RowCount", F.col("row_count"), "number")
-    return _canonical(joined, _paragraph(F.col("paragraph"), "csv-header"), F.array(count), F.array(table))
-
-
-def parse_email(rows: DataFrame) -> DataFrame:
-    parsed = formats.email_documents(rows)
-    joined = rows.select(*_DOCUMENT).join(parsed, "document_id")
-    names = F.when(F.size("attachment_names") > 0, _field("Attachments", F.to_json("attachment_names"), "list"))
-    headers = [_field(n, F.col(c), "string") for n, c in (("Subject", "subject"), ("From", "sender"), ("To", "recipient"))]
-    return _canonical(joined, _paragraph(F.col("body"), "email-body"), F.array_compact(F.array(*headers, names)))
-
-
-def parse_documents(documents: DataFrame, strict_csv: bool = False) -> DataFrame:
-    """Canonical rows of raw payloads; each format is read by its own branch.
-
-    Spreadsheets are read as CSV text and PDFs as plain text: there is no decoder for either here, and this is
-    what happens without one.  Feed decoded pages through the page adapter instead.
-    """
-    kinds = documents.withColumn("_format", formats.document_format(F.col("content"), F.col("mime_type"), strict_csv))
-    return union_all(
-        [
-            parse_text(kinds.where("_format IN ('text', 'pdf')")),
-            parse_csv(kinds.where("_format IN ('csv', 'excel')")),
-            parse_email(kinds.where("_format = 'email'")),
-        ]
-    )
-
-
-def message_parts(documents: DataFrame) -> DataFrame:
-    """Attachments of documents declared as messages."""
-    mime = F.lower(F.coalesce("mime_type", F.lit("")))
-    return formats.email_parts(documents.where(mime.startswith("message/")))
-
-
 def part_documents(found: DataFrame) -> DataFrame:
     """Attachments as raw documents of their own."""
     metadata = F.to_json(
@@ -170,21 +136,23 @@ def process(
     stored = read_store(spark, store_path)
     if not replace and not stored.where(F.col("batch") == batch).isEmpty():
         raise ValueError(f"the store holds {batch} already; pass another name, or replace=True")
-    fresh = store.new_payloads(documents, stored.where(F.col("batch") != batch), force).dropDuplicates(["document_id", "checksum"])
+    fresh = store.pending(documents, stored.where(F.col("batch") != batch), force)
     roots = fresh.select(*_DOCUMENT, "content").withColumn("document_id", F.concat("document_id", F.lit(_MARK), "checksum"))
-    found = message_parts(roots)
-    raw = roots.unionByName(part_documents(found))
-    failures = formats.unreadable(raw).withColumn("document_id", _plain(F.col("document_id")))
-    listed = found.groupBy("document_id").agg(
-        # attachments of one message, which arrived as one row
-        F.array_sort(F.collect_list(F.struct("ord", _typed(
-            schemas.ATTACHMENT, attachment_id=F.col("attachment_id"), file_name=F.col("file_name"), mime_type=F.col("mime_type"),
-            checksum=F.col("checksum"), source_uri=F.col("source_uri"), metadata=F.to_json(F.struct("size_bytes", "content_id")),
-            child_document_id=F.col("child_document_id"),
-        ).alias("a")))).alias("_listed")
-    )
-    canonical = parse_documents(raw).join(listed, "document_id", "left")
-    canonical = canonical.withColumn("attachments", F.transform(F.coalesce("_listed", F.array()), lambda x: x["a"])).drop("_listed")
+    # each payload is read once: what the readers found is written, attachments and rows come from there
+    scratch = scratch_folder(spark, "read")
+    read_roots = _written(parse_documents(roots), f"{scratch}/roots")
+    found = formats.attachment_rows(read_roots, F.col("attachment_payloads"))
+    read_parts = _written(parse_documents(part_documents(found)), f"{scratch}/parts")
+    listed = F.transform("attachment_payloads", lambda a: _typed(
+        schemas.ATTACHMENT, attachment_id=(a["walk_index"] + 1).cast("string"), file_name=a["file_name"], mime_type=a["mime_type"], checksum=a["checksum"],
+        source_uri=attachment_uri(F.col("source_uri"), a["file_name"]), metadata=F.to_json(F.struct(a["size_bytes"].alias("size_bytes"), a["content_id"].alias("content_id"))),
+        child_document_id=F.concat("document_id", F.lit("::attachment-"), (a["walk_index"] + 1).cast("string")),
+    ))
+    read_roots = read_roots.withColumn("attachments", F.coalesce(listed, F.col("attachments")))
+    both = read_roots.drop("attachment_payloads").unionByName(read_parts.drop("attachment_payloads"))
+    failed = both.where("error IS NOT NULL").select(_plain(F.col("document_id")).alias("document_id"), "reader", "error")
+    failures = _written(failed, scratch_folder(spark, "failures"))
+    canonical = both.where("error IS NULL").drop("reader", "error")
     if summarise:
         canonical = summaries.add_summaries(canonical)
     names = list(enrich_with)
@@ -198,6 +166,7 @@ def process(
     canonical = canonical.withColumns({"payload_key": F.col("document_id"), "document_id": _plain(F.col("document_id")), "attachments": listed_plain})
     target = f"{store_path}/batch={batch}"
     canonical.write.mode("overwrite").parquet(target)
+    remove_folder(spark, scratch)
     written = spark.read.schema(f"{schemas.CANONICAL}, is_root boolean, payload_key string").parquet(target)
     keyed = written.withColumn("document_id", F.col("payload_key"))
     flat = written.select("document_id", "payload_key", F.posexplode("attachments").alias("ord", "_a"))
@@ -211,6 +180,11 @@ def process(
     return Processed(written, _plain_ids(tree), {k: _plain_ids(v) for k, v in rows.items()}, failures)
 
 
+def _written(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _plain(value: Column) -> Column:
     return F.regexp_replace(value, f"{_MARK}[0-9a-f]*", "")
 
@@ -223,11 +197,5 @@ def _plain_ids(rows: DataFrame) -> DataFrame:
 
 def read_store(spark, store_path: str, but: str | None = None) -> DataFrame:
     """Keys of everything stored; an absent store is empty."""
-    schema = "document_id string, checksum string, batch string"
-    try:
-        rows = spark.read.schema(schema).parquet(store_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    rows = read_or_empty(spark, store_path, "document_id string, checksum string, batch string")
     return rows.where(F.col("batch") != but) if but else rows

@@ -85,8 +85,7 @@ def csv_documents(spark, sf_dir):
 
 
 def csv_headers(spark, sf_dir):
-    payloads = _csv_payloads(spark, sf_dir)
-    return formats.csv_summaries(payloads, formats.csv_cells(payloads))
+    return formats.csv_summaries(_csv_payloads(spark, sf_dir))
 
 
 def _emails(spark, sf_dir) -> DataFrame:

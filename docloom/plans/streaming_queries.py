@@ -118,7 +118,33 @@ def stored_mail(spark, sf_dir):
     return rows.select("bundle_id", "part_id", "total_pages", "total_blocks", "status")
 
 
+def process_versions(spark, sf_dir):
+    """Three versions of every document in one batch, some rows twice, then another batch that brings one more: contents."""
+    base = f"{_scratch(spark, 'versions')}/documents"
+    docs = staging.text_documents(spark, sf_dir).select("document_id", "source_uri", "doc_id", "text")
+    quoted = F.concat(F.lit('id,"text, whole"\n'), F.col("doc_id").cast("string"), F.lit(',"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"\n'))
+
+    def version(content, mime: str, uri: str = "") -> DataFrame:
+        return docs.select(
+            "document_id", F.concat("source_uri", F.lit(uri)).alias("source_uri"), F.encode(content, "UTF-8").alias("content"), F.lit(mime).alias("mime_type"),
+            F.lit("{}").alias("metadata"), (F.col("doc_id") % 10 == 0).alias("force"),
+        )
+
+    # one line, which no test takes for CSV
+    line = F.concat(F.lit("doc "), F.translate("text", "\n", " "))
+    plain, table = version(line, "text/html"), version(quoted, "text/csv")
+    named = version(F.concat(F.lit("version of "), "document_id"), "text/html")
+    first = workflow.process(plain.unionByName(table).unionByName(version(line, "text/html", "#copy")).unionByName(table), base, force="force", batch="batch-0")
+    second = workflow.process(plain.unionByName(named), base, force="force", batch="batch-1")
+    rows = first.documents.withColumn("batch", F.lit(0)).unionByName(second.documents.withColumn("batch", F.lit(1)))
+    cells = F.flatten(F.transform("tables", lambda t: F.transform(t["cells"], lambda c: c["content"])))
+    return rows.select(
+        "batch", "document_id", "checksum", F.sha2(F.array_join(F.transform("text_spans", lambda s: s["content"]), "|"), 256).alias("text_sha256"),
+        F.sha2(F.array_join(cells, "|"), 256).alias("cells_sha256"), F.size(cells).cast("long").alias("cells"), F.col("fields")[0]["name"].alias("field"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (stream_ingest, stream_dead_letters, stream_redelivery, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail)
+    for f in (stream_ingest, stream_dead_letters, stream_redelivery, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail, process_versions)
 }

@@ -9,8 +9,9 @@ import sys
 from collections.abc import Iterator
 from email import message_from_bytes
 from email.message import Message
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,93 +46,123 @@ def document_format(content: Column, mime_type: Column, strict_csv: bool = False
     )
 
 
+def text_paragraph(content: Column | str) -> Column:
+    """The collapsed text of a payload."""
+    return F.coalesce(F.nullif(collapse_whitespace(utf8_ignoring_errors(content)), F.lit("")), F.lit(EMPTY_DOCUMENT))
+
+
 def text_documents(documents: DataFrame, content: str = "content") -> DataFrame:
     """One collapsed paragraph and its length per text payload."""
-    text = F.coalesce(F.nullif(collapse_whitespace(utf8_ignoring_errors(content)), F.lit("")), F.lit(EMPTY_DOCUMENT))
+    text = text_paragraph(content)
     kept = [c for c in documents.columns if c != content]
     return documents.select(*kept, text.alias("paragraph"), F.length(text).cast("long").alias("character_count"))
 
 
-def _csv_rows(content: bytes) -> Iterator[list[str]]:
-    """Rows as they are read; a bare carriage return ends a line like any other line end."""
+#: What one pass over a CSV or email payload gives; ``error`` is set and all else null where it cannot be read.
+READING = (
+    "struct<error:string,records:array<array<string>>,body:string,body_is_html:boolean,subject:string,sender:string,recipient:string,"
+    "attachment_names:array<string>,attachments:array<struct<walk_index:int,ord:int,file_name:string,mime_type:string,checksum:string,"
+    "size_bytes:bigint,content_id:string,content:binary>>>"
+)
+_ROW = pa.list_(pa.string())
+_MAIL = pa.struct([
+    ("error", pa.string()), ("body", pa.string()), ("body_is_html", pa.bool_()), ("subject", pa.string()), ("sender", pa.string()), ("recipient", pa.string()),
+    ("attachment_names", pa.list_(pa.string())),
+    ("attachments", pa.list_(pa.struct([
+        ("walk_index", pa.int32()), ("ord", pa.int32()), ("file_name", pa.string()), ("mime_type", pa.string()), ("checksum", pa.string()),
+        ("size_bytes", pa.int64()), ("content_id", pa.string()), ("content", pa.binary()),
+    ]))),
+])
+
+
+def _csv_records(content: bytes) -> pa.Array:
+    """Rows as lists of cells, turned into compact arrays as they are read; a bare carriage return ends a line like any other line end."""
     csv.field_size_limit(sys.maxsize)
-    return csv.reader(io.StringIO(content.decode("utf-8", errors="ignore"), newline=""))
-
-
-def _problem(reader, content: bytes) -> str | None:
-    """What goes wrong when a payload is read to its end, null if nothing does."""
-    try:
-        for _ in reader(content):
-            pass
-    except Exception as error:  # whatever one payload does, the others are read
-        return f"{type(error).__name__}: {error}"[:500]
-    return None
+    chunks, held, cells = [], [], 0
+    for row in csv.reader(io.StringIO(content.decode("utf-8", errors="ignore"), newline="")):
+        held.append(row)
+        cells += len(row)
+        if cells > 50_000:
+            chunks.append(pa.array(held, _ROW))
+            held, cells = [], 0
+    return pa.concat_arrays([*chunks, pa.array(held, _ROW)])
+
+
+def _read(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """``READING`` of ``struct<reader, parts, data>``: every payload is read once."""
+    for asked in columns:
+        records, sizes, mails = [], [], []
+        for reader, parts, data in zip(*(asked.field(i) for i in range(3)), strict=True):
+            reader, parts = reader.as_py(), parts.as_py()
+            data = data.as_py() or b"" if reader or parts else b""
+            rows, mail = None, {}
+            try:
+                if reader == "csv":
+                    rows = _csv_records(data)
+                if reader == "email" or parts:
+                    mail = _mail(data)
+            except Exception as error:  # whatever one payload does, the others are read
+                # parts may be asked of payloads of another format, which need not be messages
+                if reader == "email" or rows is None:
+                    rows, mail = None, {"error": f"{type(error).__name__}: {error}"[:500]}
+            records.append(rows)
+            sizes.append(0 if rows is None else len(rows))
+            mails.append(mail)
+        offsets = pa.array([0, *accumulate(sizes)], pa.int32())
+        listed = pa.ListArray.from_arrays(offsets, pa.concat_arrays([pa.array([], _ROW), *(r for r in records if r is not None)]), mask=pa.array([r is None for r in records]))
+        mail = pa.array(mails, _MAIL)
+        found = {f.name: mail.field(i) for i, f in enumerate(_MAIL)}
+        names = ["error", "records", *list(found)[1:]]
+        yield pa.StructArray.from_arrays([listed if n == "records" else found[n] for n in names], names=names)
+
+
+def reading(reader: Column, content: Column, parts: Column | None = None) -> Column:
+    """Payloads read by the ``csv`` or ``email`` reader, others not touched; ``parts`` asks for attachments besides."""
+    wanted = F.coalesce(parts, F.lit(False)) if parts is not None else F.lit(False)
+    asked = F.struct(reader.alias("reader"), wanted.alias("parts"), F.when(reader.isNotNull() | wanted, content).alias("data"))
+    return F.arrow_udf(_read, READING)(asked)
+
+
+def reader_of(kind: Column) -> Column:
+    """Reader of a format; spreadsheets are read as CSV text."""
+    return F.when(kind.isin("csv", "excel"), "csv").when(kind == "email", "email")
 
 
 def unreadable(documents: DataFrame, content: str = "content", mime_type: str = "mime_type") -> DataFrame:
     """``document_id, reader, error`` of the CSV and email payloads that cannot be read: the quarantine of the readers."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        readers = {"csv": _csv_rows, "email": _email_walk}
-        for frame in batches:
-            tried = ((i, k, _problem(readers[k], d or b"")) for i, k, d in zip(frame["document_id"], frame["reader"], frame["data"]))
-            yield pd.DataFrame([t for t in tried if t[2] is not None], columns=["document_id", "reader", "error"]).astype(object)
-
-    kind = document_format(F.col(content), F.col(mime_type))
-    reader = F.when(kind.isin("csv", "excel"), "csv").when(kind == "email", "email")
+    reader = reader_of(document_format(F.col(content), F.col(mime_type)))
     asked = documents.select("document_id", reader.alias("reader"), F.col(content).alias("data")).where("reader IS NOT NULL")
-    return asked.mapInPandas(read, "document_id string, reader string, error string")
+    return asked.select("document_id", "reader", reading(F.col("reader"), F.col("data"))["error"].alias("error")).where("error IS NOT NULL")
 
 
 def csv_cells(documents: DataFrame, content: str = "content") -> DataFrame:
     """Cells of CSV payloads: ``document_id, row_index, column_index, content``.
 
-    Quoted fields may hold line ends, so a payload is read as a whole, one at a time.  Rows leave in
-    bounded batches.  A payload that cannot be read has no cells; ``unreadable`` lists it.
+    Quoted fields may hold line ends, so a payload is read as a whole.  One that cannot be read has no cells;
+    ``unreadable`` lists it.
     """
+    read = documents.select("document_id", reading(F.lit("csv"), F.col(content))["records"].alias("records"))
+    rows = read.select("document_id", F.posexplode("records").alias("row_index", "record"))
+    return rows.select("document_id", "row_index", F.posexplode("record").alias("column_index", "content"))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            out: list[tuple] = []
-            for document_id, data in zip(frame["document_id"], frame[content]):
-                if _problem(_csv_rows, data or b"") is not None:
-                    continue
-                for r, row in enumerate(_csv_rows(data or b"")):
-                    out.extend((document_id, r, c, value) for c, value in enumerate(row))
-                    if len(out) > 50_000:
-                        yield pd.DataFrame(out, columns=["document_id", "row_index", "column_index", "content"])
-                        out = []
-            if out:
-                yield pd.DataFrame(out, columns=["document_id", "row_index", "column_index", "content"])
-
-    schema = "document_id string, row_index int, column_index int, content string"
-    return documents.select("document_id", content).mapInPandas(read, schema)
-
-
-def csv_summaries(documents: DataFrame, cells: DataFrame) -> DataFrame:
-    """Header paragraph and row count; a payload without rows has an empty header and counts as one row."""
-    # header cells of one row, at most as many as the table has columns
-    header = F.array_sort(F.collect_list(F.when(F.col("row_index") == 0, F.struct("column_index", "content"))))
-    found = cells.groupBy("document_id").agg(
-        (F.max("row_index") + 1).alias("_rows"), F.array_join(F.transform(header, lambda h: h["content"]), ", ").alias("_header")
-    )
-    joined = documents.select("document_id").join(found, "document_id", "left")
-    return joined.select(
-        "document_id", F.coalesce("_header", F.lit("")).alias("paragraph"), F.coalesce("_rows", F.lit(1)).cast("long").alias("row_count")
-    )
 
+def csv_header(records: Column) -> Column:
+    """Cells of the first row; a payload without rows has an empty header."""
+    return F.coalesce(F.array_join(F.get(records, 0), ", "), F.lit(""))
 
-# --- email ---------------------------------------------------------------------------
 
-_EMAIL_SCHEMA = (
-    "document_id string, body string, body_is_html boolean, subject string, sender string, recipient string,"
-    "attachment_names array<string>"
-)
-_PART_SCHEMA = (
-    "document_id string, walk_index int, ord int, file_name string, mime_type string, checksum string,"
-    "size_bytes long, content_id string, content binary"
-)
-_TEXT_PART_SCHEMA = "document_id string, index int, is_html boolean, text string"
+def csv_row_count(records: Column) -> Column:
+    """Rows up to the last that is not blank, one at least."""
+    return F.coalesce(F.array_max(F.transform(records, lambda r, i: F.when(F.size(r) > 0, i + 1))), F.lit(1)).cast("long")
+
+
+def csv_summaries(documents: DataFrame, content: str = "content") -> DataFrame:
+    """Header paragraph and row count of CSV payloads; one that cannot be read counts as empty."""
+    read = documents.select("document_id", reading(F.lit("csv"), F.col(content))["records"].alias("records"))
+    return read.select("document_id", csv_header(F.col("records")).alias("paragraph"), csv_row_count(F.col("records")).alias("row_count"))
+
+
+# --- email ---------------------------------------------------------------------------
 
 
 def _text_of(part: Message) -> str:
@@ -142,14 +173,9 @@ def _text_of(part: Message) -> str:
         return data.decode("utf-8", errors="ignore")
 
 
-def _email_walk(content: bytes) -> Iterator[str]:
-    """Everything the email readers look at."""
-    message = message_from_bytes(content)
-    _body(message)
-    for part in message.walk():
-        yield str(part.get_filename()) + str(part.get_content_type()) + str(part.get_content_disposition()) + str(part.get("Content-ID"))
-        if not part.is_multipart():
-            yield _text_of(part)
+def _clean(value) -> str | None:
+    """Header text without the lone surrogates that stand for undecoded bytes."""
+    return None if value is None else str(value).encode("utf-8", "ignore").decode()
 
 
 def _body(message: Message) -> tuple[str, bool]:
@@ -162,80 +188,62 @@ def _body(message: Message) -> tuple[str, bool]:
     return _text_of(message), False
 
 
-def _attachments(message: Message) -> list[tuple[int, Message]]:
-    return [(i, p) for i, p in enumerate(message.walk()) if p.get_content_disposition() == "attachment"]
-
+def _mail(content: bytes) -> dict:
+    """Body, headers and attachments of a message.
 
-def _header(message: Message, name: str) -> str | None:
-    value = message.get(name)
-    return None if value is None else str(value)
-
-
-def _per_message(documents: DataFrame, content: str, rows_of, schema: str) -> DataFrame:
-    names = [c.strip().split()[0] for c in schema.replace("array<string>", "array").split(",")]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            # one frame per 32 MiB of messages: small enough to hold, large enough to hand over cheaply
-            rows, size = [], 0
-            for document_id, data in zip(frame["document_id"], frame[content]):
-                try:
-                    rows.extend([(document_id, *r) for r in rows_of(message_from_bytes(data or b""), data or b"")])
-                except Exception:  # listed by ``unreadable``; the other messages are read
-                    continue
-                size += len(data or b"")
-                if size > 1 << 25:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-    return documents.select("document_id", content).mapInPandas(read, schema)
+    The walk is flat: an attached message is skipped as such and its own files are listed under the root.
+    """
+    message = message_from_bytes(content)
+    text, is_html = _body(message)
+    names, kept = [], []
+    for walk, part in enumerate(message.walk()):
+        if part.get_content_disposition() != "attachment":
+            continue
+        name, payload = _clean(part.get_filename()), part.get_payload(decode=True) or b""
+        names.append(name)
+        if payload:
+            kept.append({
+                "walk_index": walk, "ord": len(kept), "file_name": name or f"attachment-{walk + 1}", "mime_type": _clean(part.get_content_type()),
+                "checksum": hashlib.sha256(payload).hexdigest(), "size_bytes": len(payload), "content_id": _clean(part.get("Content-ID")), "content": payload,
+            })
+    headers = {k: _clean(message.get(h)) for k, h in (("subject", "Subject"), ("sender", "From"), ("recipient", "To"))}
+    return {"body": _clean(text), "body_is_html": is_html, **headers, "attachment_names": names, "attachments": kept}
+
+
+def mail_body(read: Column) -> Column:
+    """Body text, markup taken out."""
+    return F.when(read["body_is_html"], collapse_whitespace(strip_tags(read["body"]))).otherwise(read["body"])
 
 
 def email_documents(documents: DataFrame, content: str = "content") -> DataFrame:
     """Body paragraph, header fields and attachment names of raw messages."""
+    read = documents.select("document_id", reading(F.lit("email"), F.col(content)).alias("r")).where("r.error IS NULL")
+    return read.select("document_id", mail_body(F.col("r")).alias("body"), "r.subject", "r.sender", "r.recipient", "r.attachment_names")
 
-    def rows_of(message: Message, _: bytes):
-        text, is_html = _body(message)
-        names = [p.get_filename() for _, p in _attachments(message)]
-        return [(text, is_html, _header(message, "Subject"), _header(message, "From"), _header(message, "To"), names)]
-
-    parsed = _per_message(documents, content, rows_of, _EMAIL_SCHEMA)
-    plain = F.when(F.col("body_is_html"), collapse_whitespace(strip_tags("body"))).otherwise(F.col("body"))
-    return parsed.withColumn("body", plain).drop("body_is_html")
 
+def attachment_rows(documents: DataFrame, attachments: Column) -> DataFrame:
+    """Attachments of read messages, one row each, beside ``document_id`` (and ``source_uri``).
 
-def email_parts(documents: DataFrame, content: str = "content") -> DataFrame:
-    """Attachments of raw messages, one row each.
-
-    The walk is flat: an attached message is skipped as such and its own files are listed under the root.
     Ids use the walk position, part names the position among the kept attachments.
     """
-
-    def rows_of(message: Message, _: bytes):
-        kept = 0
-        for walk, part in _attachments(message):
-            payload = part.get_payload(decode=True) or b""
-            if payload:
-                name = part.get_filename() or f"attachment-{walk + 1}"
-                digest = hashlib.sha256(payload).hexdigest()
-                yield walk, kept, name, part.get_content_type(), digest, len(payload), _header(part, "Content-ID"), payload
-                kept += 1
-
-    parts = _per_message(documents, content, rows_of, _PART_SCHEMA)
+    kept = [c for c in ("document_id", "source_uri") if c in documents.columns]
+    rows = documents.select(*[F.col(c).alias(f"_{c}") for c in kept], F.inline(attachments)).withColumnsRenamed({f"_{c}": c for c in kept})
     number = (F.col("walk_index") + 1).cast("string")
-    parts = parts.withColumns(
+    rows = rows.withColumns(
         {
             "attachment_id": number,
             "child_document_id": F.concat(F.col("document_id"), F.lit("::attachment-"), number),
             "part_id": F.concat(F.lit(f"{ROOT}.attachment-"), (F.col("ord") + 1).cast("string")),
         }
     )
-    if "source_uri" in documents.columns:
-        parts = parts.join(documents.select("document_id", F.col("source_uri").alias("_uri")), "document_id", "left")
-        parts = parts.withColumn("source_uri", attachment_uri("_uri", "file_name")).drop("_uri")
-    return parts
+    return rows.withColumn("source_uri", attachment_uri("source_uri", "file_name")) if "source_uri" in kept else rows
+
+
+def email_parts(documents: DataFrame, content: str = "content") -> DataFrame:
+    """Attachments of raw messages, one row each."""
+    kept = [c for c in ("document_id", "source_uri") if c in documents.columns]
+    read = documents.select(*kept, reading(F.lit("email"), F.col(content))["attachments"].alias("attachments"))
+    return attachment_rows(read, F.col("attachments"))
 
 
 def message_texts(content: bytes) -> list[tuple[bool, str]]:
@@ -248,10 +256,20 @@ def message_texts(content: bytes) -> list[tuple[bool, str]]:
     return found or [(False, content.decode("utf-8", errors="ignore"))]
 
 
-def email_text_parts(documents: DataFrame, content: str = "content") -> DataFrame:
-    """Text parts of raw messages as pages; a message without any counts as one plain part."""
+def _texts(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kind = pa.list_(pa.struct([("is_html", pa.bool_()), ("text", pa.string())]))
+    for values in columns:
+        found = []
+        for data in values:
+            try:
+                found.append([{"is_html": h, "text": _clean(t)} for h, t in message_texts(data.as_py() or b"")])
+            except Exception:  # listed by ``unreadable``; the other messages are read
+                found.append(None)
+        yield pa.array(found, kind)
 
-    def rows_of(_: Message, data: bytes):
-        return [(i, is_html, text) for i, (is_html, text) in enumerate(message_texts(data))]
 
-    return _per_message(documents, content, rows_of, _TEXT_PART_SCHEMA)
+def email_text_parts(documents: DataFrame, content: str = "content") -> DataFrame:
+    """Text parts of raw messages as pages; a message without any counts as one plain part."""
+    texts = F.arrow_udf(_texts, "array<struct<is_html:boolean,text:string>>")(F.col(content))
+    rows = documents.select("document_id", F.posexplode(texts).alias("index", "_t"))
+    return rows.select("document_id", "index", "_t.is_html", "_t.text")

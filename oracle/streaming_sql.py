@@ -1,5 +1,5 @@
 from oracle.common import MESSAGE_PAGES, MESSAGES
-from oracle.content_sql import _MAIL
+from oracle.content_sql import _COLLAPSED, _MAIL
 from oracle.service_sql import _JOBS, SQL as _BATCH
 
 _CSV = "(regexp_matches(hx, '^(..)*2C') AND regexp_matches(hx, '^(..)*0A'))"
@@ -36,4 +36,11 @@ SQL = {
         SELECT document_id AS bundle_id, NULL AS part_id, 1::BIGINT AS total_pages, 5::BIGINT AS total_blocks, 'succeeded' AS status FROM t
         UNION ALL SELECT document_id, 'root.attachment-1', 1, CASE WHEN {_CSV} AND NOT starts_with(text, chr(10)) THEN 3 ELSE 2 END, 'succeeded' FROM t""",
     "stream_attempts": f"WITH {MESSAGES} SELECT message_id, receive_count, 1::BIGINT AS deliveries FROM messages",
+    "process_versions": f"""WITH d AS (SELECT 'd-' || doc_id AS document_id, doc_id, text AS original, 'doc ' || replace(text, chr(10), ' ') AS text FROM documents),
+        v AS (SELECT *, 'id,"text, whole"' || chr(10) || doc_id || ',"' || replace(original, '"', '""') || '"' || chr(10) AS quoted, 'version of ' || document_id AS named FROM d),
+        plain AS (SELECT document_id, sha256(text) AS checksum, sha256({_COLLAPSED}) AS text_sha256, sha256('') AS cells_sha256, 0::BIGINT AS cells, 'CharacterCount' AS field, doc_id FROM v)
+        SELECT 0 AS batch, * EXCLUDE (doc_id) FROM plain
+        UNION ALL SELECT 0, document_id, sha256(quoted), sha256('id, text, whole'), sha256('id|text, whole|' || doc_id || '|' || original), 4, 'RowCount' FROM v
+        UNION ALL SELECT 1, * EXCLUDE (doc_id) FROM plain WHERE doc_id % 10 = 0
+        UNION ALL SELECT 1, document_id, sha256(named), sha256(named), sha256(''), 0, 'CharacterCount' FROM v""",
 }

@@ -222,7 +222,7 @@ def test_csv_reader(spark):
     cells = formats.csv_cells(rows)
     got = {(c.document_id, c.row_index, c.column_index): c.content for c in cells.collect()}
     assert got["d", 0, 0] == "Name" and {"Alice", "Bob", "10", "20"} <= set(got.values()) and got["q", 0, 1] == 'b\nc "x"'
-    facts = {r.document_id: (r.paragraph, r.row_count) for r in formats.csv_summaries(rows, cells).collect()}
+    facts = {r.document_id: (r.paragraph, r.row_count) for r in formats.csv_summaries(rows).collect()}
     assert facts == {"d": ("Name, Value", 3), "q": ('a, b\nc "x"', 1), "e": ("", 1)}
 
 
