@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from docloom import schemas
 from docloom.functions.binary import checksum
 from docloom.functions.records import json_map, merge_maps
-from docloom.functions.text import attachment_uri, blank_to_null
-from docloom.operators import denorm, enrichment, parts, store, summaries
+from docloom.functions.text import ROOT, attachment_uri, blank_to_null, child_part
+from docloom.operators import denorm, enrichment, store, summaries
 from docloom.operators.adapters import ANALYZE
 from docloom.session import read_or_empty, remove_folder, scratch_folder
 from docloom.sources import formats
@@ -25,6 +25,7 @@ CSV_TABLE, CSV_CAPTION = "csv-table", "CSV data table"
 # stands between id and checksum in the keys of payloads; no id holds it
 _MARK = "\u0001"
 
+_PART = ("request_id", "bundle_id", "part", "attachment_label")
 _DOCUMENT = ("document_id", "source_uri", "checksum", "mime_type", "metadata")
 
 
@@ -39,8 +40,9 @@ def _field(name: str, value: Column, kind: str) -> Column:
     )
 
 
-def parse_documents(documents: DataFrame, strict_csv: bool = False) -> DataFrame:
-    """Canonical rows of raw payloads, with the attachments found (``attachment_payloads``) and the reader's ``error``.
+def parse_documents(documents: DataFrame, strict_csv: bool = False, keep: Iterable[str] = ()) -> DataFrame:
+    """Canonical rows of raw payloads, with the attachments found (``attachment_payloads``), the reader's ``error``, and the
+    columns to ``keep``.
 
     Texts are read by built-in functions, CSV and messages in one Python pass over the rows; nothing is joined or
     shuffled.  A payload that cannot be read has an error and is else empty.  Spreadsheets are read as CSV text and PDFs
@@ -87,17 +89,17 @@ def parse_documents(documents: DataFrame, strict_csv: bool = False) -> DataFrame
         F.col("mime_type"), F.to_json(metadata).alias("metadata"), spans.alias("text_spans"), tables.alias("tables"), fields.alias("fields"),
         empty["visual_descriptions"].alias("visual_descriptions"), F.array(segment).alias("page_segments"),
         empty["attachments"].alias("attachments"), empty["summaries"].alias("summaries"), empty["enrichments"].alias("enrichments"),
-        F.when(mime.startswith("message/"), r["attachments"]).alias("attachment_payloads"), reader.alias("reader"), r["error"].alias("error"),
+        F.when(mime.startswith("message/"), r["attachments"]).alias("attachment_payloads"), reader.alias("reader"), r["error"].alias("error"), *keep,
     )
 
 
-def part_documents(found: DataFrame) -> DataFrame:
-    """Attachments as raw documents of their own."""
+def part_documents(found: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Attachments as raw documents of their own, with the columns to ``keep``."""
     metadata = F.to_json(
         F.struct("mime_type", _plain(F.col("document_id")).alias("parent_document_id"), F.col("file_name").alias("attachment_file_name"), "content_id")
     )
     return found.select(
-        F.col("child_document_id").alias("document_id"), "source_uri", "checksum", "mime_type", metadata.alias("metadata"), "content"
+        F.col("child_document_id").alias("document_id"), "source_uri", "checksum", "mime_type", metadata.alias("metadata"), "content", *keep
     )
 
 
@@ -140,9 +142,14 @@ def process(
     roots = fresh.select(*_DOCUMENT, "content").withColumn("document_id", F.concat("document_id", F.lit(_MARK), "checksum"))
     # each payload is read once: what the readers found is written, attachments and rows come from there
     scratch = scratch_folder(spark, "read")
-    read_roots = _written(parse_documents(roots), f"{scratch}/roots")
-    found = formats.attachment_rows(read_roots, F.col("attachment_payloads"))
-    read_parts = _written(parse_documents(part_documents(found)), f"{scratch}/parts")
+    # the part key of a root and its attachments is known here; attachments of attachments are listed flat below the root
+    request = F.coalesce(blank_to_null(F.get_json_object("metadata", "$.request_id")), F.col("document_id"))
+    none = F.lit(None).cast("string")
+    as_root = {"request_id": request, "bundle_id": F.col("document_id"), "part": F.lit(ROOT), "attachment_label": none}
+    read_roots = _written(parse_documents(roots.withColumns(as_root), keep=_PART), f"{scratch}/roots")
+    found = formats.attachment_rows(read_roots, F.col("attachment_payloads"), ["request_id"])
+    as_part = {"bundle_id": F.col("document_id"), "part": child_part(F.lit(ROOT), "ord"), "attachment_label": F.col("file_name")}
+    read_parts = _written(parse_documents(part_documents(found.withColumns(as_part), keep=_PART), keep=_PART), f"{scratch}/parts")
     listed = F.transform("attachment_payloads", lambda a: _typed(
         schemas.ATTACHMENT, attachment_id=(a["walk_index"] + 1).cast("string"), file_name=a["file_name"], mime_type=a["mime_type"], checksum=a["checksum"],
         source_uri=attachment_uri(F.col("source_uri"), a["file_name"]), metadata=F.to_json(F.struct(a["size_bytes"].alias("size_bytes"), a["content_id"].alias("content_id"))),
@@ -167,17 +174,26 @@ def process(
     target = f"{store_path}/batch={batch}"
     canonical.write.mode("overwrite").parquet(target)
     remove_folder(spark, scratch)
-    written = spark.read.schema(f"{schemas.CANONICAL}, is_root boolean, payload_key string").parquet(target)
-    keyed = written.withColumn("document_id", F.col("payload_key"))
-    flat = written.select("document_id", "payload_key", F.posexplode("attachments").alias("ord", "_a"))
-    # an attachment's key is its parent's and what its id adds to the parent's id
-    child = F.concat("payload_key", F.substring("_a.child_document_id", F.length("document_id") + 1, F.length("_a.child_document_id")))
-    flat = flat.select(F.col("payload_key").alias("document_id"), F.col("ord").cast("long").alias("ord"), "_a.file_name", "_a.mime_type", child.alias("child_document_id"))
-    request = F.coalesce(blank_to_null(F.get_json_object("metadata", "$.request_id")), F.col("document_id"))
-    # attachments of attachments are listed flat below the root: one level is all there is
-    tree = parts.part_tree(keyed.where("is_root").select("document_id", request.alias("request_id")), flat, max_depth=1)
-    rows = denorm.denormalise(denorm.tables_of(keyed, tree), generated_at)
-    return Processed(written, _plain_ids(tree), {k: _plain_ids(v) for k, v in rows.items()}, failures)
+    part_columns = ", ".join(f"{c} string" for c in ("payload_key", *_PART))
+    written = spark.read.schema(f"{schemas.CANONICAL}, is_root boolean, {part_columns}").parquet(target)
+    keyed = written.withColumn("document_id", F.col("payload_key")).where(F.col("is_root") | (F.col("part") != ROOT))
+    rows = denorm.denormalise(denorm.tables_of(keyed), generated_at)
+    plain = {k: _plain_ids(v) for k, v in rows.items()}
+    return Processed(written.drop(*_PART), _plain_ids(_part_rows(keyed)), plain, failures)
+
+
+def _part_rows(keyed: DataFrame) -> DataFrame:
+    """The part tree of stored documents: the roots, and what they list."""
+    text = F.lit(None).cast("string")
+    roots = keyed.where("is_root").select(
+        "request_id", "bundle_id", "part", text.alias("parent_part"), F.lit(0).alias("depth"), "document_id", text.alias("file_name"), text.alias("mime_type"), "attachments"
+    )
+    listed = roots.select("request_id", "bundle_id", "part", F.posexplode("attachments").alias("ord", "_a"))
+    below = listed.select(
+        "request_id", "bundle_id", child_part("part", "ord").alias("part"), F.col("part").alias("parent_part"), F.lit(1).alias("depth"),
+        F.col("_a.child_document_id").alias("document_id"), "_a.file_name", "_a.mime_type",
+    )
+    return roots.drop("attachments").unionByName(below)
 
 
 def _written(rows: DataFrame, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ import csv
 import hashlib
 import io
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from email import message_from_bytes
 from email.message import Message
 from itertools import accumulate
@@ -221,12 +221,12 @@ def email_documents(documents: DataFrame, content: str = "content") -> DataFrame
     return read.select("document_id", mail_body(F.col("r")).alias("body"), "r.subject", "r.sender", "r.recipient", "r.attachment_names")
 
 
-def attachment_rows(documents: DataFrame, attachments: Column) -> DataFrame:
-    """Attachments of read messages, one row each, beside ``document_id`` (and ``source_uri``).
+def attachment_rows(documents: DataFrame, attachments: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Attachments of read messages, one row each, beside ``document_id`` (``source_uri``, and what else to ``keep``).
 
     Ids use the walk position, part names the position among the kept attachments.
     """
-    kept = [c for c in ("document_id", "source_uri") if c in documents.columns]
+    kept = [c for c in ("document_id", "source_uri", *keep) if c in documents.columns]
     rows = documents.select(*[F.col(c).alias(f"_{c}") for c in kept], F.inline(attachments)).withColumnsRenamed({f"_{c}": c for c in kept})
     number = (F.col("walk_index") + 1).cast("string")
     rows = rows.withColumns(
