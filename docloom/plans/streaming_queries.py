@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.operators import results, telemetry, workflow
+from docloom.operators import telemetry, workflow
 from docloom.plans import staging
 from docloom.plans.content_queries import _emails
 from docloom.plans.routing_queries import MESSAGE_CONFIG, MESSAGE_RULES, _rounded, _rules
@@ -97,15 +97,30 @@ def stream_telemetry(spark, sf_dir):
     return _shown(rows)
 
 
+def _live(spark, name: str, aggregate: live.Mergeable) -> tuple[live.LiveTable, str]:
+    base = _scratch(spark, name)
+    return live.LiveTable(spark, f"{base}/table", aggregate), base
+
+
 def stream_job_status(spark, sf_dir):
-    events = job_events_from(staging.stream_table(spark, sf_dir, "events"))
-    rows = _state(spark, results.latest_jobs(events), ["job_id"], "jobs")
-    return rows.select("job_id", "status", _stamp("updated_at"))
+    """Job events as a stream of several batches, the latest events first, so that every later batch is late."""
+    table, base = _live(spark, "jobs", live.JOBS)
+    events = staging.table(spark, sf_dir, "events")
+    events.repartitionByRange(4, F.col("ts").desc()).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    _drain(table.start(job_events_from(stream), f"{base}/checkpoint"))
+    return table.current().select("job_id", "status", _stamp("updated_at"))
 
 
 def stream_attempts(spark, sf_dir):
-    sent = staging.messages_from(staging.stream_table(spark, sf_dir, "events"))
-    return _state(spark, msg.attempts(sent), ["message_id"], "attempts")
+    """Deliveries in three waves, compacted before the last."""
+    table, base = _live(spark, "attempts", live.ATTEMPTS)
+    for wave in range(3):
+        staging.deliveries(spark, sf_dir, wave).repartition(2).write.mode("append").json(f"{base}/in")
+        _drain(table.start(msg.stream_messages(spark, f"{base}/in", 1), f"{base}/checkpoint"))
+        if wave == 1:
+            table.compact()
+    return table.current()
 
 
 def stored_mail(spark, sf_dir):

@@ -143,7 +143,12 @@ def dedupe_redelivered(messages: DataFrame, delay: str = "10 minutes") -> DataFr
 
 
 def attempts(messages: DataFrame) -> DataFrame:
-    """Receive count per message over all its deliveries."""
+    """Receive count per message over all its deliveries; a missing count is a first delivery."""
     return messages.groupBy("message_id").agg(
-        F.max("receive_count").alias("receive_count"), F.count(F.lit(1)).alias("deliveries")
+        F.max(F.coalesce("receive_count", F.lit(1))).alias("receive_count"), F.count(F.lit(1)).alias("deliveries")
     )
+
+
+def merge_attempts(parts: DataFrame) -> DataFrame:
+    """``attempts`` of all messages from those of parts of them."""
+    return parts.groupBy("message_id").agg(F.max("receive_count").alias("receive_count"), F.sum("deliveries").alias("deliveries"))

@@ -35,7 +35,7 @@ SQL = {
     "stored_mail": f"""WITH {_MAIL}, t AS (SELECT *, substr(hex(encode(text)), 1, 200) AS hx FROM mail)
         SELECT document_id AS bundle_id, NULL AS part_id, 1::BIGINT AS total_pages, 5::BIGINT AS total_blocks, 'succeeded' AS status FROM t
         UNION ALL SELECT document_id, 'root.attachment-1', 1, CASE WHEN {_CSV} AND NOT starts_with(text, chr(10)) THEN 3 ELSE 2 END, 'succeeded' FROM t""",
-    "stream_attempts": f"WITH {MESSAGES} SELECT message_id, receive_count, 1::BIGINT AS deliveries FROM messages",
+    "stream_attempts": f"WITH {_WAVES} SELECT id AS message_id, max(cnt)::INT AS receive_count, sum(n)::BIGINT AS deliveries FROM keyed GROUP BY id",
     "process_versions": f"""WITH d AS (SELECT 'd-' || doc_id AS document_id, doc_id, text AS original, 'doc ' || replace(text, chr(10), ' ') AS text FROM documents),
         v AS (SELECT *, 'id,"text, whole"' || chr(10) || doc_id || ',"' || replace(original, '"', '""') || '"' || chr(10) AS quoted, 'version of ' || document_id AS named FROM d),
         plain AS (SELECT document_id, sha256(text) AS checksum, sha256({_COLLAPSED}) AS text_sha256, sha256('') AS cells_sha256, 0::BIGINT AS cells, 'CharacterCount' AS field, doc_id FROM v)

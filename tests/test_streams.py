@@ -70,6 +70,33 @@ def test_content_resolution(spark, tmp_path):
     assert content.read_files(spark, str(tmp_path), max_bytes=5).collect()[0].content == b"hello"
 
 
+def test_live_table_merges_late_and_replayed_parts(spark, tmp_path):
+    source, table = tmp_path / "in", live.LiveTable(spark, str(tmp_path / "table"), live.ATTEMPTS)
+    waves = [[("a", {}, 2), ("b", {}, 1), ("a", {}, 2)], [("a", {}, 1)], [("b", {}, 3), ("c", {}, None)]]
+
+    def drain():
+        query = table.start(msg.stream_messages(spark, str(source), 1), str(tmp_path / "cp"))
+        query.awaitTermination()
+        # no state is kept between batches
+        assert all(not p["stateOperators"] for p in query.recentProgress)
+
+    for i, wave in enumerate(waves):
+        _write(source, f"{i}.json", wave)
+        drain()
+        if i < 2:
+            assert table.compact() == i
+    want = [("a", 2, 3), ("b", 3, 2), ("c", 1, 1)]
+    assert sorted(tuple(r) for r in table.current().collect()) == want
+    assert table.parts().count() == 4
+    # a replay of a compacted batch, and of one that is not, changes nothing
+    for batch, wave in ((0, waves[0]), (2, waves[2])):
+        rows = spark.createDataFrame([(m, n) for m, _, n in wave], "message_id string, receive_count int")
+        ingest.write_batch(live.ATTEMPTS.of(rows), f"{table.path}/parts", "run-0", batch)
+    assert sorted(tuple(r) for r in table.current().collect()) == want
+    assert table.compact() == 2 and table.parts().count() == 3
+    assert sorted(tuple(r) for r in table.current().collect()) == want
+
+
 def test_idle_listener_reports(spark):
     seen = []
     listener = live.IdleEvents(lambda query, at: seen.append((query, at)))
