@@ -97,6 +97,27 @@ def stream_telemetry(spark, sf_dir):
     return _shown(rows)
 
 
+def stream_lifecycle(spark, sf_dir):
+    """Three waves of deliveries: the events of the batches and of the run, and the rows of the tables they count."""
+    base = _scratch(spark, "lifecycle")
+    config = ingest.IngestConfig(f"{base}/tables", f"{base}/checkpoint", routing=MESSAGE_CONFIG, ledger_buckets=2)
+    for wave in range(3):
+        staging.deliveries(spark, sf_dir, wave).repartition(2).write.mode("append").json(f"{base}/in")
+        _drain(ingest.start_ingest(msg.stream_messages(spark, f"{base}/in"), config))
+    ingest.write_run_summary(spark, config, "queue-0")
+    none = F.lit(None).cast("long")
+    batches = ingest.lifecycle(spark, config).select("event_name", F.col("batch_id").cast("long").alias("batch_id"), "batch_size", "successes", "failures")
+    run = spark.read.parquet(config.path("run_events")).select(
+        "event_name", none.alias("batch_id"), F.col("messages").alias("batch_size"), (F.col("messages") - F.col("failures")).alias("successes"), "failures"
+    )
+    written = spark.read.parquet(config.path("metadata")).select(F.lit(1).alias("good")).unionByName(spark.read.parquet(config.path("failures")).select(F.lit(0).alias("good")))
+    tables = written.agg(
+        F.lit("tables").alias("event_name"), F.max(none).alias("batch_id"), F.count(F.lit(1)).alias("batch_size"), F.sum("good").alias("successes"),
+        F.sum(1 - F.col("good")).alias("failures"),
+    )
+    return batches.unionByName(run).unionByName(tables)
+
+
 def _live(spark, name: str, aggregate: live.Mergeable) -> tuple[live.LiveTable, str]:
     base = _scratch(spark, name)
     return live.LiveTable(spark, f"{base}/table", aggregate), base
@@ -161,5 +182,5 @@ def process_versions(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (stream_ingest, stream_dead_letters, stream_redelivery, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail, process_versions)
+    for f in (stream_ingest, stream_dead_letters, stream_redelivery, stream_lifecycle, stream_run_summary, stream_telemetry, stream_job_status, stream_attempts, stored_mail, process_versions)
 }

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,15 +53,21 @@ class IngestConfig:
         return f"{self.output_path}/{table}"
 
 
-def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int, *partitions: str) -> None:
+def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int, *partitions: str, metrics: dict[str, Column] | None = None) -> dict:
     """Write a micro-batch's rows as the partition of its run and batch; a replay replaces all of it, even by nothing.
 
-    Rebalancing merges the many small shuffle outputs into few files and splits a dominant partition value.
+    Rebalancing merges the many small shuffle outputs into few files and splits a dominant partition value.  ``metrics``
+    are aggregates observed while writing; they come from the last stage, where a retried task counts once.
     """
-    writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+    rows = rows.hint("rebalance", *partitions)
+    observation = Observation()
+    if metrics:
+        rows = rows.observe(observation, *[m.alias(n) for n, m in metrics.items()])
+    writer = rows.write.mode("overwrite")
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")
+    return observation.get if metrics else {}
 
 
 def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None:
@@ -104,14 +110,14 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
         )
         name = F.when(F.col("status") == "succeeded", "message_processed").otherwise("message_failed")
         events = telemetry.log_events(outcome, name, {"job_name": "message_ingestion", "run_id": config.run_id}, now)
-        size = outcome.agg(
-            F.count(F.lit(1)).alias("batch_size"), F.count(F.when(F.col("status") == "succeeded", 1)).alias("successes"),
-            F.count(F.when(F.col("status") == "failed", 1)).alias("failures"),
-        )
-        context = {"job_name": "message_ingestion", "run_id": config.run_id}
-        lifecycle = telemetry.log_events(size.withColumn("status", F.lit("completed")), F.lit("batch_processed"), context, now)
+        counts = {
+            "batch_size": F.count(F.lit(1)), "successes": F.count(F.when(F.col("status") == "succeeded", 1)),
+            "failures": F.count(F.when(F.col("status") == "failed", 1)),
+        }
+        size = write_batch(events.drop("run_id"), config.path("events"), config.run_id, batch_id, metrics=counts)
+        row = spark.range(1).select(*[F.lit(size[c]).cast("long").alias(c) for c in counts], F.lit("completed").alias("status"))
+        lifecycle = telemetry.log_events(row, F.lit("batch_processed"), {"job_name": "message_ingestion", "run_id": config.run_id}, now)
         write_batch(lifecycle.drop("run_id"), config.path("lifecycle"), config.run_id, batch_id)
-        write_batch(events.drop("run_id"), config.path("events"), config.run_id, batch_id)
         done = parsed.select("delivery_key", "receive_count", "sent_at", F.col("failure_reason").isNull().alias("succeeded"))
         # an older delivery that arrives later still is not handled either
         older = repeats.where("reason = 'superseded'").select("delivery_key", "receive_count", "sent_at", F.lit(False).alias("succeeded"))
@@ -131,10 +137,14 @@ def start_ingest(messages: DataFrame, config: IngestConfig) -> StreamingQuery:
     return writer.start()
 
 
+def lifecycle(spark: SparkSession, config: IngestConfig) -> DataFrame:
+    """The run's batch events, one small row for each batch."""
+    return spark.read.parquet(config.path("lifecycle")).where(F.col("run_id") == config.run_id)
+
+
 def run_summary(spark: SparkSession, config: IngestConfig) -> DataFrame:
-    """Messages, batches and failures of the run, from its event table."""
-    events = spark.read.parquet(config.path("events")).where(F.col("run_id") == config.run_id)
-    return telemetry.run_summary(telemetry.batch_summary(events))
+    """Messages, batches and failures of the run, from its batch events."""
+    return telemetry.run_summary(lifecycle(spark, config))
 
 
 def write_run_summary(spark: SparkSession, config: IngestConfig, queue_url: str) -> None:

@@ -106,20 +106,32 @@ class LiveTable:
 _PART = "run_id string, batch_id long"
 
 
-class IdleEvents(StreamingQueryListener):
-    """Calls ``emit(query_id, timestamp)`` whenever a query finds nothing to read."""
+class RunEvents(StreamingQueryListener):
+    """Tells ``emit`` of a query's run: ``(event, query id, details)`` for started, batch, idle and terminated.
 
-    def __init__(self, emit: Callable[[str, str], None]) -> None:
+    Batch details come from the query's own progress: batch id, rows read, milliseconds, and metrics observed on the stream.
+    """
+
+    def __init__(self, emit: Callable[[str, str, dict], None]) -> None:
         self.emit = emit
 
     def onQueryStarted(self, event) -> None:
-        pass
+        self.emit("started", str(event.id), {"at": event.timestamp})
 
     def onQueryProgress(self, event) -> None:
-        pass
+        progress = event.progress
+        observed = {n: r.asDict() for n, r in (progress.observedMetrics or {}).items()}
+        self.emit("batch", str(progress.id), {"batch_id": progress.batchId, "rows": progress.numInputRows, "ms": progress.batchDuration, "observed": observed})
 
     def onQueryIdle(self, event) -> None:
-        self.emit(str(event.id), event.timestamp)
+        self.emit("idle", str(event.id), {"at": event.timestamp})
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.emit("terminated", str(event.id), {"error": event.exception})
+
+
+class IdleEvents(RunEvents):
+    """Calls ``emit(query_id, timestamp)`` whenever a query finds nothing to read."""
+
+    def __init__(self, emit: Callable[[str, str], None]) -> None:
+        super().__init__(lambda kind, query, details: emit(query, details["at"]) if kind == "idle" else None)

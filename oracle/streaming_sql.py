@@ -20,6 +20,11 @@ placed AS (SELECT *, CASE WHEN again OR done THEN 'duplicates' WHEN failure IS N
     CASE WHEN again THEN 'handled_before' WHEN done THEN 'message_succeeded' ELSE coalesce(failure, 'accepted') END AS reason FROM judged)"""
 
 SQL = {
+    "stream_lifecycle": f"""WITH {_WAVES}, sized AS (SELECT wave::BIGINT AS batch_id, count(*) AS batch_size, count(*) FILTER (destination = 'metadata') AS successes,
+          count(*) FILTER (destination = 'failures') AS failures FROM placed WHERE top AND destination <> 'duplicates' GROUP BY wave),
+        total AS (SELECT sum(batch_size)::BIGINT AS n, sum(successes)::BIGINT AS good, sum(failures)::BIGINT AS bad FROM sized)
+        SELECT 'batch_processed' AS event_name, batch_id, batch_size, successes, failures FROM sized
+        UNION ALL SELECT 'completed', NULL, n, good, bad FROM total UNION ALL SELECT 'tables', NULL, n, good, bad FROM total""",
     "stream_redelivery": f"""WITH {_WAVES}
         SELECT destination, id AS message_id, reason, CASE WHEN destination <> 'metadata' THEN cnt END::INT AS receive_count, 1::BIGINT AS copies FROM placed WHERE top
         UNION ALL SELECT 'duplicates', id, 'repeated', cnt, n - 1 FROM placed WHERE top AND n > 1

@@ -1,6 +1,7 @@
 """Streams equal their batch counterparts and replays write nothing twice."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -97,6 +98,34 @@ def test_live_table_merges_late_and_replayed_parts(spark, tmp_path):
     assert sorted(tuple(r) for r in table.current().collect()) == want
 
 
+def test_run_events_come_from_progress(spark, tmp_path):
+    seen = []
+    listener = live.RunEvents(lambda kind, query, details: seen.append((kind, details)))
+    spark.streams.addListener(listener)
+    try:
+        _write(tmp_path / "in", "a.json", SENT)
+        rows = msg.stream_messages(spark, str(tmp_path / "in")).observe("sizes", F.count(F.lit(1)).alias("messages"))
+        query = live.LiveTable(spark, str(tmp_path / "t"), live.ATTEMPTS).start(rows, str(tmp_path / "cp"))
+        query.awaitTermination()
+        for _ in range(100):
+            if seen and seen[-1][0] == "terminated":
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    kinds = [k for k, _ in seen]
+    assert kinds[0] == "started" and kinds[-1] == "terminated" and seen[-1][1]["error"] is None
+    [batch] = [d for k, d in seen if k == "batch" and d["rows"]]
+    assert batch["batch_id"] == 0 and batch["rows"] == 5 and batch["observed"] == {"sizes": {"messages": 5}}
+
+
+def test_empty_batch_has_its_event(spark, tmp_path):
+    config = ingest.IngestConfig(str(tmp_path / "out"), str(tmp_path / "cp"))
+    ingest.process_batch(_deliveries(spark, [("a", "{}", 1, "2024-01-01 00:00:00")]).where("message_id = 'none'"), 0, config)
+    [row] = ingest.lifecycle(spark, config).collect()
+    assert (row.batch_size, row.successes, row.failures) == (0, 0, 0)
+
+
 def test_idle_listener_reports(spark):
     seen = []
     listener = live.IdleEvents(lambda query, at: seen.append((query, at)))
