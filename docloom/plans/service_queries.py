@@ -9,7 +9,9 @@ from docloom.functions.assembly import dense_ordinal
 from docloom.functions.records import format_wire_time
 from docloom.operators import results, review, telemetry
 from docloom.plans import staging
+from docloom.session import scratch_folder
 from docloom.sources import messages as msg
+from docloom.sources import reviews
 from docloom.streaming import deadletters
 
 NOW = "2024-02-01 00:00:00"
@@ -249,7 +251,7 @@ def review_candidates(spark, sf_dir):
 
 
 def review_scan(spark, sf_dir):
-    """Candidates from both kinds of source."""
+    """Candidates of two sources chosen by name: candidate files, of which only those to review are read, and payloads."""
     docs = staging.table(spark, sf_dir, "documents")
     doc = F.concat(F.lit("d-"), F.col("doc_id").cast("string"))
     rows = docs.select(
@@ -257,9 +259,13 @@ def review_scan(spark, sf_dir):
         F.lit(None).cast("timestamp").alias("created_at"), F.encode(F.to_json(F.struct("source")), "UTF-8").alias("canonical_document"),
         F.lit(None).cast("binary").alias("standardized_output"), F.lit("{}").alias("insights"),
     )
-    warehouse = review.candidates_from_rows(rows).drop("created_at")
+    base = scratch_folder(spark, "candidates")
+    reviews.write_candidates(rows, f"{base}/files")
+    warehouse = reviews.candidates(spark, "files", path=f"{base}/files").drop("created_at")
     payload = F.to_json(F.struct(doc.alias("document_id"), F.col("source").alias("job_id"), F.struct("lang").alias("insights"), F.when(F.col("lang") == "fr", "fraud_signal").alias("review_trigger")))
-    return warehouse.unionByName(review.candidates_from_payloads(docs.select(payload.alias("canonical_document"))).drop("canonical_document"), allowMissingColumns=True).select(
+    docs.select(payload.alias("canonical_document")).write.parquet(f"{base}/results")
+    stored = reviews.candidates(spark, "payloads", path=f"{base}/results").drop("canonical_document")
+    return warehouse.unionByName(stored, allowMissingColumns=True).select(
         "document_id", "job_id", "trigger", "standardized_output", "insights", F.get_json_object("canonical_document", "$.source").alias("source")
     )
 
