@@ -596,23 +596,28 @@ _MULTI = f"document_metadata string, parsers array<struct<name:string,payload:st
 _MERGED_ARRAYS = ("text_spans", "tables", "fields", "visual_descriptions", "page_segments", "attachments", "summaries")
 
 
+def _payload_key() -> Column:
+    """Tells the payloads of a table apart, several versions of one document too."""
+    return F.sha2(F.to_json(F.struct("document_id", "source_uri", "checksum", "payload", "metadata"), {"ignoreNullFields": "false"}), 256)
+
+
 def parser_entries(payloads: DataFrame) -> DataFrame:
-    """One row per parser of a combined payload, with the metadata its adapter sees."""
-    rows = payloads.withColumn("_p", F.from_json("payload", _MULTI))
+    """One row per parser of a combined payload, with the payload's key and the metadata its adapter sees."""
+    rows = payloads.withColumns({"_p": F.from_json("payload", _MULTI), "_payload_key": _payload_key()})
     rows = rows.withColumn("_shared", merge_maps(json_map(F.col("_p.document_metadata")), _caller_metadata()))
     exploded = rows.select(
-        "document_id", "source_uri", "checksum", F.col("_shared"),
+        "document_id", "source_uri", "checksum", "_payload_key", F.col("_shared"),
         F.posexplode("_p.parsers").alias("parser_ord", "_e"),
     )
     return exploded.select(
-        "document_id", "source_uri", "checksum", "parser_ord", F.col("_e.name").alias("parser_name"),
+        "document_id", "source_uri", "checksum", F.col("_payload_key").alias("payload_key"), "parser_ord", F.col("_e.name").alias("parser_name"),
         F.col("_e.payload").alias("payload"),
         F.to_json(merge_maps(F.col("_shared"), json_map(F.col("_e.metadata")))).alias("metadata"),
     )
 
 
 def merge_parsers(payloads: DataFrame, registry: dict[str, Adapter]) -> DataFrame:
-    """Several parsers' outputs for one document, concatenated in parser order.
+    """Several parsers' outputs for one document, concatenated in parser order; each payload by itself.
 
     Parser names outside ``registry`` end up in ``adapter_error``, as does an empty parser list.
     Enrichments of the parts are not carried over.
@@ -624,28 +629,28 @@ def merge_parsers(payloads: DataFrame, registry: dict[str, Adapter]) -> DataFram
     for name, run in registry.items():
         # the ordinal travels inside the id through the adapter
         mine = entries.where(F.col("parser_name") == name)
-        tagged = mine.withColumn("document_id", F.to_json(F.struct("document_id", "parser_ord", "parser_name")))
-        parts.append(run(tagged))
+        tagged = mine.withColumn("document_id", F.to_json(F.struct("payload_key", "parser_ord", "parser_name")))
+        parts.append(run(tagged.drop("payload_key")))
     adapted = reduce(DataFrame.unionByName, parts)
-    key = F.from_json("document_id", "document_id string, parser_ord int, parser_name string")
+    key = F.from_json("document_id", "payload_key string, parser_ord int, parser_name string")
     ordered = adapted.withColumn("_key", key).select(
-        F.col("_key.document_id").alias("document_id"),
+        F.col("_key.payload_key").alias("_payload_key"),
         F.struct(
             F.col("_key.parser_ord").alias("parser_ord"),
             F.coalesce(F.get_json_object("metadata", "$.provider"), F.col("_key.parser_name")).alias("provider"),
             "document_type", "mime_type", "adapter_error", *_MERGED_ARRAYS,
         ).alias("part"),
     )
-    # a document has as many parts as its payload lists parsers
-    merged = ordered.groupBy("document_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    rows = payloads.withColumn("_p", F.from_json("payload", _MULTI))
+    # a payload has as many parts as it lists parsers; a repeated row brings the same ones
+    merged = ordered.groupBy("_payload_key").agg(F.array_sort(F.collect_set("part")).alias("parts"))
+    rows = payloads.withColumns({"_p": F.from_json("payload", _MULTI), "_payload_key": _payload_key()})
     rows = rows.select(
-        "document_id", "source_uri", "checksum", "payload",
+        "document_id", "source_uri", "checksum", "payload", "_payload_key",
         merge_maps(json_map(F.col("_p.document_metadata")), _caller_metadata()).alias("_shared"),
         F.transform(F.coalesce("_p.parsers", F.array()), lambda e: e["name"]).alias("_names"),
         attachment_structs(F.col("_p.attachments"), require_id=True).alias("_extra"),
     )
-    joined = rows.join(merged, "document_id", "left")
+    joined = rows.join(merged, "_payload_key", "left")
 
     def concat_parts(name: str) -> Column:
         return F.flatten(F.transform("parts", lambda part: part[name]))

@@ -24,6 +24,10 @@ _ENTRY = (
 )
 
 
+# stands between id and checksum of a version while providers have it; no id holds it
+_MARK = "\u0001"
+
+
 @dataclass(frozen=True)
 class Provider:
     """A named provider: native (``DataFrame -> responses``) or a function over pandas batches.
@@ -149,9 +153,14 @@ def normalise_responses(responses: DataFrame, provider: str) -> DataFrame:
 def dispatch(documents: DataFrame, providers: Iterable[Provider], names: Iterable[str], order: str | None = None) -> DataFrame:
     """Enrichment rows of the named providers in request order; unknown names and unknown documents are dropped.
 
-    ``order`` names the column by which documents are put into request batches (see ``call_provider``).
+    ``order`` names the column by which documents are put into request batches (see ``call_provider``).  Where documents have
+    a ``checksum``, versions of one document are kept apart: providers see ids with the checksum behind a mark, and the rows
+    have both again.
     """
     known = {p.name: p for p in providers}
+    versions = "checksum" in documents.columns
+    if versions:
+        documents = documents.withColumn("document_id", F.concat("document_id", F.lit(_MARK), F.coalesce("checksum", F.lit(""))))
     found = []
     for rank, name in enumerate(names):
         if name in known:
@@ -160,19 +169,26 @@ def dispatch(documents: DataFrame, providers: Iterable[Provider], names: Iterabl
     if not found:
         raise ValueError("none of the requested providers is configured")
     rows = reduce(DataFrame.unionByName, found)
-    return rows.join(documents.select("document_id").distinct(), "document_id", "left_semi")
+    rows = rows.join(documents.select("document_id").distinct(), "document_id", "left_semi")
+    if versions:
+        parts = {"checksum": F.nullif(F.substring_index("document_id", _MARK, -1), F.lit("")), "document_id": F.substring_index("document_id", _MARK, 1)}
+        rows = rows.withColumns(parts)
+    return rows
 
 
 def merge_enrichments(documents: DataFrame, enrichments: DataFrame) -> DataFrame:
     """Documents with their enrichment array; documents without any get an empty one.
 
-    The array holds one entry per provider answer, a number the request fixes.
+    The array holds one entry per provider answer, a number the request fixes.  Versions of a document take their own
+    enrichments where these have a checksum.
     """
+    keys = ["document_id", "checksum"] if "checksum" in enrichments.columns and "checksum" in documents.columns else ["document_id"]
     columns = [c.split(":")[0] for c in schemas.ENRICHMENT[len("struct<"):-1].split(",")]
-    listed = enrichments.groupBy("document_id").agg(
+    listed = enrichments.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("ord", F.struct(*columns).alias("v")))).alias("_listed")
-    )
-    joined = documents.join(listed, "document_id", "left")
+    ).withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    joined = documents.join(listed, same, "left").drop(*[f"_{k}" for k in keys])
     made = F.transform(F.coalesce("_listed", F.array()), lambda x: x["v"])
     existing = F.col("enrichments") if "enrichments" in documents.columns else F.array()
     return joined.withColumn("enrichments", F.concat(existing, made)).drop("_listed")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import schemas
-from docloom.functions.assembly import ordered_array
+from docloom.functions.assembly import ordered_array, row_positions
 from docloom.functions.text import blank_to_null
 
 DEFAULT_TRIGGER = schemas.REVIEW_TRIGGERS[0]
@@ -139,8 +139,12 @@ def facets(reviews: DataFrame) -> DataFrame:
 
 
 def comments_in_order(reviews: DataFrame, comments: DataFrame) -> DataFrame:
-    """Reviews with their comments by time; ``position`` is the comment's integer time rank or epoch."""
-    listed = ordered_array(comments, KEY, "position", F.struct("author", "comment"), "comments", chunk=1 << 20)
+    """Reviews with their comments by ``position``, a time or any other order; ties by author and text.
+
+    Comments are numbered first, so that a review with most of them is put together in pieces of 1024.
+    """
+    numbered = row_positions(comments.select(*KEY, "position", "author", "comment"), ["position"], "_place", KEY, ["author", "comment"])
+    listed = ordered_array(numbered, KEY, "_place", F.struct("author", "comment"), "comments")
     return reviews.join(listed, KEY, "left").withColumn("comments", F.coalesce("comments", F.array()))
 
 

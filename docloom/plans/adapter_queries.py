@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import adapters, canonical, denorm, parts, summaries
 from docloom.plans import staging
+from docloom.session import scratch_folder
 
 
 def _inputs(spark, sf_dir, payload: Column, metadata: Column) -> DataFrame:
@@ -176,10 +177,12 @@ def reassembled_documents(spark, sf_dir):
 
 
 def process_documents(spark, sf_dir):
-    """Adapter, heuristic summary and denormalised block and insight counts of every text in one plan."""
+    """Adapter, heuristic summary and denormalised block and insight counts of every text in one go."""
     documents, _ = adapters.split_errors(_analyzed(spark, sf_dir))
-    # read several times below; a long-running job writes this table instead (see ``workflow.process``)
-    documents = summaries.add_summaries(documents).persist()
+    # read several times below
+    path = scratch_folder(spark, "documents")
+    summaries.add_summaries(documents).write.parquet(path)
+    documents = spark.read.parquet(path)
     tree = parts.root_parts(documents)
     tables = denorm.tables_of(documents, tree)
     rows = denorm.blocks(tables).select("bundle_id", "block_type").unionByName(

@@ -9,6 +9,7 @@ from docloom.config import RoutingConfig
 from docloom.functions import binary, text
 from docloom.operators import content_routing, enrichment, layout, store, summaries
 from docloom.plans import staging
+from docloom.session import scratch_folder
 from docloom.sources import content, formats
 from docloom.sources import messages as msg
 
@@ -105,6 +106,19 @@ def _emails(spark, sf_dir) -> DataFrame:
     )
 
 
+def file_content(spark, sf_dir):
+    """All texts of a source as one file each, read back as bytes and attached to the documents that name them."""
+    folder = scratch_folder(spark, "files")
+    docs = staging.table(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    docs.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text").write.partitionBy("source").text(folder)
+    files = content.read_files(spark, folder, "*.txt")
+    named = files.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), F.col("path").alias("source_uri"))
+    asked = docs.groupBy("source").agg(F.count(F.lit(1)).alias("documents")).join(named, "source")
+    missing = asked.select("source", "documents", F.concat("source_uri", F.lit(".none")).alias("source_uri"))
+    found = content.attach_content(asked.unionByName(missing), files)
+    return found.select("source", "documents", F.length("content").cast("long").alias("size"), binary.checksum("content").alias("checksum"))
+
+
 def email_documents(spark, sf_dir):
     rows = formats.email_documents(_emails(spark, sf_dir))
     return rows.withColumn("attachment_names", F.array_join("attachment_names", ","))
@@ -338,7 +352,7 @@ def skipped_documents(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        text_documents, format_dispatch, mime_sniff, inline_payloads, csv_documents, csv_headers, email_documents, email_parts,
+        text_documents, format_dispatch, mime_sniff, inline_payloads, csv_documents, csv_headers, file_content, email_documents, email_parts,
         email_layout, route_content, html_layout, html_text, text_part_metrics, page_block_metrics, heuristic_summary, summary_input,
         model_summary, keyword_enrichment, keyword_insights, enrichment_batches, enrichment_merge, enrichment_normalise,
         idempotent_append, idempotent_force, skipped_documents,

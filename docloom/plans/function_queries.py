@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.functions import binary, numbers, records, text
+from docloom.operators import routing
 from docloom.plans import staging
+from docloom.sources import overrides
 
 
 def fn_whitespace(spark, sf_dir):
@@ -136,8 +138,13 @@ def fn_utf8(spark, sf_dir):
 
 
 def fn_key_match(spark, sf_dir):
+    """Which of two patterns is found in a key, each as the one rule of a table."""
     keys = staging.document_keys(spark, sf_dir)
-    return keys.select("source_path", F.col("source_path").rlike("(?i)URGENT/1").alias("first"), F.col("source_path").rlike("[02468][.]pdf$").alias("second"))
+    for name, pattern in (("first", "(?i)URGENT/1"), ("second", "[02468][.]pdf$")):
+        rule = spark.createDataFrame([(0, pattern, "s")], "position long, pattern string, strategy string")
+        matched = routing.match_rules(keys, overrides.layer_rules(overrides.rules_from_table(rule)))
+        keys = matched.withColumn(name, F.col("_rule").isNotNull()).drop("_rule")
+    return keys.select("source_path", "first", "second")
 
 
 def fn_block_ids(spark, sf_dir):

@@ -114,6 +114,15 @@ def describe(messages: DataFrame, flag: str = "parser_override") -> DataFrame:
     ).drop("_inline", "_declared")
 
 
+def with_job_ids(requests: DataFrame) -> DataFrame:
+    """Requests with a random ``job_id`` where they have none.
+
+    Write the result before it is used twice: ids are drawn anew whenever a row is computed again.
+    """
+    own = blank_to_null("job_id") if "job_id" in requests.columns else F.lit(None).cast("string")
+    return requests.withColumn("job_id", F.coalesce(own, F.uuid()))
+
+
 def job_message(requests: DataFrame) -> DataFrame:
     """Submitted jobs as queue messages; empty optional keys are left out of the body."""
     body = F.to_json(

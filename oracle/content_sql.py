@@ -67,6 +67,8 @@ SQL = {
         SELECT document_id, 0 AS row_index, 0 AS column_index, 'id' AS content FROM d UNION ALL SELECT document_id, 0, 1, 'text, whole' FROM d
         UNION ALL SELECT document_id, 1, 0, CAST(doc_id AS VARCHAR) FROM d UNION ALL SELECT document_id, 1, 1, text FROM d""",
     "csv_headers": "SELECT 'd-' || doc_id AS document_id, 'id, text, whole' AS paragraph, 2::BIGINT AS row_count FROM documents",
+    "file_content": """WITH s AS (SELECT source, count(*) AS documents, string_agg(text || chr(10), '' ORDER BY doc_id) AS whole FROM documents GROUP BY source)
+        SELECT source, documents, strlen(whole)::BIGINT AS size, sha256(whole) AS checksum FROM s UNION ALL SELECT source, documents, NULL, NULL FROM s""",
     "email_documents": f"""WITH {_MAIL} SELECT document_id, text AS body, 'Turn ' || name AS subject, role || '@example.com' AS sender,
         'desk@example.com' AS recipient, 'turn.txt' AS attachment_names FROM mail""",
     "email_parts": f"""WITH {_MAIL} SELECT document_id, 'turn.txt' AS file_name, 'text/plain' AS mime_type, sha256(text) AS checksum,
