@@ -11,6 +11,9 @@ with l = ``MEETINGS`` or as many as a short entry can.  Length filter: sizes dif
 in either entry bounds the overlap from above.  What passes is verified on the whole token sets, fetched for the lines
 concerned only.  A line goes when an earlier line, by doc_id and place, whether itself kept or not, has a similar set.
 
+A line needs one earlier similar line only.  So each entry first meets the earliest holder of each of its pairs, a row per
+pair; in a group of near copies that takes out all but the first.  Entries still in question then meet all earlier holders.
+
 Lines of fewer than ``JOINED`` distinct words are similar to equal sets only, so the pair join leaves them out.
 
 Defined cases: blank lines always stay; a null text stays null; rows of equal doc_id are
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,31 +110,49 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # one line of each entry: those that no bit marks as a repetition, and of the marked ones the first
     repeated = bitmaps.concerned(lines, again, ["doc_id", "line_no"]).join(firsts, "entry").where(own).dropDuplicates(["entry"])
     single = bitmaps.others(lines, again, ["doc_id", "line_no"]).select("entry", "n", "prefix").union(repeated.select("entry", "n", "prefix"))
-    # written, so that both sides of the join read the same table and share its one shuffle
-    single = save(single, "single")
-    pairs_of = single.select("entry", "n", F.posexplode("prefix").alias("at", "pair"))
-    left = pairs_of.select("pair", F.col("entry").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    right = pairs_of.select("pair", F.col("entry").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
-    close = (F.col("na") * 100 >= F.col("nb") * PERCENT) & (F.col("nb") * 100 >= F.col("na") * PERCENT)
-    bound = F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    placed = bound * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT
-    met = left.join(right, "pair").where((F.col("a") < F.col("b")) & close & placed)
+    single = save(single.join(firsts, "entry"), "single")
+    # keys held by several entries, with the earliest of them; one shuffle by key serves the minima and the rows
+    rows = single.select("entry", "n", "first", F.posexplode("prefix").alias("at", "pair")).repartition("pair")
+    holder = F.struct("first", "entry", "n", "at")
+    earliest = rows.groupBy("pair").agg(F.min(holder).alias("rep"), F.count(F.lit(1)).alias("holders")).where("holders > 1").drop("holders")
+    shared = save(rows.join(earliest, "pair"), "shared")
+
+    def may_match(na: str, ia: str, nb: str, ib: str) -> Column:
+        na, ia, nb, ib = (F.col(c) for c in (na, ia, nb, ib))
+        close = (na * 100 >= nb * PERCENT) & (nb * 100 >= na * PERCENT)
+        bound = F.least(ia, ib) + F.least(na - ia, nb - ib)
+        return close & (bound * (100 + PERCENT) >= (na + nb) * PERCENT)
+
+    # first round: every entry against the earliest holder of each of its keys
+    near = shared.where((F.col("entry") != F.col("rep.entry")) & may_match("n", "at", "rep.n", "rep.at"))
+    tried = save(near.select(F.col("entry").alias("a"), F.col("rep.entry").alias("b")).distinct(), "tried")
+    late = save(_verified(tried, firsts, docs, keys, save, "first"), "late")
+
+    # second round: what no earliest holder took out, against every earlier holder
+    marked = bitmaps.marked(shared.select("pair", "entry", "n", "at", "first"), late, ["entry"])
+    open_ = marked.where("not _hit").unionByName(marked.where("_hit").join(late, "entry", "left_anti").select(*marked.columns)).drop("_hit")
+    left = open_.select("pair", F.col("entry").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("first").alias("fa"))
+    right = shared.select("pair", F.col("entry").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("first").alias("fb"))
+    met = left.join(right, "pair").where((F.col("fb") < F.col("fa")) & may_match("na", "ia", "nb", "ib"))
     times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.min(F.least(_meetings("na"), _meetings("nb"))).alias("wanted"))
-    pairs = save(times.where("times >= wanted").select("a", "b"), "pairs")
+    pairs = save(times.where("times >= wanted").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    late = late.union(_verified(pairs, firsts, docs, keys, save, "second")).distinct()
+    gone = late.join(firsts, "entry").select("first.doc_id", "first.line_no")
+    return save(again.union(gone).distinct(), "removed")
 
-    # whole token sets of the first lines of these entries
+
+def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, keys: Column, save: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+    """The entries ``a`` of pairs (a, b) of similar token sets, each once; b is the earlier one."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct().join(firsts, "entry").select("entry", "first.doc_id", "first.line_no")
-    asked = save(asked, "asked")
+    asked = save(asked, f"asked-{name}")
+    # whole token sets of the first lines of these entries
     texts = bitmaps.concerned(_lines(docs), asked, ["doc_id", "line_no"])
     sets = texts.join(asked.withColumnsRenamed({"doc_id": "d", "line_no": "l"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
-    sets = save(sets.select("entry", "d", "l", keys).where(F.xxhash64("keys") == F.col("entry")).dropDuplicates(["entry"]), "sets")
-    one, two = (sets.select(F.col("entry").alias(x), F.struct("d", "l").alias(f"at_{x}"), F.col("keys").alias(f"keys_{x}")) for x in ("a", "b"))
+    sets = save(sets.select("entry", keys).where(F.xxhash64("keys") == F.col("entry")).dropDuplicates(["entry"]), f"sets-{name}")
+    one, two = (sets.select(F.col("entry").alias(x), F.col("keys").alias(f"keys_{x}")) for x in ("a", "b"))
     both = F.size(F.array_intersect("keys_a", "keys_b"))
     alike = both * (100 + PERCENT) >= (F.size("keys_a") + F.size("keys_b")) * PERCENT
-    verified = pairs.join(one, "a").join(two, "b").where(alike)
-    late = verified.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("entry")).distinct()
-    gone = late.join(firsts, "entry").select("first.doc_id", "first.line_no")
-    return save(again.union(gone).distinct(), "removed")
+    return pairs.join(one, "a").join(two, "b").where(alike).select(F.col("a").alias("entry")).distinct()
 
 
 def dedup(docs: DataFrame) -> DataFrame:
