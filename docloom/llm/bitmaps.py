@@ -12,25 +12,36 @@ from pyspark.sql import functions as F
 MAPS = 256
 
 
-def marked(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with ``_hit``: false only where no row of ``wanted`` has the same keys."""
+def unused(columns: list[str], name: str) -> str:
+    """A column name that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def marked(rows: DataFrame, wanted: DataFrame, keys: list[str], hit: str = "_hit") -> DataFrame:
+    """``rows`` with ``hit``, a name they do not have: false only where no row of ``wanted`` has the same keys."""
     number = F.pmod(F.xxhash64(*keys), F.lit(MAPS * 32768))
-    which = (F.col("_n") / 32768).cast("int").alias("_map")
-    bits = wanted.select(number.alias("_n")).groupBy(which).agg(F.bitmap_construct_agg(F.col("_n") % 32768).alias("_bits"))
-    joined = rows.withColumn("_n", number).withColumn("_map", which).join(F.broadcast(bits), "_map", "left")
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_n % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    hit = F.call_function("shiftright", byte, F.expr("cast(_n % 8 as int)")).bitwiseAND(F.lit(1)) == 1
-    return joined.withColumn("_hit", F.coalesce(hit, F.lit(False))).drop("_n", "_map", "_bits")
+    bits = wanted.select(number.alias("n")).groupBy((F.col("n") / 32768).cast("int").alias("map")).agg(F.bitmap_construct_agg(F.col("n") % 32768).alias("bits"))
+    # the row travels as one value, so its columns may have any names
+    carried = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), number.alias("number"))
+    joined = carried.join(F.broadcast(bits), (F.col("number") / 32768).cast("int") == F.col("map"), "left")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(number % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, F.expr("cast(number % 8 as int)")).bitwiseAND(F.lit(1)) == 1
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in rows.columns], F.coalesce(bit, F.lit(False)).alias(hit))
 
 
 def concerned(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose keys are in ``wanted``, and a few more."""
-    return marked(rows, wanted, keys).where("_hit").drop("_hit")
+    hit = unused(rows.columns, "_hit")
+    return marked(rows, wanted, keys, hit).where(F.col(hit)).drop(hit)
 
 
 def others(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """The rows that ``concerned`` leaves."""
-    return marked(rows, wanted, keys).where("not _hit").drop("_hit")
+    hit = unused(rows.columns, "_hit")
+    return marked(rows, wanted, keys, hit).where(~F.col(hit)).drop(hit)
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:

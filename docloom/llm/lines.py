@@ -11,14 +11,15 @@ with l = ``MEETINGS`` or as many as a short entry can.  Length filter: sizes dif
 in either entry bounds the overlap from above.  What passes is verified on the whole token sets, fetched for the lines
 concerned only.  A line goes when an earlier line, by doc_id and place, whether itself kept or not, has a similar set.
 
-A line needs one earlier similar line only.  So each entry first meets the earliest holder of each of its pairs, a row per
-pair; in a group of near copies that takes out all but the first.  Entries still in question then meet all earlier holders.
+A line needs one earlier similar line only, so groups of near copies need not meet pair by pair.  Each entry is first compared
+with the earliest that shares the least or greatest of two hashes of its tokens, a row for each of the four; that takes out
+all but a few of a group.  In the pair join, entries so taken out meet only those that are still in question.
 
 Lines of fewer than ``JOINED`` distinct words are similar to equal sets only, so the pair join leaves them out.
 
 Defined cases: blank lines always stay; a null text stays null; rows of equal doc_id are
 one document whose lines stand or go by their place; a null doc_id comes first; a document all of whose lines go keeps an
-empty text; other columns are kept.
+empty text; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -79,8 +80,8 @@ def _broken(n: Column) -> Column:
     return F.floor(n * (2 * (100 - PERCENT)) / 100).cast("int")
 
 
-def _meetings(size: str) -> Column:
-    return F.least(F.lit(MEETINGS), F.col(size) - 1 - _broken(F.col(size)))
+def _meetings(size: Column) -> Column:
+    return F.least(F.lit(MEETINGS), size - 1 - _broken(size))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -102,68 +103,100 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     # a sequence down from 0 would not be empty
     places = F.when(n >= JOINED, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     neighbours = F.transform(places, lambda i: F.hash(F.get("keys", i), F.get("keys", i + 1)))
-    lines = save(entry.select("doc_id", "line_no", F.xxhash64("keys").alias("entry"), n.alias("n"), neighbours.alias("prefix")), "lines")
+    lines = entry.select("doc_id", "line_no", F.xxhash64("keys").alias("entry"), n.alias("n"), neighbours.alias("prefix"), F.when(n >= JOINED, _sketch("keys")).alias("sketch"))
+    lines = save(lines, "lines")
 
     firsts = save(lines.groupBy("entry").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "firsts")
     own = F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
     again = save(lines.select("doc_id", "line_no", "entry").join(firsts, "entry").where(~own).select("doc_id", "line_no"), "again")
     # one line of each entry: those that no bit marks as a repetition, and of the marked ones the first
     repeated = bitmaps.concerned(lines, again, ["doc_id", "line_no"]).join(firsts, "entry").where(own).dropDuplicates(["entry"])
-    single = bitmaps.others(lines, again, ["doc_id", "line_no"]).select("entry", "n", "prefix").union(repeated.select("entry", "n", "prefix"))
-    single = save(single.join(firsts, "entry"), "single")
-    # keys held by several entries, with the earliest of them; one shuffle by key serves the minima and the rows
-    rows = single.select("entry", "n", "first", F.posexplode("prefix").alias("at", "pair")).repartition("pair")
-    holder = F.struct("first", "entry", "n", "at")
-    earliest = rows.groupBy("pair").agg(F.min(holder).alias("rep"), F.count(F.lit(1)).alias("holders")).where("holders > 1").drop("holders")
-    shared = save(rows.join(earliest, "pair"), "shared")
-
-    def may_match(na: str, ia: str, nb: str, ib: str) -> Column:
-        na, ia, nb, ib = (F.col(c) for c in (na, ia, nb, ib))
-        close = (na * 100 >= nb * PERCENT) & (nb * 100 >= na * PERCENT)
-        bound = F.least(ia, ib) + F.least(na - ia, nb - ib)
-        return close & (bound * (100 + PERCENT) >= (na + nb) * PERCENT)
-
-    # first round: every entry against the earliest holder of each of its keys
-    near = shared.where((F.col("entry") != F.col("rep.entry")) & may_match("n", "at", "rep.n", "rep.at"))
+    first_of = ["entry", "n", "prefix", "sketch", "doc_id", "line_no"]
+    single = bitmaps.others(lines, again, ["doc_id", "line_no"]).select(*first_of).union(repeated.select(*first_of))
+
+    # first round: entries against the earliest with the same least or greatest token hash
+    drawn = single.select("entry", "n", F.struct("doc_id", "line_no").alias("first"), F.posexplode("sketch").alias("which", "value"))
+    earliest = drawn.groupBy("which", "value").agg(F.min(F.struct("first", "entry", "n")).alias("rep"), F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    near = drawn.join(earliest, ["which", "value"]).where((F.col("entry") != F.col("rep.entry")) & _close(F.col("n"), F.col("rep.n")))
     tried = save(near.select(F.col("entry").alias("a"), F.col("rep.entry").alias("b")).distinct(), "tried")
-    late = save(_verified(tried, firsts, docs, keys, save, "first"), "late")
-
-    # second round: what no earliest holder took out, against every earlier holder
-    marked = bitmaps.marked(shared.select("pair", "entry", "n", "at", "first"), late, ["entry"])
-    open_ = marked.where("not _hit").unionByName(marked.where("_hit").join(late, "entry", "left_anti").select(*marked.columns)).drop("_hit")
-    left = open_.select("pair", F.col("entry").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("first").alias("fa"))
-    right = shared.select("pair", F.col("entry").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("first").alias("fb"))
-    met = left.join(right, "pair").where((F.col("fb") < F.col("fa")) & may_match("na", "ia", "nb", "ib"))
-    times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.min(F.least(_meetings("na"), _meetings("nb"))).alias("wanted"))
-    pairs = save(times.where("times >= wanted").select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
-    late = late.union(_verified(pairs, firsts, docs, keys, save, "second")).distinct()
+    late = save(_later(_verified(tried, firsts, docs, keys, save, "first")), "late")
+
+    # second round: entries still in question against all others
+    marked = bitmaps.marked(single.select("entry", "n", "prefix"), late, ["entry"], "hit")
+    surely = marked.where("not hit").withColumn("open", F.lit(1))
+    perhaps = marked.where("hit").join(late.withColumn("gone", F.lit(0)), "entry", "left").withColumn("open", F.coalesce("gone", F.lit(1))).drop("gone")
+    # written, so that both sides of the join read the same table and share its one shuffle
+    single = save(surely.select("entry", "n", "prefix", "open").union(perhaps.select("entry", "n", "prefix", "open")), "single")
+    # size, place and state in one number
+    info = (F.col("n").cast("bigint") * (1 << 32)) + F.col("at") * 2 + F.col("open")
+    pairs_of = single.select("entry", "n", "open", F.posexplode("prefix").alias("at", "pair")).select("pair", "entry", info.alias("info"))
+    left = pairs_of.select("pair", F.col("entry").alias("a"), F.col("info").alias("xa"))
+    right = pairs_of.select("pair", F.col("entry").alias("b"), F.col("info").alias("xb"))
+    xa, xb = F.col("xa"), F.col("xb")
+    bound = F.least(_place(xa), _place(xb)) + F.least(_size(xa) - _place(xa), _size(xb) - _place(xb))
+    placed = bound * (100 + PERCENT) >= (_size(xa) + _size(xb)) * PERCENT
+    met = left.join(right, "pair").where((F.col("a") < F.col("b")) & (_open(xa) + _open(xb) > 0) & _close(_size(xa), _size(xb)) & placed)
+    times = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.min(F.least(_meetings(_size(xa)), _meetings(_size(xb)))).alias("wanted"))
+    pairs = save(times.where("times >= wanted").select("a", "b"), "pairs")
+    late = late.union(_later(_verified(pairs, firsts, docs, keys, save, "second"))).distinct()
     gone = late.join(firsts, "entry").select("first.doc_id", "first.line_no")
     return save(again.union(gone).distinct(), "removed")
 
 
+def _sketch(keys: str) -> Column:
+    """Least and greatest of two hashes of the tokens: similar sets mostly share one of the four."""
+    plain = F.transform(keys, lambda k: k.bitwiseAND(F.lit((1 << 56) - 1)))
+    other = F.transform(keys, lambda k: F.hash(k))
+    return F.array(F.array_min(plain), F.array_max(plain), F.array_min(other).cast("bigint"), F.array_max(other).cast("bigint"))
+
+
+def _size(info: Column) -> Column:
+    return F.shiftright(info, 32)
+
+
+def _place(info: Column) -> Column:
+    return F.shiftright(info.bitwiseAND(F.lit((1 << 32) - 1)), 1)
+
+
+def _open(info: Column) -> Column:
+    return info.bitwiseAND(F.lit(1))
+
+
+def _close(na: Column, nb: Column) -> Column:
+    return (na * 100 >= nb * PERCENT) & (nb * 100 >= na * PERCENT)
+
+
 def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, keys: Column, save: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
-    """The entries ``a`` of pairs (a, b) of similar token sets, each once; b is the earlier one."""
+    """The pairs (a, b) of similar token sets, with the places of their first lines."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("entry")).distinct().join(firsts, "entry").select("entry", "first.doc_id", "first.line_no")
     asked = save(asked, f"asked-{name}")
     # whole token sets of the first lines of these entries
     texts = bitmaps.concerned(_lines(docs), asked, ["doc_id", "line_no"])
     sets = texts.join(asked.withColumnsRenamed({"doc_id": "d", "line_no": "l"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("line_no") == F.col("l")))
-    sets = save(sets.select("entry", keys).where(F.xxhash64("keys") == F.col("entry")).dropDuplicates(["entry"]), f"sets-{name}")
-    one, two = (sets.select(F.col("entry").alias(x), F.col("keys").alias(f"keys_{x}")) for x in ("a", "b"))
+    sets = save(sets.select("entry", "d", "l", keys).where(F.xxhash64("keys") == F.col("entry")).dropDuplicates(["entry"]), f"sets-{name}")
+    one, two = (sets.select(F.col("entry").alias(x), F.struct("d", "l").alias(f"at_{x}"), F.col("keys").alias(f"keys_{x}")) for x in ("a", "b"))
     both = F.size(F.array_intersect("keys_a", "keys_b"))
     alike = both * (100 + PERCENT) >= (F.size("keys_a") + F.size("keys_b")) * PERCENT
-    return pairs.join(one, "a").join(two, "b").where(alike).select(F.col("a").alias("entry")).distinct()
-
-
-def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with similar later lines taken out of ``text``, and the counts _lines and _removed, and _gone, their places."""
-    gone = removed_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("_gone")).withColumnRenamed("doc_id", "_doc")
-    cut = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(cut, i)), "\n"))
-    none = F.lit(None).cast("array<int>")
-    touched = bitmaps.concerned(docs, gone.select(F.col("_doc").alias("doc_id")), ["doc_id"]).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
-    clear = bitmaps.others(docs, gone.select(F.col("_doc").alias("doc_id")), ["doc_id"]).withColumn("_gone", none)
-    every = clear.unionByName(touched)
-    every = every.withColumn("_lines", F.coalesce(F.size(cut), F.lit(0))).withColumn("_removed", F.coalesce(F.size("_gone"), F.lit(0)))
-    return every.withColumn("text", text)
+    return pairs.join(one, "a").join(two, "b").where(alike).select("a", "b", "at_a", "at_b")
+
+
+def _later(pairs: DataFrame) -> DataFrame:
+    """The later entry of each pair, once."""
+    return pairs.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("entry")).distinct()
+
+
+def dedup(docs: DataFrame, names: tuple[str, str, str] = ("_lines", "_removed", "_gone")) -> DataFrame:
+    """``docs`` with similar later lines taken out of ``text``; ``names`` are the columns of the counts of lines and of those
+    removed, and of the removed places.  They take the place of columns so named; all others are kept."""
+    lines_, removed, places = names
+    docs = docs.drop(*names)
+    key, gone_ = bitmaps.unused([*docs.columns, *names], "_doc"), bitmaps.unused([*docs.columns, *names], "_places")
+    gone = removed_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias(gone_)).withColumnRenamed("doc_id", key)
+    cut, at = F.split("text", "\n"), F.col(gone_)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), at)
+    text = F.when(at.isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(cut, i)), "\n"))
+    wanted = gone.select(F.col(key).alias("doc_id"))
+    touched = bitmaps.concerned(docs, wanted, ["doc_id"]).join(gone, F.col("doc_id").eqNullSafe(F.col(key)), "left").drop(key)
+    clear = bitmaps.others(docs, wanted, ["doc_id"]).withColumn(gone_, F.lit(None).cast("array<int>"))
+    every = clear.unionByName(touched).withColumn(lines_, F.coalesce(F.size(cut), F.lit(0))).withColumn(removed, F.coalesce(F.size(at), F.lit(0)))
+    return every.withColumn("text", text).withColumnRenamed(gone_, places)

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from docloom.llm import lines
 from tests.llm.helpers import documents, words_of
 
@@ -79,3 +81,27 @@ def test_short_lines_and_scripts_without_spaces(spark):
 def test_short_lines_equal_brute_force(spark):
     r = random.Random(9)
     check(spark, [(d, "\n".join(" ".join(r.choice("abcdefgh") for _ in range(r.randrange(7))) for _ in range(6))) for d in range(40)])
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(1, "one two three four five six\nother"), (2, "one two three four five six"), (None, None)]
+    frame = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    names = ["_n", "_map", "_hit", "_hit_", "_bits", "_doc", "_places", "row", "number", "entry", "keys", "a.b"]
+    for name in names:
+        frame = frame.withColumn(name, F.lit(name))
+    got = lines.dedup(frame.withColumn("_gone", F.lit("x")), ("_lines", "cut", "_gone")).collect()
+    assert len(got) == 3 and all(r[name] == name for r in got for name in names)
+    assert {r["doc_id"]: r["cut"] for r in got} == {1: 0, 2: 1, None: 0}
+    assert [r["_gone"] for r in got if r["doc_id"] == 2] == [[0]]
+
+
+def test_group_of_near_copies(spark):
+    r = random.Random(9)
+    base = words_of(1, 40)
+    rows = []
+    for d in range(150):
+        own = list(base)
+        for _ in range(r.randrange(9)):
+            own[r.randrange(40)] = f"w{r.randrange(400)}"
+        rows.append((d, " ".join(own)))
+    check(spark, rows)
