@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import arrays, words
+from . import arrays, bitmaps, words
 
 _END = np.uint64(0x1F83D9ABFB41BD6B)
 _START = np.uint64(0x5BE0CD19137E2179)
@@ -277,11 +277,15 @@ def _scorer(model: Model):
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Append n_tokens, n_known, train_tokens, base_score, score (log10 probabilities) and perplexity."""
-    scored = docs.withColumn("_lm", _scorer(model)(F.coalesce(F.col(text), F.lit(""))))
+    """Append n_tokens, n_known, train_tokens, base_score, score (log10 probabilities) and perplexity.
+
+    Columns of those names are replaced; all others are kept.
+    """
+    held = bitmaps.unused(docs.columns, "_lm")
+    scored = docs.withColumn(held, _scorer(model)(F.coalesce(F.col(text), F.lit(""))))
     for name in ("n_tokens", "n_known", "base_score", "score"):
-        scored = scored.withColumn(name, F.col(f"_lm.{name}"))
-    scored = scored.drop("_lm").withColumn("train_tokens", F.lit(model.figures["tokens"]).cast("bigint"))
+        scored = scored.withColumn(name, F.col(held)[name])
+    scored = scored.drop(held).withColumn("train_tokens", F.lit(model.figures["tokens"]).cast("bigint"))
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 

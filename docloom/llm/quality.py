@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import words
+from . import bitmaps, words
 
 NAMES = (
     "words", "capitals", "digits", "symbols", "bars", "exclamations", "adjacent", "distinct", "pairs", "word_length", "word_spread", "stops", "commas", "lines", "marked_words",
@@ -221,9 +221,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Fit on the rows of ``docs`` that ``labels`` covers; only statistics are joined, never texts."""
-    stats = add_statistics(docs.select(F.col(key).alias("k"), F.col(text).alias("text"))).drop("text")
+    """Fit on the rows of ``docs`` that ``labels`` covers; only statistics are joined, never texts.
+
+    A bitmap of the labelled keys keeps the statistics of all other texts from being worked out.
+    """
     marked = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("label"))
+    texts = bitmaps.concerned(docs.select(F.col(key).alias("k"), F.col(text).alias("text")), marked, ["k"])
+    stats = add_statistics(texts).drop("text")
     rows = marked.join(stats, "k").select("label", "statistics").persist()
     model = fit(rows)
     rows.unpersist()

@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import arrays, lm, quality
 from tests.llm.helpers import ascii_words, documents, words_of
@@ -107,3 +108,14 @@ def test_quality_defined_cases(spark):
     rows = quality.score(docs.withColumnRenamed("lang", "statistics"), quality.train(docs, both)).collect()
     assert len(rows) == 4 and all(0 <= r["score"] <= 1 for r in rows)
     assert quality.score(documents(spark, []), quality.train(docs, both)).count() == 0
+
+
+def test_scores_keep_columns_of_any_name(spark):
+    docs = documents(spark, corpus())
+    for name in ("_lm", "_lm_", "k", "statistics", "label"):
+        docs = docs.withColumn(name, F.lit(name))
+    scored = lm.score(docs, lm.train(docs))
+    assert all(r["_lm"] == "_lm" and r["_lm_"] == "_lm_" for r in scored.collect())
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id bigint, quality int")
+    rows = quality.score(docs, quality.train(docs, labels)).collect()
+    assert len(rows) == 9 and all(r["k"] == "k" and r["label"] == "label" for r in rows)
