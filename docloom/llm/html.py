@@ -52,6 +52,10 @@ SMALL, LOWER = 0.3, 0.3
 _TEXTUAL = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption caption".split())
 _HEADER = frozenset(("header", "masthead"))
 _token = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
+#: The same without regard to quotes: a tag ends at the first >.
+_loose = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
+#: Tags of a page whose quotes never close; behind them quotes count for nothing, or every tag would be read to the end of the page.
+UNCLOSED = 100
 _named = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _piece = re.compile("[a-z]+")
 
@@ -127,25 +131,36 @@ def _read(html: str, passed: dict[int, bool], hints: list[list[int]]) -> list[tu
             if not stack[-1][4]:
                 out.append(("/" + (other or name), 0, None, name not in INLINE, other is not None or skipped, stack[-1][5]))
 
+    # behind the last > only a comment can begin
+    last, unclosed = html.rfind(">"), 0
     while at < size:
-        start = html.find("<", at)
-        found = _token.match(html, start) if start >= 0 else None
-        while start >= 0 and found is None:
+        start, found = html.find("<", at), None
+        while start >= 0:
+            if start < last:
+                found = (_token if unclosed < UNCLOSED else _loose).match(html, start)
+            elif html.startswith("<!--", start):
+                found = _loose.match(html, start)
+            else:
+                start = html.find("<!--", start)
+                continue
+            if found is not None:
+                break
             start = html.find("<", start + 1)
-            found = _token.match(html, start) if start >= 0 else None
         if start < 0:
             say(html[at:])
             break
         if start > at:
             say(html[at:start])
         at = found.end()
-        name = (found[2] or found[5] or "").lower()
+        slash, name, attributes = found.groups()[-3:] if found[2] is None else found.groups()[:3]
+        unclosed += found[2] is None and name is not None
+        name = (name or "").lower()
         if not name:
             if found[0] == "<!--":
                 end = html.find("-->", at)
                 at = size if end < 0 else end + 3
             continue
-        if found[1] or found[4]:
+        if slash:
             if open_names[name] > 0:
                 depth = len(stack) - 1
                 while stack[depth][0] != name:
@@ -154,7 +169,6 @@ def _read(html: str, passed: dict[int, bool], hints: list[list[int]]) -> list[tu
             elif name not in INLINE and not stack[-1][4]:
                 out.append(("/" + name, 0, None, True, stack[-1][1] is not None, stack[-1][5]))
             continue
-        attributes = found[3] or found[6] or ""
         if name not in INLINE and open_names["p"] > 0 and name != "br":
             depth = len(stack) - 1
             while stack[depth][0] in INLINE:
@@ -322,7 +336,7 @@ _KNOWN = (
 
 
 def add_text(pages: DataFrame, weight: dict[str, float], html: str = "html", name: str = "text") -> DataFrame:
-    """Append the extracted text; all other columns are kept."""
+    """Append the extracted text as column ``name``, in place of one of that name; all other columns are kept."""
 
     @F.pandas_udf("string")
     def work(column: pd.Series) -> pd.Series:

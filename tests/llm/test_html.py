@@ -55,3 +55,19 @@ def test_hints_on_wrappers_and_headings_keep_the_article():
         assert html.extract(f"<body>{nav}{open_}{body}{close}<footer>end of it</footer></body>", {}) == text, open_
     page = f"<body>{nav}<article><h2 id=related-work>Related work</h2>{body}<p class=search-results>Found ten.</p><p class=ad>Buy this.</p><div class=share>Tell all.</div></article></body>"
     assert html.extract(page, {}) == f"Related work\n{text}\nFound ten."
+
+
+def test_unfinished_tags_are_read_once():
+    import time
+
+    for page in ("<a " * 200_000, "<a b='" * 100_001 + ">", "<p>x</p>" + "<" * 300_000, '<a ">' * 60_001, "<p>text</p><!-- " * 50_000):
+        start = time.time()
+        html.extract(page, {})
+        assert time.time() - start < 20
+    assert html.extract("<p>one two three</p><b", {}) == "one two three\n<b" or "one two three" in html.extract("<p>one two three</p><b", {})
+
+
+def test_text_column_of_any_name(spark):
+    pages = spark.createDataFrame([(1, "u", "<article><p>one two three</p></article>", "mine")], "page_id bigint, url string, html string, text string")
+    row = html.add_text(pages, {}, name="article").first()
+    assert row["text"] == "mine" and row["article"] == "one two three"
