@@ -26,16 +26,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier accepts; it learns from the labelled rows outside the held-out fifth."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(lm.remainder("doc_id", 5) != 0)
     model = quality.train(docs, labels)
-    scored = quality.score(docs, model, name="_quality_score", decision="_quality_kept")
-    return scored.where("_quality_kept = 1").select(*docs.columns)
+    score, kept = (bitmaps.unused(docs.columns, n) for n in ("_score", "_kept"))
+    return quality.score(docs, model, name=score, decision=kept).where(F.col(kept) == 1).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line matches; a document of which nothing is left goes."""
-    done = lines.dedup(docs).where("_removed = 0 or text <> ''")
+    count, removed, places = (bitmaps.unused(docs.columns, n) for n in ("_lines", "_removed", "_gone"))
+    done = lines.dedup(docs, (count, removed, places)).where((F.col(removed) == 0) | (F.col("text") != ""))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        done = done.withColumn("n_chars", F.when(F.col(removed) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return done.select(*docs.columns)
 
 
