@@ -2,6 +2,7 @@ import collections
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,38 @@ def test_scores_keep_columns_of_any_name(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id bigint, quality int")
     rows = quality.score(docs, quality.train(docs, labels)).collect()
     assert len(rows) == 9 and all(r["k"] == "k" and r["label"] == "label" for r in rows)
+
+
+def plain_statistics(text):
+    """Some of the statistics, word by word."""
+    own = ascii_words(text)
+    n, sizes = len(own), [len(w) for w in own]
+    mean = (sum(sizes) + 10 * 5.5) / (n + 10)
+    spread = math.sqrt(max((sum(x * x for x in sizes) + 10 * (5.5**2 + 9)) / (n + 10) - mean * mean, 0))
+    same = sum(a == b for a, b in zip(own, own[1:]))
+    return [math.log1p(n), math.log((same + 0.2) / (n + 5)), math.log((len(set(own)) + 12) / (n + 12)), math.log((len(set(zip(own, own[1:]))) + 12) / (max(n - 1, 0) + 12)), math.log(mean), math.log(spread)]
+
+
+def test_quality_equals_plain_discriminant(spark):
+    texts = [junk(i) if i % 3 == 0 else " ".join(words_of(i, 10 + i % 50)).capitalize() + "." for i in range(240)] + ["", "word word word", None]
+    x = quality.statistics(pa.array(texts, pa.string()))
+    for row, text in zip(x, texts, strict=True):
+        assert row[[0, 6, 7, 8, 9, 10]] == pytest.approx(plain_statistics(text), abs=1e-9)
+    docs, label = documents(spark, texts), np.array([int(i % 3 != 0) for i in range(len(texts))])
+    model = quality.train(docs, spark.createDataFrame([(i, int(v)) for i, v in enumerate(label)], "doc_id bigint, quality int"))
+    n = np.bincount(label)
+    mean = [x[label == c].mean(0) for c in (0, 1)]
+    cov = [np.cov(x[label == c].T, bias=True) for c in (0, 1)]
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / n.sum()
+    density = []
+    for c in (0, 1):
+        s = (1 - quality.SHRINK_DIAGONAL - quality.SHRINK_POOLED) * cov[c] + quality.SHRINK_DIAGONAL * np.diag(np.diag(cov[c])) + quality.SHRINK_POOLED * pooled
+        s += np.diag(1e-4 + 1e-3 * np.diag(pooled))
+        z = x - mean[c]
+        density.append(np.log(n[c] / n.sum()) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * (z * np.linalg.solve(s, z.T).T).sum(1))
+    want = density[1] - density[0]
+    assert model.difference(x) == pytest.approx(want, rel=1e-6, abs=1e-6)
+    scored = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    squashed = np.sign(want) * np.log1p(np.abs(want))
+    chance = 1 / (1 + np.exp(-np.clip(model.scale * squashed + model.shift, -30, 30)))
+    assert [scored[i] for i in range(len(texts))] == pytest.approx(list(chance), abs=1e-6)
