@@ -12,8 +12,8 @@ in either entry bounds the overlap from above.  What passes is verified on the w
 concerned only.  A line goes when an earlier line, by doc_id and place, whether itself kept or not, has a similar set.
 
 A line needs one earlier similar line only, so groups of near copies need not meet pair by pair.  Each entry is first compared
-with the earliest that shares the least or greatest of two hashes of its tokens, a row for each of the four; that takes out
-all but a few of a group.  In the pair join, entries so taken out meet only those that are still in question.
+with the earliest that shares its least or greatest token hash, a row for each of the two; that takes out all but a few of a
+group.  In the pair join, entries so taken out meet only those that are still in question.
 
 Lines of fewer than ``JOINED`` distinct words are similar to equal sets only, so the pair join leaves them out.
 
@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remove_folder
 from . import bitmaps
 
 #: Similarity in percent and the fewest distinct words of a line that can go: all but blank lines can.
@@ -93,6 +93,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         rows.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
+    def done(*names: str) -> None:
+        """Remove tables that nothing reads any more."""
+        for name in names:
+            remove_folder(spark, f"{folder}/{name}")
+
     docs = docs.select("doc_id", "text")
     levels = _levels(docs)
     n = F.size("keys")
@@ -120,6 +125,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     near = drawn.join(earliest, ["which", "value"]).where((F.col("entry") != F.col("rep.entry")) & _close(F.col("n"), F.col("rep.n")))
     tried = save(near.select(F.col("entry").alias("a"), F.col("rep.entry").alias("b")).distinct(), "tried")
     late = save(_later(_verified(tried, firsts, docs, keys, save, "first")), "late")
+    done("tried", "asked-first", "sets-first")
 
     # second round: entries still in question against all others
     marked = bitmaps.marked(single.select("entry", "n", "prefix"), late, ["entry"], "hit")
@@ -127,6 +133,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     perhaps = marked.where("hit").join(late.withColumn("gone", F.lit(0)), "entry", "left").withColumn("open", F.coalesce("gone", F.lit(1))).drop("gone")
     # written, so that both sides of the join read the same table and share its one shuffle
     single = save(surely.select("entry", "n", "prefix", "open").union(perhaps.select("entry", "n", "prefix", "open")), "single")
+    done("lines")
     # size, place and state in one number
     info = (F.col("n").cast("bigint") * (1 << 32)) + F.col("at") * 2 + F.col("open")
     pairs_of = single.select("entry", "n", "open", F.posexplode("prefix").alias("at", "pair")).select("pair", "entry", info.alias("info"))
@@ -140,14 +147,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     pairs = save(times.where("times >= wanted").select("a", "b"), "pairs")
     late = late.union(_later(_verified(pairs, firsts, docs, keys, save, "second"))).distinct()
     gone = late.join(firsts, "entry").select("first.doc_id", "first.line_no")
-    return save(again.union(gone).distinct(), "removed")
+    removed = save(again.union(gone).distinct(), "removed")
+    done("firsts", "again", "late", "single", "pairs", "asked-second", "sets-second")
+    return removed
 
 
 def _sketch(keys: str) -> Column:
-    """Least and greatest of two hashes of the tokens: similar sets mostly share one of the four."""
-    plain = F.transform(keys, lambda k: k.bitwiseAND(F.lit((1 << 56) - 1)))
-    other = F.transform(keys, lambda k: F.hash(k))
-    return F.array(F.array_min(plain), F.array_max(plain), F.array_min(other).cast("bigint"), F.array_max(other).cast("bigint"))
+    """Least and greatest hash of the tokens: similar sets mostly share one of them."""
+    hashes = F.transform(keys, lambda k: k.bitwiseAND(F.lit((1 << 56) - 1)))
+    return F.array(F.array_min(hashes), F.array_max(hashes))
 
 
 def _size(info: Column) -> Column:
