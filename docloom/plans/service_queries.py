@@ -204,8 +204,8 @@ def _candidates(spark, sf_dir) -> DataFrame:
 
 
 def _reviews(spark, sf_dir) -> DataFrame:
-    """Stored reviews: every document in English, one trigger each."""
-    docs = staging.table(spark, sf_dir, "documents").where("lang IN ('en', 'fr')")
+    """Stored reviews: every document, one trigger each."""
+    docs = staging.table(spark, sf_dir, "documents")
     doc, none = F.col("doc_id").cast("string"), F.lit(None).cast("string")
     number = F.col("doc_id") % 3
     return docs.select(
@@ -290,9 +290,10 @@ def review_counts(spark, sf_dir):
 
 
 def _review_events(spark, sf_dir) -> DataFrame:
-    kind = F.when(F.col("event_type") == "click", "assign").when(F.col("event_type") == "view", "unassign").otherwise("complete")
+    event = F.col("event_type")
+    kind = F.when(event.isin("click", "signup"), "assign").when(event.isin("view", "error"), "unassign").otherwise("complete")
     none = F.lit(None).cast("string")
-    return staging.table(spark, sf_dir, "events").where("event_type IN ('click', 'view', 'purchase')").select(
+    return staging.table(spark, sf_dir, "events").select(
         (F.col("user_id")).cast("string").alias("document_id"), F.lit("manual").alias("trigger"), kind.alias("event"),
         F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("user"), F.when(kind == "complete", "approved").alias("outcome"),
         F.when((kind == "complete") & (F.col("event_id") % 2 == 0), F.concat(F.lit("c"), F.col("event_id").cast("string"))).alias("reviewed_canonical"),

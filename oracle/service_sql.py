@@ -17,7 +17,7 @@ reviews AS (SELECT 'd-' || doc_id AS document_id, doc_id, doc_id % 3 AS n,
     CASE doc_id % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'in_progress' ELSE 'completed' END AS status,
     CASE WHEN doc_id % 3 > 0 THEN 'u' || (doc_id % 5) END AS assigned_to, CASE WHEN doc_id % 3 = 2 THEN 'corrected' END AS outcome,
     to_timestamp(1690000000 + (doc_id * 7919) % 86400) AT TIME ZONE 'UTC' AS created_at
-  FROM documents WHERE lang IN ('en', 'fr')),
+  FROM documents),
 cand0 AS (SELECT doc_id, lang, source, unnest(list_filter([CASE WHEN quality = 0 THEN '' END, CASE WHEN toxic = 1 THEN 'fraud_signal' END], lambda t: t IS NOT NULL)) AS t
   FROM labels JOIN documents USING (doc_id)),
 cand AS (SELECT 'd-' || doc_id AS document_id, doc_id, CASE WHEN t = '' THEN 'low_extraction_quality' ELSE t END AS trigger, source AS job_id,
@@ -95,8 +95,8 @@ SQL = {
         CASE WHEN toxic = 1 THEN 'timeout' END AS error_message, outcome, '{{"v":9}}' AS canonical, NULL AS standardized, '{{"i":1}}' AS insights
         FROM reviews LEFT JOIN labels USING (doc_id) WHERE status = 'completed'""",
     "review_counts": f"""WITH {_REVIEWS} SELECT status, 'low_extraction_quality' AS trigger, outcome, count(*) AS reviews FROM reviews GROUP BY ALL""",
-    "review_state": """WITH e AS (SELECT *, CASE event_type WHEN 'click' THEN 'assign' WHEN 'view' THEN 'unassign' ELSE 'complete' END AS event
-          FROM events WHERE event_type IN ('click', 'view', 'purchase'))
+    "review_state": """WITH e AS (SELECT *, CASE WHEN event_type IN ('click', 'signup') THEN 'assign' WHEN event_type IN ('view', 'error') THEN 'unassign' ELSE 'complete' END AS event
+          FROM events)
         SELECT CAST(user_id AS VARCHAR) AS document_id,
           CASE arg_max(event, ts) WHEN 'assign' THEN 'in_progress' WHEN 'unassign' THEN 'pending' ELSE 'completed' END AS status,
           CASE WHEN arg_max(event, ts) <> 'unassign' THEN 'u' || arg_max(event_id, ts) END AS assigned_to,
