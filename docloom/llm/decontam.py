@@ -2,9 +2,8 @@
 
 1. Words of all documents are counted in ``DIMENSIONS`` hash buckets; rare buckets weigh more, the most frequent nothing.
 2. A randomised singular value decomposition of TF-IDF passages gives the latent space: the tasks multiply their passages
-   with a random matrix and back, the driver orthonormalises the small product, the tasks measure the passages in that
-   basis, and the small eigenproblem gives directions and strengths.  It is fitted on the passages of about
-   ``FIT_DOCUMENTS`` documents, chosen by hash, and on all benchmark items; the index then covers every passage.
+   with a random matrix and back, and of the small summed product the driver gets directions and strengths by Nystrom's
+   approximation.  It is fitted, in one pass, on the passages of all documents and on all benchmark items.
 3. Items are put into length classes, and every document is read in overlapping windows of each class's length.  Windows
    with hardly a word of the class's items are left out: the share of their TF-IDF length in such words bounds their
    cosine.  The others are projected and compared with the items of the class by cosine.
@@ -39,7 +38,8 @@ from pyspark.sql import functions as F
 from . import fixed, words
 
 DIMENSIONS, RANK, EXTRA = 1 << 14, 96, 8
-FIT_DOCUMENTS, FIT_TASKS = 10_000, 3
+#: Passages multiplied at once in the fit: few, so that the words they do not share take little room.
+FIT_PASSAGES = 32
 #: Words of the passages of the fit, and of the shortest windows; windows double from class to class.
 WINDOW, SHORTEST = 40, 4
 COSINE = 0.5
@@ -111,10 +111,7 @@ def _random(size: int) -> np.ndarray:
 
 
 def latent_space(texts: DataFrame, items: Iterable[str], weight: np.ndarray) -> np.ndarray:
-    """What a word of each bucket adds to a passage: directions scaled to equal strength and weighted, DIMENSIONS by RANK.
-
-    ``items`` is gone through twice.
-    """
+    """What a word of each bucket adds to a passage: directions scaled to equal strength and weighted, DIMENSIONS by RANK."""
     size = RANK + EXTRA
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -127,23 +124,17 @@ def latent_space(texts: DataFrame, items: Iterable[str], weight: np.ndarray) ->
                     yield found
 
     def back(batch: pa.RecordBatch, held: np.ndarray) -> None:
-        product = held[: DIMENSIONS * size].reshape(DIMENSIONS, size)
-        start = _random(size)
+        product, start = np.zeros((DIMENSIONS, size), np.float32), _random(size)
         for at, value, starts in rows_of(batch):
-            there = _times(at, value, starts, start)
-            spread = np.repeat(there, np.diff(np.append(starts, len(at))), axis=0) * value[:, None]
-            order = np.argsort(at, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], at[order][1:] != at[order][:-1]]))
-            product[at[order][first]] += np.add.reduceat(spread[order], first, axis=0)
-
-    def measured(narrow: np.ndarray):
-        def work(batch: pa.RecordBatch, held: np.ndarray) -> None:
-            square, basis = held[: size * size].reshape(size, size), narrow.astype(np.float32)
-            for at, value, starts in rows_of(batch):
-                there = _times(at, value, starts, basis)
-                square += there.T @ there
-
-        return work
+            ends = np.append(starts, len(at))
+            for lo in range(0, len(starts), FIT_PASSAGES):
+                cut = ends[lo : lo + FIT_PASSAGES + 1]
+                used, name = np.unique(at[cut[0] : cut[-1]], return_inverse=True)
+                owner = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+                passages = np.bincount(owner * len(used) + name, value[cut[0] : cut[-1]], (len(cut) - 1) * len(used))
+                passages = passages.astype(np.float32).reshape(len(cut) - 1, len(used))
+                product[used] += passages.T @ (passages @ start[used])
+        held[: DIMENSIONS * size] += product.ravel()
 
     # the items are passages too, with the weight of many
     def batches() -> Iterator[pa.RecordBatch]:
@@ -153,18 +144,20 @@ def latent_space(texts: DataFrame, items: Iterable[str], weight: np.ndarray) ->
     share = np.zeros(DIMENSIONS * size)
     for own in batches():
         back(own, share)
-    product = fixed.summed(texts, DIMENSIONS * size, back, np.float64)
+    # each task sends a matrix of a fixed size, so there are as many as the cores keep busy, however many the splits
+    product = fixed.summed(texts.coalesce(2 * texts.sparkSession.sparkContext.defaultParallelism), DIMENSIONS * size, back, np.float64)
     scale = math.sqrt((np.abs(product).sum() + 1) / (np.abs(share).sum() + 1))
     product = (product + scale * share).reshape(DIMENSIONS, size)
-    # half precision halves what goes to the tasks; the entries of a basis are far from its limits
-    basis = (64 * np.linalg.qr(product)[0]).astype(np.float16)
-    square, extra = fixed.summed(texts, size * size, measured(basis), np.float64), np.zeros(size * size)
-    for own in batches():
-        measured(basis)(own, extra)
-    values, vectors = np.linalg.eigh((square + scale * extra).reshape(size, size))
-    values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
+    # Nystrom: the passages' Gram matrix from its product with the random matrix alone, shifted so that it can be inverted
+    start = _random(size).astype(np.float64)
+    shift = 1e-6 * np.linalg.norm(product) + 1e-12
+    product += shift * start
+    core = start.T @ product
+    found, vectors = np.linalg.eigh((core + core.T) / 2)
+    basis, values, _ = np.linalg.svd(product @ (vectors / np.sqrt(np.maximum(found, found[-1] * 1e-12))), full_matrices=False)
+    basis, values = basis[:, :RANK], np.maximum(values[:RANK] ** 2 - shift, 0)
     strength = np.sqrt(np.maximum(values, values[0] * 1e-6 + 1e-12))
-    space = weight[:, None] * (basis.astype(np.float64) @ vectors / strength)
+    space = weight[:, None] * (basis / strength)
     return (space / (np.abs(space).max() + 1e-12) * 256).astype(np.float16)
 
 
@@ -385,15 +378,11 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     """One row for each document and item that it contains, whole or paraphrased."""
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    weight, documents = _weights(texts)
+    weight, _ = _weights(texts)
     asked = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     count = asked.count()
     blocks = max(1, -(-count // BLOCK))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    share = min(1.0, FIT_DOCUMENTS / max(1, documents))
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else texts
-    # each fitting task sends a matrix of a fixed size: the sample is small, so a few tasks do
-    sample = sample.repartition(FIT_TASKS)
     held: dict[int, list] = {}
 
     def block(number: int) -> list[tuple]:
@@ -406,7 +395,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         def __iter__(self) -> Iterator[str]:
             return (t for number in range(blocks) for _, t in block(number))
 
-    space, out = latent_space(sample, Texts(), weight), None
+    space, out = latent_space(texts, Texts(), weight), None
     for number in range(blocks):
         kinds = tuple({"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[d] for d in (dict(rows.dtypes)["doc_id"], dict(asked.dtypes)["item_id"]))
         schema = f"doc_id {dict(rows.dtypes)['doc_id']}, item_id {dict(asked.dtypes)['item_id']}, item_words bigint, lcs_words bigint, lcs_share double, answer_share double, cosine double, word_at bigint"

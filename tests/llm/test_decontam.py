@@ -103,6 +103,32 @@ def test_latent_space_keeps_item_cosines(spark):
     assert np.abs(apart).max() < 0.6
 
 
+def test_latent_space_is_fitted_on_every_document(spark, monkeypatch):
+    items, docs, _ = planted()
+    given, fit = [], decontam.latent_space
+    monkeypatch.setattr(decontam, "FIT_DOCUMENTS", 5, raising=False)
+    monkeypatch.setattr(decontam, "latent_space", lambda texts, *rest: (given.append(texts.count()), fit(texts, *rest))[1])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    decontam.find(documents(spark, docs), bench)
+    assert given == [len(docs)]
+
+
+def test_latent_space_strengths_are_those_of_the_passages(spark):
+    """Along its directions the passages of all texts are about equally strong, as a whitened space has it."""
+    _, docs, _ = planted()
+    texts = documents(spark, docs).select("text")
+    weight, _ = decontam._weights(texts)
+    space = decontam.latent_space(texts, [], weight).astype(np.float64)
+    square = np.zeros((decontam.RANK, decontam.RANK))
+    for text in docs:
+        own = decontam.tokens(text)
+        at, value, starts = decontam._passages(own, np.array([0, len(own)]), weight)
+        there = np.add.reduceat((space / np.maximum(weight, 1e-9)[:, None])[at] * value[:, None], starts, axis=0)
+        square += there.T @ there
+    strong = np.diag(square)
+    assert strong.max() < 4 * strong.min()
+
+
 def test_items_of_any_length_in_long_documents(spark, monkeypatch):
     """Of 400 items of 1 to 400 words, whole or with every fourth word dropped, each is found in its long document."""
     monkeypatch.setattr(decontam, "BLOCK", 150)
