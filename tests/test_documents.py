@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom import schemas
 from docloom.functions.assembly import dense_ordinal, ordered_array, ordered_concat, row_positions
-from docloom.operators import denorm, enrichment, parts, store, summaries, workflow
+from docloom.operators import denorm, enrichment, parts, store, summaries, tables, workflow
 from docloom.sources import formats
 
 
@@ -103,6 +103,36 @@ def test_versions_of_a_document_stay_apart(spark, tmp_path):
         workflow.process(docs, str(tmp_path / "store"), batch="two")
 
 
+def test_levels_from_rows_written_once(spark, tmp_path):
+    docs = canonical(spark, {**FIXTURE, "attachments": []})
+    tree = parts.part_tree(docs, docs.select("document_id").where("false").selectExpr("document_id", "0L AS ord", "'' AS file_name", "'' AS mime_type", "'' AS child_document_id"))
+    found, stamp = denorm.tables_of(docs, tree), F.to_timestamp(F.lit("2024-01-01"))
+    planned, written = denorm.denormalise(found, stamp), denorm.denormalise(found, stamp, str(tmp_path))
+    for name, rows in planned.items():
+        assert written[name].columns == rows.columns and written[name].collect() == rows.collect()
+    # the tables are folded for the written blocks alone
+    plan = written["doc"]._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and (tmp_path / "blocks").exists()
+
+
+def test_cells_in_any_order_fold_from_one_narrow_shuffle(spark):
+    """Cells of 20 tables over many batches, positions repeated: keys and extents go through the shuffle once for neighbours."""
+    cells = spark.range(60_000).select(
+        F.concat(F.lit("t"), F.col("id") % 60_000 % 20).alias("key"), F.expr("cast(id div 20 % 1500 as int)").alias("row_index"), F.expr("cast(hash(id) % 3 as int)").alias("column_index"),
+        F.expr("hash(id, 1) * 100000L + id").alias("cell_ord"), F.expr("if(id % 7 = 0, '', concat('c', id))").alias("content"),
+    ).repartition(5)
+    rows = tables.table_lines(cells, ["key"])
+    best, want = {}, {}
+    for c in cells.collect():
+        at = (c.key, c.row_index, c.column_index)
+        best[at] = max(best.get(at, (-(1 << 62), "")), (c.cell_ord, c.content))
+    for (key, row, _), (_, content) in sorted(best.items()):
+        want.setdefault(key, {}).setdefault(row, []).extend([content] if content else [])
+    got = {r.key: r.lines for r in rows.collect()}
+    assert got == {k: [" | ".join(v) for _, v in sorted(lines.items())] for k, lines in want.items()}
+    assert rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") <= 2
+
+
 def test_table_text_and_segments(spark):
     cells = [
         {"row_index": 1, "column_index": 1, "content": "old", "row_span": 1, "column_span": 2}, {"row_index": 0, "column_index": 0, "content": "", "row_span": 1, "column_span": 1, "page": 0},
