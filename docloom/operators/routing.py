@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docloom.config import RoutingConfig, Strategy
 from docloom.functions.assembly import ordered_concat
 from docloom.functions.text import blank_to_null
-from docloom.operators.layout import message_layout, page_array, profile_messages
+from docloom.operators.layout import message_layout, page_array_json, profile_messages
 from docloom.sources.messages import describe
 from docloom.operators import rule_index
 from docloom.sources.overrides import checked_rules
@@ -158,8 +158,8 @@ def metadata_record(routed: DataFrame, base: list[str], pages: Column | None = N
     return renamed.select(*base, *ROUTING_COLUMNS, *extra)
 
 
-def routing_record(routed: DataFrame, pages: Column) -> DataFrame:
-    """``source_path`` plus the whole decision as one JSON column."""
+def routing_record(routed: DataFrame, pages: Column | None = None) -> DataFrame:
+    """``source_path`` plus the whole decision as one JSON column; without ``pages`` those of ``message_layout`` rows."""
     decision = F.struct(
         F.col("document_category").alias("category"),
         F.col("parser_strategy").alias("strategy"),
@@ -178,9 +178,13 @@ def routing_record(routed: DataFrame, pages: Column) -> DataFrame:
         "total_tables",
         "total_checkboxes",
         "total_radio_buttons",
-        pages.alias("page_metrics"),
+        *([] if pages is None else [pages.alias("page_metrics")]),
     )
-    return routed.select("source_path", F.to_json(decision, {"ignoreNullFields": "false"}).alias("routing"))
+    text = F.to_json(decision, {"ignoreNullFields": "false"})
+    if pages is None:
+        # the page list is text already
+        text = F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(',"page_metrics":'), page_array_json(), F.lit("}"))
+    return routed.select("source_path", text.alias("routing"))
 
 
 def pages_json(pages: DataFrame, keys: list[str], index: str = "index") -> DataFrame:
@@ -203,5 +207,4 @@ def route_messages(
 def message_metadata(routed: DataFrame) -> DataFrame:
     """Metadata rows of routed messages, pages as JSON."""
     base = ["source_path", "file_type", "message_id", "sns_topic", "queue_url"]
-    pages = F.to_json(page_array(), {"ignoreNullFields": "false"})
-    return metadata_record(routed, base, pages)
+    return metadata_record(routed, base, page_array_json())

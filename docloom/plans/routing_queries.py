@@ -197,15 +197,16 @@ def ingestion_metadata(spark, sf_dir):
 
 def routing_records(spark, sf_dir):
     """The stored JSON decision read back."""
-    records = routing.routing_record(_routed(spark, sf_dir), layout.page_array())
-    value = lambda path: F.get_json_object("routing", path)
-    return records.select(
+    records = routing.routing_record(_routed(spark, sf_dir))
+    # one reading of each record
+    schema = "category string, strategy string, overrides array<string>, average_text_density double, page_metrics array<struct<index:int>>"
+    return records.select("source_path", F.from_json("routing", schema).alias("r")).select(
         "source_path",
-        value("$.category").alias("category"),
-        value("$.strategy").alias("strategy"),
-        value("$.overrides[0]").alias("override"),
-        F.round(value("$.average_text_density").cast("double"), 6).alias("average_text_density"),
-        value("$.page_metrics[0].index").cast("int").alias("first_page"),
+        "r.category",
+        "r.strategy",
+        F.get("r.overrides", 0).alias("override"),
+        F.round("r.average_text_density", 6).alias("average_text_density"),
+        F.get("r.page_metrics", 0)["index"].alias("first_page"),
     )
 
 

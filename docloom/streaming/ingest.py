@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docloom.config import RoutingConfig
-from docloom.operators import layout, routing, telemetry
+from docloom.operators import routing, telemetry
 from docloom.operators.content_routing import ContentAnalysis, route_content
 from docloom.sources import messages as msg
 from docloom.streaming import deadletters
@@ -94,7 +94,7 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
         # an empty extension is a folder name of its own in the partition layout
         metadata = metadata.withColumn("file_type", F.coalesce(F.nullif("file_type", F.lit("")), F.lit("none")))
         write_batch(metadata, config.path("metadata"), config.run_id, batch_id, "file_type")
-        write_batch(routing.routing_record(routed, layout.page_array()), config.path("routing"), config.run_id, batch_id)
+        write_batch(routing.routing_record(routed), config.path("routing"), config.run_id, batch_id)
         failures = msg.rejected(parsed).withColumn("failed_at", now)
         write_batch(failures, config.path("failures"), config.run_id, batch_id)
         dead = deadletters.dead_messages(parsed, config.max_receives)

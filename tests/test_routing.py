@@ -272,3 +272,25 @@ def test_model_metrics_fall_back(spark):
     heuristic = docs.withColumns({"page_count": F.lit(9).cast("long")})
     got = {r.document_id: r.page_count for r in layout.with_fallback(modelled, heuristic, "document_id").collect()}
     assert set(got) == {"a", "b"} and got["b"] == 9
+
+
+def test_bodies_are_read_once(spark):
+    body = json.dumps({"object_key": "a/b.pdf", "documentMetadata": {"pageCount": 3, "layout": {"textDensity": 0.4}}})
+    # made by an expression, as a filter pushed below it would make and read it again
+    sent = spark.range(5).select(F.concat(F.lit("m"), F.col("id")).alias("message_id"), *[F.lit(c).alias(c) for c in ("queue_url", "stream")], F.when(F.col("id") > 0, F.lit(body)).otherwise("{").alias("body"), F.lit(1).alias("receive_count"))
+    routed = routing.route_messages(msg.accepted(msg.parse_messages(sent)), RoutingConfig())
+    plan = routing.message_metadata(routed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert routed.count() == 4
+
+
+def test_pages_as_text(spark):
+    layouts = ({"textDensity": "nan"}, {"textDensity": 1e-9, "tableDensity": 2}, {}, {"pages": [{"textDensity": 0.25, "index": 7}, {"charCount": 3}]}, {"pages": []})
+    bodies = [json.dumps({"object_key": "k", "documentMetadata": {"pageCount": n, "layout": x}}) for n in (1, 2, 12) for x in layouts]
+    sent = spark.createDataFrame([(b,) for b in bodies], "body string")
+    laid_out = layout.message_layout(msg.parse_messages(sent))
+    rows = laid_out.select(F.to_json(layout.page_array(), {"ignoreNullFields": "false"}).alias("want"), layout.page_array_json().alias("got")).collect()
+    assert len(rows) == len(bodies) and all(r.got == r.want for r in rows)
+    routed = routing.route_messages(msg.accepted(msg.parse_messages(sent.selectExpr("'m' AS message_id", "'q' AS queue_url", "body"))), RoutingConfig())
+    whole, text = (sorted(r.routing for r in routing.routing_record(routed, *pages).collect()) for pages in ([layout.page_array()], []))
+    assert whole == text
