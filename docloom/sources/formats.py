@@ -6,12 +6,13 @@ import csv
 import hashlib
 import io
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from email import message_from_bytes
 from email.message import Message
 from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +76,23 @@ _MAIL = pa.struct([
 ])
 
 
+#: Bytes of payloads read before what they gave is handed on; a larger one is handed on by itself.
+SLICE_BYTES = 1 << 22
+
+
+def _slices(columns: Iterator[pa.Array], sizes: Callable[[pa.Array], pa.Array]) -> Iterator[pa.Array]:
+    """Batches cut by the bytes of their payloads, so that what a task holds does not grow with the rows of a batch."""
+    for values in columns:
+        start, held = 0, 0
+        for at, size in enumerate(sizes(values).fill_null(0).to_pylist()):
+            if at > start and held + size > SLICE_BYTES:
+                yield values.slice(start, at - start)
+                start, held = at, 0
+            held += size
+        if start < len(values) or not len(values):
+            yield values.slice(start)
+
+
 def _csv_records(content: bytes) -> pa.Array:
     """Rows as lists of cells, turned into compact arrays as they are read; a bare carriage return ends a line like any other line end."""
     csv.field_size_limit(sys.maxsize)
@@ -88,11 +106,16 @@ def _csv_records(content: bytes) -> pa.Array:
     return pa.concat_arrays([*chunks, pa.array(held, _ROW)])
 
 
+def _fields(values: pa.StructArray) -> list[pa.Array]:
+    """Children of a struct, cut as the struct is."""
+    return values.flatten()
+
+
 def _read(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """``READING`` of ``struct<reader, parts, data>``: every payload is read once."""
-    for asked in columns:
+    for asked in _slices(columns, lambda v: pc.binary_length(_fields(v)[2])):
         records, sizes, mails = [], [], []
-        for reader, parts, data in zip(*(asked.field(i) for i in range(3)), strict=True):
+        for reader, parts, data in zip(*_fields(asked), strict=True):
             reader, parts = reader.as_py(), parts.as_py()
             data = data.as_py() or b"" if reader or parts else b""
             rows, mail = None, {}
@@ -109,7 +132,7 @@ def _read(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
             sizes.append(0 if rows is None else len(rows))
             mails.append(mail)
         offsets = pa.array([0, *accumulate(sizes)], pa.int32())
-        listed = pa.ListArray.from_arrays(offsets, pa.concat_arrays([pa.array([], _ROW), *(r for r in records if r is not None)]), mask=pa.array([r is None for r in records]))
+        listed = pa.ListArray.from_arrays(offsets, pa.concat_arrays([pa.array([], _ROW), *(r for r in records if r is not None)]), mask=pa.array([r is None for r in records], pa.bool_()))
         mail = pa.array(mails, _MAIL)
         found = {f.name: mail.field(i) for i, f in enumerate(_MAIL)}
         names = ["error", "records", *list(found)[1:]]
@@ -258,7 +281,7 @@ def message_texts(content: bytes) -> list[tuple[bool, str]]:
 
 def _texts(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     kind = pa.list_(pa.struct([("is_html", pa.bool_()), ("text", pa.string())]))
-    for values in columns:
+    for values in _slices(columns, pc.binary_length):
         found = []
         for data in values:
             try:

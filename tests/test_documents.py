@@ -3,6 +3,7 @@
 import json
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -321,3 +322,17 @@ def test_new_payloads(spark):
     docs = spark.createDataFrame([("a", "1"), ("a", "1"), ("a", "2"), ("b", "1")], "document_id string, checksum string")
     seen = spark.createDataFrame([("a", "2")], "document_id string, checksum string")
     assert sorted(tuple(r) for r in store.new_payloads(docs, seen).collect()) == [("a", "1"), ("b", "1")]
+
+
+def test_readers_hold_few_payloads(monkeypatch):
+    monkeypatch.setattr(formats, "SLICE_BYTES", 100)
+    mail = b"From: a@b\nContent-Type: text/plain\n\nbody"
+    data = [b"a,b\n" * 20, None, mail, b"x" * 300, b"c\nd", mail, b"", mail]
+    asked = pa.array([{"reader": "email" if d == mail else "csv", "parts": False, "data": d} for d in data], pa.struct([("reader", pa.string()), ("parts", pa.bool_()), ("data", pa.binary())]))
+    small = list(formats._read(iter([asked, asked.slice(0, 0), asked.slice(2, 4)])))
+    texts = list(formats._texts(iter([pa.array(data, pa.binary())])))
+    assert len(small) > 5 and len(texts) > 2
+    monkeypatch.setattr(formats, "SLICE_BYTES", 1 << 30)
+    whole = list(formats._read(iter([asked, asked.slice(2, 4)])))
+    assert [r for part in small for r in part.to_pylist()] == [r for part in whole for r in part.to_pylist()]
+    assert [t for part in texts for t in part.to_pylist()] == next(formats._texts(iter([pa.array(data, pa.binary())]))).to_pylist()
