@@ -57,15 +57,15 @@ def _lookup(choices: list[tuple], position: Column) -> list[Column]:
 def match_rules(documents: DataFrame, rules: DataFrame | None, key: str = "source_path") -> DataFrame:
     """Add ``_rule``: the first rule, by priority, whose regex is found in the key.
 
-    A few rules become a first-match expression.  A longer table is written as an index that tasks read
-    (``rule_index``), so the plan does not grow with it.  Neither way plans a join or a shuffle of documents.
+    A few rules become a first-match expression, without a join or a shuffle of documents.  A longer table is written as an
+    index that the distinct keys are joined with (``rule_index``), so neither the plan nor a task grows with it.
     """
     if rules is None:
         return documents.withColumn("_rule", F.lit(None).cast(rule_index.DECISION))
     usable = checked_rules(rules).where("usable")
     few = usable.orderBy("priority").limit(RULES_PER_PASS + 1).collect()
     if len(few) > RULES_PER_PASS:
-        return documents.withColumn("_rule", rule_index.first_match(rule_index.write_index(usable), F.col(key)))
+        return rule_index.with_first_match(documents, rule_index.write_index(usable), key)
     if not few:
         return documents.withColumn("_rule", F.lit(None).cast(rule_index.DECISION))
     text = F.coalesce(F.col(key), F.lit(""))

@@ -244,6 +244,26 @@ def test_index_plan_does_not_grow(spark):
     assert abs(planned(3000) - planned(500)) < 200
 
 
+def test_no_task_holds_the_rules(spark, monkeypatch):
+    """Rules meet keys in a join; anchors of many keys are cut, and long ones are told by their beginning."""
+    long = "long" * 30
+    patterns = ["[.]pdf$", "a", "(?i)B7", f"{long}1", f"{long}2$", r"\d\d[.]", "7[.]pdf", "é7"]
+    table = overrides.layer_rules(overrides.rules_from_table(spark.createDataFrame([(i, p, f"s{i}") for i, p in enumerate(patterns)], "position long, pattern string, strategy string")))
+    keys = [f"{c}{i}.{e}" for c in ("a", "b", "B", "é", long) for i in (1, 2, 7, 17) for e in ("pdf", "txt")] + ["", None, None, "b7.txt", "b7.txt", long]
+    docs = spark.createDataFrame(list(enumerate(keys)), "id long, source_path string")
+
+    def found():
+        matched = routing.match_rules(docs, table)
+        return matched, {r.id: r["_rule"] and r["_rule"].name for r in matched.collect()}
+
+    _, want = found()
+    monkeypatch.setattr(routing, "RULES_PER_PASS", 0)
+    monkeypatch.setattr(rule_index, "CROWD", 2)
+    matched, got = found()
+    assert got == want and len(set(got.values())) > 5
+    assert "ArrowEvalPython" not in matched._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rejected_rules(spark):
     entries = [{"pattern": p, "strategy": "s"} for p in ("ok", "(", "a**", "[a-")]
     assert sorted(r.pattern for r in overrides.rejected_rules(rules(spark, json.dumps(entries))).collect()) == ["(", "[a-", "a**"]
