@@ -23,9 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 from docloom.config import RoutingConfig
 from docloom.operators import routing, telemetry
 from docloom.operators.content_routing import ContentAnalysis, route_content
+from docloom.session import remove_folder
 from docloom.sources import messages as msg
 from docloom.streaming import deadletters
-from docloom.streaming.ledger import Ledger, identified, latest_deliveries
+from docloom.streaming.ledger import Ledger, compared_deliveries, identified, latest_deliveries
 
 TABLES = ("metadata", "routing", "failures", "duplicates", "dead_letters", "events", "handled")
 
@@ -53,13 +54,19 @@ class IngestConfig:
         return f"{self.output_path}/{table}"
 
 
-def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int, *partitions: str, metrics: dict[str, Column] | None = None) -> dict:
+def write_batch(
+    rows: DataFrame, path: str, run_id: str, batch_id: int, *partitions: str, metrics: dict[str, Column] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> dict:
     """Write a micro-batch's rows as the partition of its run and batch; a replay replaces all of it, even by nothing.
 
-    Rebalancing merges the many small shuffle outputs into few files and splits a dominant partition value.  ``metrics``
-    are aggregates observed while writing; they come from the last stage, where a retried task counts once.
+    Rebalancing merges the many small shuffle outputs into few files and splits a dominant partition value.  ``finish`` adds
+    wide columns behind it, so that neither shuffle nor sort carries them.  ``metrics`` are aggregates observed while
+    writing; they come from the last stage, where a retried task counts once.
     """
     rows = rows.hint("rebalance", *partitions)
+    if finish:
+        rows = finish(rows.sortWithinPartitions(*partitions) if partitions else rows)
     observation = Observation()
     if metrics:
         rows = rows.observe(observation, *[m.alias(n) for n, m in metrics.items()])
@@ -71,30 +78,42 @@ def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int, *partiti
 
 
 def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None:
-    """All writes of one micro-batch, from one persisted parse and one persisted routing.
+    """All writes of one micro-batch, from one written parse and one written routing.
 
+    What several tables are made from is written, not persisted: cached rows keep every partition of the joins they come
+    from, and each write would go over all of these, with a shuffle file of its own for each target.
     The handled keys come last: a batch that fails before is handled anew, under the same id, by its replay.
     """
     spark = batch.sparkSession
     ledger = Ledger(spark, config.path("handled"), config.ledger_buckets)
-    batch = identified(batch).persist()
-    latest, repeats = latest_deliveries(batch)
-    repeats, judged = repeats.persist(), ledger.judge(latest, config.run_id, batch_id).persist()
-    fresh = judged.where("reason IS NULL").drop("sent_day", "bucket", "reason")
-    parsed = msg.parse_messages(fresh, flag=config.routing.override_flag).persist()
-    rules = config.rules(spark)
-    if config.content is None:
-        routed = routing.route_messages(msg.accepted(parsed), config.routing, rules)
-    else:
-        routed = route_content(msg.accepted(parsed), config.routing, rules, config.content)
-    routed = routed.drop("doc", "body").persist()
+    scratch = f"{config.path('scratch')}/{config.run_id}-{batch_id}"
+
+    def saved(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
+
     try:
+        batch = saved(identified(batch), "batch")
+        latest, repeats = latest_deliveries(saved(compared_deliveries(batch), "compared"))
+        repeats, judged = saved(repeats, "repeats"), saved(ledger.judge(latest, config.run_id, batch_id), "judged")
+        fresh = judged.where("reason IS NULL").drop("sent_day", "bucket", "reason")
+        # bodies are read again for the routing, which costs less than to write what was read
+        read = msg.parse_messages(fresh, flag=config.routing.override_flag)
+        parsed = saved(read.drop("doc"), "parsed")
+        rules = config.rules(spark)
+        if config.content is None:
+            routed = routing.route_messages(msg.accepted(read), config.routing, rules)
+        else:
+            routed = route_content(msg.accepted(read), config.routing, rules, config.content)
+        routed = saved(routed.drop("doc", "body"), "routed")
         now = F.current_timestamp()
-        metadata = routing.message_metadata(routed).withColumn("ingested_at", now)
         # an empty extension is a folder name of its own in the partition layout
-        metadata = metadata.withColumn("file_type", F.coalesce(F.nullif("file_type", F.lit("")), F.lit("none")))
-        write_batch(metadata, config.path("metadata"), config.run_id, batch_id, "file_type")
-        write_batch(routing.routing_record(routed), config.path("routing"), config.run_id, batch_id)
+        filed = routed.withColumn("file_type", F.coalesce(F.nullif("file_type", F.lit("")), F.lit("none")))
+        write_batch(
+            filed, config.path("metadata"), config.run_id, batch_id, "file_type",
+            finish=lambda rows: routing.message_metadata(rows).withColumn("ingested_at", now),
+        )
+        write_batch(routed, config.path("routing"), config.run_id, batch_id, finish=routing.routing_record)
         failures = msg.rejected(parsed).withColumn("failed_at", now)
         write_batch(failures, config.path("failures"), config.run_id, batch_id)
         dead = deadletters.dead_messages(parsed, config.max_receives)
@@ -123,8 +142,7 @@ def process_batch(batch: DataFrame, batch_id: int, config: IngestConfig) -> None
         older = repeats.where("reason = 'superseded'").select("delivery_key", "receive_count", "sent_at", F.lit(False).alias("succeeded"))
         ledger.record(done.unionByName(older), config.run_id, batch_id)
     finally:
-        for held in (routed, parsed, judged, repeats, batch):
-            held.unpersist()
+        remove_folder(spark, scratch)
     if config.compact_every and batch_id % config.compact_every == config.compact_every - 1:
         ledger.compact()
 

@@ -40,20 +40,25 @@ def identified(messages: DataFrame) -> DataFrame:
     return messages.withColumns({"delivery_key": key, "receive_count": F.coalesce("receive_count", F.lit(1))})
 
 
-def latest_deliveries(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The latest delivery of each key of a batch, and the others with ``reason`` and ``copies``.
+def compared_deliveries(batch: DataFrame) -> DataFrame:
+    """``batch`` with ``_n``, the deliveries of each row's key, and ``_is_top``, whether the row is the key's latest.
 
-    Latest is the highest receive count, then the time sent; equal rows count as copies of one.  Only keys meet in the
-    aggregate; whole rows are compared for the few keys that come more than once.
+    Latest is the highest receive count, then the time sent.  Only keys meet in the aggregate.
     """
-    names = batch.columns
-    place = F.struct("receive_count", "sent_at", F.xxhash64(*names).alias("hash"))
+    place = F.struct("receive_count", "sent_at", F.xxhash64(*batch.columns).alias("hash"))
     placed = batch.withColumn("_place", place)
     tops = placed.groupBy("delivery_key").agg(F.max("_place").alias("_top"), F.count(F.lit(1)).alias("_n"))
-    joined = placed.join(tops, "delivery_key")
-    top = F.col("_place") == F.col("_top")
-    several = joined.where("_n > 1").groupBy(*names, top.alias("_is_top")).agg(F.count(F.lit(1)).alias("_copies"))
-    latest = joined.where("_n = 1").select(*names).unionByName(several.where("_is_top").select(*names))
+    return placed.join(tops, "delivery_key").select(*batch.columns, "_n", (F.col("_place") == F.col("_top")).alias("_is_top"))
+
+
+def latest_deliveries(compared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The latest delivery of each key of ``compared_deliveries``, and the others with ``reason`` and ``copies``.
+
+    Equal rows count as copies of one.  Whole rows are compared for the few keys that come more than once.
+    """
+    names = [c for c in compared.columns if c not in ("_n", "_is_top")]
+    several = compared.where("_n > 1").groupBy(*names, "_is_top").agg(F.count(F.lit(1)).alias("_copies"))
+    latest = compared.where("_n = 1").select(*names).unionByName(several.where("_is_top").select(*names))
     reason = F.when(F.col("_is_top"), "repeated").otherwise("superseded")
     copies = F.col("_copies") - F.when(F.col("_is_top"), 1).otherwise(0)
     others = several.select(*names, reason.alias("reason"), copies.alias("copies")).where("copies > 0")

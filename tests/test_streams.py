@@ -194,3 +194,23 @@ def test_new_keys_do_not_meet_the_ledger(spark, tmp_path):
     assert all(marked[f"m{i}"] for i in range(20)) and sum(marked[f"n{i}"] for i in range(1000)) < 30
     assert not ledger.marked(asked).where("sent_day >= '2024-02-01'").first().suspect
     assert ledger.judge(asked, "run-0", 1).where("reason IS NULL").count() == 1001
+
+
+def test_tables_of_a_batch_do_not_go_over_the_partitions_of_its_joins(spark, tmp_path, monkeypatch):
+    parts, write = {}, ingest.write_batch
+
+    def counted(rows, path, *given, **named):
+        parts[path.rsplit("/", 1)[1]] = rows.rdd.getNumPartitions()
+        return write(rows, path, *given, **named)
+
+    monkeypatch.setattr(ingest, "write_batch", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "96")
+    try:
+        config = ingest.IngestConfig(str(tmp_path / "out"), str(tmp_path / "cp"))
+        sent = [(f"m{i % 40}", json.dumps({"object_key": f"{i}.pdf"}) if i % 3 else "{broken", i % 2, "2024-01-01 00:00:00") for i in range(60)]
+        ingest.process_batch(_deliveries(spark, sent), 0, config)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(parts.values()) < 96, parts
+    assert not list((tmp_path / "out" / "scratch").iterdir())
