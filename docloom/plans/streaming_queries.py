@@ -17,6 +17,10 @@ from docloom.sources import messages as msg
 from docloom.streaming import deadletters, ingest, live
 
 
+#: Files of a batch where a wave is to be one batch, however many tasks wrote it.
+WAVE = (1 << 31) - 1
+
+
 def _scratch(spark, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -65,10 +69,10 @@ def stream_redelivery(spark, sf_dir):
     config = ingest.IngestConfig(f"{base}/tables", f"{base}/checkpoint", routing=MESSAGE_CONFIG, ledger_buckets=2, compact_every=2)
     for wave in range(4):
         if wave < 3:
-            staging.deliveries(spark, sf_dir, wave).repartition(3).write.mode("append").json(source)
+            staging.deliveries(spark, sf_dir, wave).write.mode("append").json(source)
         else:
             deadletters.replay(spark.read.parquet(config.path("dead_letters")), source, 1 << 30)
-        _drain(ingest.start_ingest(msg.stream_messages(spark, source), config))
+        _drain(ingest.start_ingest(msg.stream_messages(spark, source, WAVE), config))
 
     def rows(table: str, reason, count, copies) -> DataFrame:
         # the key of a message without id is a hash
@@ -103,8 +107,8 @@ def stream_lifecycle(spark, sf_dir):
     base = _scratch(spark, "lifecycle")
     config = ingest.IngestConfig(f"{base}/tables", f"{base}/checkpoint", routing=MESSAGE_CONFIG, ledger_buckets=2)
     for wave in range(3):
-        staging.deliveries(spark, sf_dir, wave).repartition(2).write.mode("append").json(f"{base}/in")
-        _drain(ingest.start_ingest(msg.stream_messages(spark, f"{base}/in"), config))
+        staging.deliveries(spark, sf_dir, wave).write.mode("append").json(f"{base}/in")
+        _drain(ingest.start_ingest(msg.stream_messages(spark, f"{base}/in", WAVE), config))
     ingest.write_run_summary(spark, config, "queue-0")
     none = F.lit(None).cast("long")
     batches = ingest.lifecycle(spark, config).select("event_name", F.col("batch_id").cast("long").alias("batch_id"), "batch_size", "successes", "failures")
