@@ -18,6 +18,9 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # Fixed value: string.punctuation.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+#: Characters of a text that are searched before the whole of it.
+HEAD = 400
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -51,9 +54,13 @@ def token_count(value: Column | str) -> Column:
     return F.size(words(value))
 
 
-def sentences(value: Column | str) -> Column:
-    """Split after ``.``, ``!`` or ``?`` followed by whitespace; never empty for non-blank text."""
-    pieces = F.split(_col(value), r"(?<=[.!?])" + SPACE_CLASS + "+", -1)
+def sentences(value: Column | str, first: int | None = None) -> Column:
+    """Split after ``.``, ``!`` or ``?`` followed by whitespace; never empty for non-blank text.
+
+    With ``first`` the split ends behind so many sentences; what follows them is one piece more.
+    """
+    # every piece but the last ends with a mark, so none of them is blank
+    pieces = F.split(_col(value), r"(?<=[.!?])" + SPACE_CLASS + "+", -1 if first is None else first + 1)
     return F.filter(F.transform(pieces, strip), lambda s: s != "")
 
 
@@ -83,10 +90,23 @@ def strip_tags(value: Column | str) -> Column:
 
 
 def leading_keywords(value: Column | str, min_chars: int = 6, limit: int = 5) -> Column:
-    """First distinct long tokens in text order, outer punctuation removed, lower case."""
-    bare = F.transform(words(value), lambda w: F.trim(w, F.lit(PUNCTUATION)))
-    kept = F.filter(bare, lambda w: F.length(w) >= min_chars)
-    return F.slice(F.array_distinct(F.transform(kept, F.lower)), 1, limit)
+    """First distinct long tokens in text order, outer punctuation removed, lower case.
+
+    The head of a text mostly holds enough of them; the whole text is read only where it does not.
+    """
+    text = _col(value)
+
+    def found(tokens: Column) -> Column:
+        # stripping makes no token longer, so short ones need none
+        long = F.filter(tokens, lambda w: F.length(w) >= min_chars)
+        bare = F.transform(long, lambda w: F.trim(w, F.lit(PUNCTUATION)))
+        kept = F.filter(bare, lambda w: F.length(w) >= min_chars)
+        return F.slice(F.array_distinct(F.transform(kept, F.lower)), 1, limit)
+
+    head = words(F.substring(text, 1, HEAD))
+    # the last token may be cut
+    first = found(F.slice(head, 1, F.greatest(F.size(head) - 1, F.lit(0))))
+    return F.when(F.size(first) >= limit, first).otherwise(found(words(text)))
 
 
 def sorted_keywords(value: Column | str, limit: int = 10) -> Column:

@@ -24,6 +24,9 @@ _ENTRY = (
 )
 
 
+#: Calls whose responses leave a task as one batch; a batch for each call costs more than small calls do.
+HELD_CALLS = 256
+
 # stands between id and checksum of a version while providers have it; no id holds it
 _MARK = "\u0001"
 
@@ -58,31 +61,38 @@ def call_provider(documents: DataFrame, provider: Provider, order: str | None =
     size, run = max(1, int(provider.max_batch_size)), provider.batch
     names = [c.split()[0] for c in RESPONSE.split(", ")]
 
-    def call(part: pd.DataFrame) -> pd.DataFrame:
+    def answers(part: pd.DataFrame) -> dict[str, list]:
         try:
             result = run(part)
         except Exception as error:
             result = pd.DataFrame({"document_id": part["document_id"], "error": f"{type(error).__name__}: {error}"})
         rows = 0 if result is None else len(result)
-        return pd.DataFrame({n: _nullable(result[n]) if rows and n in result.columns else [None] * rows for n in names}, dtype=object)
+        return {n: _nullable(result[n]) if rows and n in result.columns else [None] * rows for n in names}
+
+    def together(parts: list[dict[str, list]]) -> pd.DataFrame:
+        return pd.DataFrame({n: [v for part in parts for v in part[n]] for n in names}, dtype=object)
 
     def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held, made = None, []
         for frame in batches:
             held = frame if held is None or not len(held) else pd.concat([held, frame], ignore_index=True)
             whole = len(held) - len(held) % size
             for start in range(0, whole, size):
-                yield call(held.iloc[start : start + size])
+                made.append(answers(held.iloc[start : start + size]))
+                if len(made) == HELD_CALLS:
+                    yield together(made)
+                    made = []
             held = held.iloc[whole:]
         if held is not None and len(held):
-            yield call(held)
+            made.append(answers(held))
+        yield together(made)
 
     if order is None:
         return documents.mapInPandas(slices, RESPONSE)
     numbered = batch_numbers(documents, size, order)
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
-        return call(frame.sort_values(order, kind="stable").drop(columns="batch").reset_index(drop=True))
+        return together([answers(frame.sort_values(order, kind="stable").drop(columns="batch").reset_index(drop=True))])
 
     return numbered.groupBy("batch").applyInPandas(one, RESPONSE)
 
@@ -116,7 +126,9 @@ def normalise_responses(responses: DataFrame, provider: str) -> DataFrame:
     Entries need a string type and object content; a bad confidence or model becomes null, bad metadata empty.
     """
     entries = F.from_json("enrichments", f"array<{_ENTRY}>")
-    rows = responses.where("enrichments IS NOT NULL").select(
+    # the generator keeps the optimizer from working a native answer out again for the test that there is one
+    answers = responses.withColumn("enrichments", F.explode(F.array("enrichments")))
+    rows = answers.where("enrichments IS NOT NULL").select(
         "document_id", "raw_response", "duration_ms", F.col("metadata").alias("_response_metadata"),
         F.posexplode(entries).alias("ord", "_e"),
     )

@@ -1,6 +1,7 @@
 """Denormalised rows, summaries, enrichments, formats, the store and the workflow."""
 
 import json
+import string
 
 import pandas as pd
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docloom import schemas
+from docloom.functions import text
 from docloom.functions.assembly import dense_ordinal, ordered_array, ordered_concat, row_positions
 from docloom.operators import denorm, enrichment, parts, store, summaries, tables, workflow
 from docloom.sources import formats
@@ -336,3 +338,43 @@ def test_readers_hold_few_payloads(monkeypatch):
     whole = list(formats._read(iter([asked, asked.slice(2, 4)])))
     assert [r for part in small for r in part.to_pylist()] == [r for part in whole for r in part.to_pylist()]
     assert [t for part in texts for t in part.to_pylist()] == next(formats._texts(iter([pa.array(data, pa.binary())]))).to_pylist()
+
+
+def test_native_answers_are_worked_out_once(spark):
+    docs = spark.createDataFrame([("a", "Alphabet soup, alphabet. Gardens")], "document_id string, text string")
+    rows = enrichment.dispatch(docs, [enrichment.sorted_keyword_provider(limit=6)], ["keyword_insights"])
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert json.loads(rows.first().content) == {"keywords": ["alphabet", "gardens"], "token_count": 4}
+
+
+def test_calls_leave_together(spark, monkeypatch):
+    monkeypatch.setattr(enrichment, "HELD_CALLS", 3)
+
+    def run(frame):
+        if "d5" in set(frame["document_id"]):
+            raise ValueError("no")
+        return pd.DataFrame({"document_id": frame["document_id"], "duration_ms": len(frame)}) if "d8" not in set(frame["document_id"]) else None
+
+    docs = spark.range(0, 21, 1, 1).select(F.concat(F.lit("d"), "id").alias("document_id"))
+    made = enrichment.call_provider(docs, enrichment.Provider("p", batch=run, max_batch_size=2))
+    got = {r.document_id: (r.duration_ms, r.error) for r in made.collect()}
+    assert got["d5"] == got["d4"] == (None, "ValueError: no") and "d8" not in got and len(got) == 19 and got["d0"] == (2, None) and got["d20"] == (1, None)
+
+
+def test_leading_keywords_and_summary_read_a_text_as_far_as_they_must(spark):
+    head = text.HEAD
+    texts = [
+        "", "  ", "(alphas) betas gammas, GAMMAS deltas zetazeta etaeta thetas", "x " * head + "lonely words behind headers always counted", "a" * (head + 50) + " second longer tokens follow behind",
+        "y" * (head - 8) + " cutting across borders", "one two. Three four! Five six? seven", " . Lead. Next. Last.", "No end", "Only one. ",
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(len(texts), None)], "i int, t string")
+    found = text.sentences("t")
+    rows = docs.select("i", text.leading_keywords("t").alias("k"), F.slice(found, 1, 2).alias("all"), F.slice(text.sentences("t", 2), 1, 2).alias("first"), F.size(text.sentences("t", 2)).alias("n"))
+    for r in rows.orderBy("i").collect():
+        assert r["all"] == r["first"]
+        if r.i == len(texts):
+            assert r.k is None
+            continue
+        bare = [w.strip(string.punctuation) for w in texts[r.i].split()]
+        assert r.k == list(dict.fromkeys(w.lower() for w in bare if len(w) >= 6))[:5]
+        assert r.n <= 3
