@@ -25,7 +25,7 @@ def distinct_contents(contents: Column) -> Column:
 
 def summary_text(text: Column) -> Column:
     """First two sentences, cut to 512 characters at a space; null for blank text."""
-    found = sentences(text)
+    found = sentences(text, 2)
     joined = F.array_join(F.slice(found, 1, 2), " ")
     return F.when(strip(text) != "", truncate_at_space(joined, 512))
 
