@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a costly value that it names several times; branches of a ``when`` would work it out for each."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip(value: Column | str) -> Column:
     """Unicode strip; ``F.trim`` alone only removes U+0020."""
     return F.trim(_col(value), F.lit(SPACE_CHARS))

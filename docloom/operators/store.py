@@ -65,7 +65,9 @@ def pending(documents: DataFrame, stored: DataFrame, force: str | None = None) -
         gone = ranked.select("_key", "_rank").join(survivors.where(F.col("_rows") > F.col("_n")).select("_key", F.col("_rank").alias("_best")), "_key")
         kept = ranked.join(gone.where("_rank <> _best").select("_key", "_rank"), ["_key", "_rank"], "left_anti")
     else:
-        kept = ranked.join(survivors.select("_key", "_rank"), ["_key", "_rank"], "left_semi")
+        # keys are unique, so this is a semi join, but one that is not made anew for each part of a union; the rows come
+        # out in the order in which repeated ones are told
+        kept = ranked.join(survivors.select("_key", "_rank"), ["_key", "_rank"])
     if repeated:
         kept = kept.dropDuplicates(["_key", "_rank"])
     return kept.drop("_key", "_rank")

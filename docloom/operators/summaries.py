@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions.assembly import ordered_concat
 from docloom.functions.numbers import parse_double
 from docloom.functions.records import truthy
-from docloom.functions.text import sentences, strip, strip_to_null, title_like, truncate_at_space
+from docloom.functions.text import once, sentences, strip, strip_to_null, title_like, truncate_at_space
 
 # Fixed values of a heuristic summary.
 HEURISTIC = "heuristic_leading_sentences"
@@ -25,9 +25,9 @@ def distinct_contents(contents: Column) -> Column:
 
 def summary_text(text: Column) -> Column:
     """First two sentences, cut to 512 characters at a space; null for blank text."""
-    found = sentences(text, 2)
-    joined = F.array_join(F.slice(found, 1, 2), " ")
-    return F.when(strip(text) != "", truncate_at_space(joined, 512))
+    joined = F.array_join(F.slice(sentences(text, 2), 1, 2), " ")
+    # only blank text has no sentence
+    return once(joined, lambda j: F.when(j != "", truncate_at_space(j, 512)))
 
 
 def title(contents: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.binary import contains_bytes, starts_with_bytes, utf8_ignoring_errors
-from docloom.functions.text import ROOT, attachment_uri, collapse_whitespace, strip_tags
+from docloom.functions.text import ROOT, attachment_uri, collapse_whitespace, once, strip_tags
 
 # Media types that name a format, and the text standing in for an empty document.
 EMAIL_TYPES = ("message/rfc822", "application/vnd.ms-outlook")
@@ -49,7 +49,7 @@ def document_format(content: Column, mime_type: Column, strict_csv: bool = False
 
 def text_paragraph(content: Column | str) -> Column:
     """The collapsed text of a payload."""
-    return F.coalesce(F.nullif(collapse_whitespace(utf8_ignoring_errors(content)), F.lit("")), F.lit(EMPTY_DOCUMENT))
+    return once(collapse_whitespace(utf8_ignoring_errors(content)), lambda t: F.when(t == "", EMPTY_DOCUMENT).otherwise(t))
 
 
 def text_documents(documents: DataFrame, content: str = "content") -> DataFrame:

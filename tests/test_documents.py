@@ -378,3 +378,24 @@ def test_leading_keywords_and_summary_read_a_text_as_far_as_they_must(spark):
         bare = [w.strip(string.punctuation) for w in texts[r.i].split()]
         assert r.k == list(dict.fromkeys(w.lower() for w in bare if len(w) >= 6))[:5]
         assert r.n <= 3
+
+
+def test_payloads_are_joined_and_texts_worked_out_once(spark):
+    def plan(rows):
+        return rows._jdf.queryExecution().optimizedPlan().toString()
+
+    docs = spark.createDataFrame([(f"d{i}", f"c{i}", f"u{i % 3}") for i in range(6)], "document_id string, checksum string, source_uri string")
+    docs = docs.withColumn("content", F.encode("source_uri", "UTF-8"))
+    stored = spark.createDataFrame([("d0", "c0")], "document_id string, checksum string")
+    batch = docs.unionByName(docs).unionByName(docs.withColumn("source_uri", F.lit("other")))
+    kept = store.pending(batch, stored)
+    assert plan(kept).count("Join ") == 1
+    assert sorted(r.document_id for r in kept.collect()) == ["d1", "d2", "d3", "d4", "d5"]
+    texts = spark.createDataFrame([(" a \n b ",), (" \n",), ("One two. Three?  Four. Five",), ("x" * 300 + " " + "y" * 300,), (None,)], "t string")
+    read = texts.select(formats.text_paragraph(F.encode("t", "UTF-8")).alias("p"), summaries.summary_text(F.col("t")).alias("s"))
+    assert plan(texts.select(formats.text_paragraph(F.encode("t", "UTF-8")).alias("p"))).count("regexp_replace(") == 1
+    assert plan(texts.select(summaries.summary_text(F.col("t")).alias("s"))).count("split(") == 1
+    empty = formats.EMPTY_DOCUMENT
+    assert [tuple(r) for r in read.collect()] == [
+        ("a b", "a \n b"), (empty, None), ("One two. Three? Four. Five", "One two. Three?"), ("x" * 300 + " " + "y" * 300, "x" * 300), (empty, None),
+    ]
