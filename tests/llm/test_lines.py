@@ -95,6 +95,54 @@ def test_columns_of_any_name_are_kept(spark):
     assert [r["_gone"] for r in got if r["doc_id"] == 2] == [[0]]
 
 
+def near_lines(r, words):
+    """Documents of lines of 4 to 130 words over few words, some with a few words lost, gained or changed."""
+    rows = []
+    for d in range(70):
+        own = []
+        for _ in range(3):
+            size = r.choice([4, 5, 8, 9, 10, 11, 12, 13, 30, 60, 130])
+            base = [f"w{k}" for k in random.Random(r.randrange(9) * 1000 + size).sample(range(words), size)]
+            for _ in range(r.randrange(1 + size // 8)):
+                base.pop(r.randrange(len(base)))
+            own.append(" ".join([*base, *(f"w{r.randrange(words)}" for _ in range(r.randrange(1 + size // 8)))]))
+        rows.append((d, "\n".join(own)))
+    return rows
+
+
+def test_grams_of_three_words(spark, monkeypatch):
+    """However many grams take a third word, no pair is lost."""
+    for seed, chance in ((1, 0), (3, 0.2)):
+        monkeypatch.setattr(lines, "CHANCE", chance)
+        check(spark, near_lines(random.Random(seed), 300))
+
+
+def test_parts_of_the_grams(spark, monkeypatch):
+    """Joined in parts, the grams give the same lines, and what earlier steps shuffled and wrote is off the disk."""
+    monkeypatch.setattr(lines, "PASS_ROWS", 500)
+    parts = []
+    monkeypatch.setattr(lines, "release_shuffles", lambda s: parts.append(s))
+    check(spark, near_lines(random.Random(5), 200))
+    assert len(parts) == 4 + lines.PASSES + 1
+
+
+def test_chance_meetings_are_no_candidates(spark, monkeypatch):
+    """Entries that only share a gram are told apart before their words are fetched."""
+    r, seen = random.Random(6), []
+    rows = [(d, " ".join(["the", "and", *(f"x{r.randrange(100_000)}" for _ in range(size))])) for d, size in enumerate([12, 20, 40, 60, 120] * 30)]
+    real = lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda pairs, *a: seen.append(pairs.count()) or real(pairs, *a))
+    monkeypatch.setattr(lines, "BUCKETS", 1)
+    check(spark, rows)
+    assert seen == [0, 0]
+
+
+def test_same_place_twice(spark):
+    """Lines of rows of one doc_id at one place do not match each other; either of them matches later ones."""
+    line = "one two three four five six seven"
+    check(spark, [(1, line), (1, f"{line} eight"), (2, f"{line} nine"), (None, "a b c d e f"), (None, "a b c d e f g")])
+
+
 def test_group_of_near_copies(spark):
     r = random.Random(9)
     base = words_of(1, 40)
