@@ -1,5 +1,6 @@
 """Denormalised rows, summaries, enrichments, formats, the store and the workflow."""
 
+import dataclasses
 import json
 import string
 
@@ -118,6 +119,24 @@ def test_levels_from_rows_written_once(spark, tmp_path):
     assert "MapInArrow" not in plan and (tmp_path / "blocks").exists()
 
 
+def test_levels_written_by_shares(spark, tmp_path, monkeypatch):
+    """Shares of the bundles give the rows of one piece, also where keys are null or a part has two documents."""
+    docs = canonical(spark, *[{**FIXTURE, "document_id": f"doc-{k}", "attachments": []} for k in range(9)])
+    tree = parts.part_tree(docs, docs.select("document_id").where("false").selectExpr("document_id", "0L AS ord", "'' AS file_name", "'' AS mime_type", "'' AS child_document_id"))
+    found, stamp = denorm.tables_of(docs, tree), F.to_timestamp(F.lit("2024-01-01"))
+    twice = found.documents.union(found.documents.where("document_id = 'doc-3'").withColumn("mime_type", F.lit("other/type")))
+    nobody = [rows.unionByName(rows.where("bundle_id = 'doc-4'").withColumn("bundle_id", F.lit(None).cast("string"))) for rows in (twice, found.spans, found.segments)]
+    found = dataclasses.replace(found, documents=nobody[0], spans=nobody[1], segments=nobody[2])
+    monkeypatch.setattr(denorm, "_SHARE_BYTES", 1)
+    freed = []
+    monkeypatch.setattr(denorm, "release_shuffles", freed.append)
+    planned, written = denorm.denormalise(found, stamp), denorm.denormalise(found, stamp, str(tmp_path))
+    assert len(freed) == 2 * denorm._SHARES and len(list((tmp_path / "pages").iterdir())) == denorm._SHARES
+    for name, rows in planned.items():
+        assert written[name].columns == rows.columns
+        assert sorted(map(str, written[name].collect())) == sorted(map(str, rows.collect())), name
+
+
 def test_cells_in_any_order_fold_from_one_narrow_shuffle(spark):
     """Cells of 20 tables over many batches, positions repeated: keys and extents go through the shuffle once for neighbours."""
     cells = spark.range(60_000).select(
